@@ -1,0 +1,21 @@
+"""Small documents tables with all the awkward rows."""
+
+from pyspark.sql import types as T
+
+SCHEMA = T.StructType(
+    [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())]
+)
+
+
+def docs(spark, rows, **extra):
+    """rows: (doc_id, text) pairs; extra: constant columns."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(i, t, None if t is None else "en", None, None if t is None else len(t)) for i, t in rows], SCHEMA)
+    for name, value in extra.items():
+        df = df.withColumn(name, F.lit(value))
+    return df
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
