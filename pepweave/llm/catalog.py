@@ -3,21 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pepweave.llm import exact_dedup
+from pepweave.llm import decontaminate, exact_dedup
 from pepweave.llm.common import table
 
 
+def contamination(found: DataFrame) -> DataFrame:
+    """The columns that op4 returns."""
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contamination of each document by the benchmark."""
+    return contamination(decontaminate.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of documents, one row per document."""
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
 ORACLES = {
+    "op4_decontaminate": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, w[k:k + 12] AS g FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM i WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT len(g) AS n FROM iw),
+dg AS (
+  SELECT doc_id, k, n, w[k:k + n - 1] AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)
+), hits AS (SELECT doc_id, k, n, item_id FROM dg JOIN iw USING (g)),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, k, n FROM hits)) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
     "op7_exact_dedup": r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_cp, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents
