@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import decontaminate, exact_dedup
+from pepweave.llm import decontaminate, exact_dedup, simhash
 from pepweave.llm.common import table
 
 
@@ -26,9 +26,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of documents by SimHash."""
+    found = simhash.cluster(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLES = {

@@ -1,0 +1,86 @@
+import random
+import re
+
+import numpy as np
+import xxhash
+from helpers import docs
+
+from pepweave.llm import simhash
+from pepweave.llm.components import components
+
+
+def brute_print(t):
+    w = re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    if not w:
+        return 0
+    hs = [xxhash.xxh64_intdigest(" ".join(w[k : k + 4]).encode(), 42) for k in range(max(1, len(w) - 3))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute(rows, near=4):
+    fps = [(i, brute_print(t)) for i, t in rows]
+    comp = {k: k for k in range(len(fps))}
+
+    def root(k):
+        while comp[k] != k:
+            k = comp[k]
+        return k
+
+    for a in range(len(fps)):
+        for b in range(a):
+            if (fps[a][1] ^ fps[b][1]).bit_count() <= near:
+                comp[root(a)] = root(b)
+    least = {}
+    for k, (i, _) in enumerate(fps):
+        if i is not None:
+            least[root(k)] = min(i, least.get(root(k), i))
+    return sorted((i, f, least.get(root(k))) for k, (i, f) in enumerate(fps) if i is not None)
+
+
+def rows_of(seed=3):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(25):
+        w = [rng.choice(["alpha", "Beta", "é", "gamma", "x1", "日本"]) + str(rng.randint(0, 99)) for _ in range(rng.choice([1, 3, 4, 40, 400]))]
+        rows.append(" ".join(w))
+        for _ in range(rng.randint(0, 3)):
+            v = list(w)
+            v[rng.randrange(len(v))] = "new"
+            rows.append("\t".join(v).upper().replace("É", "é"))
+    rows += [None, "", " \n", "a " * 70_000]
+    ids = rng.sample(range(1000), len(rows))
+    return list(zip(ids, rows))
+
+
+def test_matches_brute_force(spark):
+    rows = rows_of()
+    for size in (4096, 5):
+        got = simhash.cluster(docs(spark, rows, fp="clash"), size=size).collect()
+        assert sorted((r.doc_id, r.fp % 2**64, r.component_id) for r in got) == brute(rows)
+
+
+def test_dedup(spark):
+    rows = rows_of(4)
+    df = docs(spark, rows, gone_id=1)
+    out = simhash.dedup(df)
+    assert out.columns == df.columns
+    assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, _, c in brute(rows) if i == c)
+
+
+def test_empty_and_null_ids(spark):
+    assert simhash.cluster(docs(spark, [])).count() == 0
+    got = simhash.cluster(docs(spark, [(None, "a b c d e"), (3, "a b c d e"), (None, "zz")])).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == [("3", "3"), ("None", "3"), ("None", "None")]
+
+
+def test_forest_of_a_large_group_is_small():
+    rng = np.random.default_rng(1)
+    fps = np.unique(np.int64(0x1234567) ^ (np.int64(1) << rng.integers(0, 60, 2000)) ^ (np.int64(1) << rng.integers(0, 60, 2000)))
+    a, b = simhash.forest(fps, fps)
+    assert len(a) == len(fps) - 1 and len(set(a.tolist())) == 1
+
+
+def test_components_of_a_chain(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(1000, 1001), (5, 5)], "a long, b long")
+    got = {r.node: r.label for r in components(chain).collect()}
+    assert got == {k: 0 for k in range(301)} | {1000: 1000, 1001: 1000}
