@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import decontaminate, exact_dedup, simhash
-from pepweave.llm.common import table
+from pepweave.llm import decontaminate, exact_dedup, secret_scan, simhash, token_store
+from pepweave.llm.common import scratch, table
+
+
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of documents, written to a store and read back from it."""
+    path = scratch(spark, "tokens")
+    token_store.write(table(spark, sf_dir, "documents"), path)
+    return token_store.checksums(token_store.read(spark, path))
 
 
 def contamination(found: DataFrame) -> DataFrame:
@@ -21,6 +28,19 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(decontaminate.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def secret_digest(found: DataFrame) -> DataFrame:
+    """The columns that op5 returns."""
+    said = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    base = F.filter(said, lambda s: ~s.startswith("named:"))
+    n = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint) as n_{k}") for k in secret_scan.KINDS[:3]]
+    return found.select("doc_id", *n, F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(said, ",").alias("spans"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in documents."""
+    return secret_digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of documents, one row per document."""
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
@@ -33,7 +53,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_store": op2_token_store,
     "op4_decontaminate": op4_decontaminate,
+    "op5_secret_scan": op5_secret_scan,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_simhash": op10_simhash,
 }
