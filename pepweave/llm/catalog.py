@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import decontaminate, exact_dedup, secret_scan, simhash, token_store
+from pepweave.llm import decontaminate, exact_dedup, secret_scan, simhash, substring_dedup, token_store
 from pepweave.llm.common import scratch, table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of repeated passages from documents."""
+    return substring_dedup.removals(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of documents, written to a store and read back from it."""
     path = scratch(spark, "tokens")
@@ -53,6 +58,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_token_store": op2_token_store,
     "op4_decontaminate": op4_decontaminate,
     "op5_secret_scan": op5_secret_scan,
@@ -61,6 +67,15 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_substring_dedup": r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, k, list_slice(w, k, k + 34) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS k FROM d WHERE len(w) >= 35)),
+rep AS (SELECT g FROM (SELECT md5(array_to_string(g, ' ')) AS g FROM win) GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(k, k + 35)) AS p FROM win WHERE md5(array_to_string(g, ' ')) IN (SELECT g FROM rep)) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN ps IS NULL THEN array_to_string(w, ' ') ELSE coalesce(array_to_string([x[1] FOR x IN list_zip(w, range(1, len(w) + 1)) IF NOT list_contains(ps, x[2])], ' '), '') END) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+""",
     "op4_decontaminate": r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents

@@ -87,11 +87,17 @@ def grams(words: np.ndarray, k: int, factor: int = 0xD6E8FEB86659FD93) -> np.nda
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = words[:n].copy()
-    for j in range(1, k):
-        out *= np.uint64(factor)
-        out += words[j : n + j]
-    return mix(out)
+    # polynomials of length a + b from those of lengths a and b
+    power, poly, size = factor, words, 1
+    out, have = None, 0
+    while True:
+        if k & size:
+            out = poly if out is None else out[: len(words) - have - size + 1] * np.uint64(power) + poly[have : len(words) - size + 1]
+            have += size
+        if 2 * size > k:
+            return mix(out)
+        poly = poly[: len(words) - 2 * size + 1] * np.uint64(power) + poly[size:]
+        power, size = power * power % 2**64, 2 * size
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -104,6 +110,16 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
+def slices(offsets: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Row ranges of at most limit bytes, or of one row."""
+    out, i, n = [], 0, len(offsets) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
+        out.append((i, j))
+        i = j
+    return out
+
+
 def starts_within(first: np.ndarray, n: int, total: int) -> np.ndarray:
     """Mask over word indices 0..total-n: True where n consecutive words lie in one row. first: n_rows + 1 values."""
     size = total - n + 1
