@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-#: Chunks that a worker remembers at most.
-REMEMBERED = 800_000
+#: Chunks that a worker remembers at most, for as long as it lives.
+REMEMBERED = 500_000
+#: More parts than this are joined by a shuffle; fewer are broadcast (40 bytes each).
+PARTS_TO_BROADCAST = 1_000_000
 #: Writer settings: bytes of a row group and of a page, rows of a page.
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 1 << 18, 1000
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
@@ -58,6 +61,7 @@ class Encoder:
         self.library.encode_special_tokens = True
         self.remembered = remembered
         self.after_space: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         starts = [0] * self.library.get_vocab_size()
         for token, i in self.library.get_vocab().items():
             starts[i] = token.startswith("\u0120")  # the byte-level alphabet's space
@@ -84,9 +88,13 @@ class Encoder:
     def encode(self, texts: list[str | None], end: bool = True) -> list[bytes]:
         tail, known = self.tail if end else b"", self.after_space
         chunks = [(_CUT.split(t) if _ODD.search(t) else t.split(" ")) if t else [""] for t in texts]
-        if len(known) > self.remembered:
-            known.clear()
-        new = list({c for parts in chunks for c in parts[1:] if c not in known})
+        if len(known) > self.remembered // 2:  # what isn't met again goes with the older half
+            self.older, self.after_space = known, {}
+            known = self.after_space
+        new = {c for parts in chunks for c in parts[1:] if c not in known}
+        again = [c for c in new if c in self.older]
+        known.update(zip(again, map(self.older.__getitem__, again)))
+        new = list(new.difference(again))
         # a set of pieces of a batch, so bounded by it
         known.update(zip(new, self._after_space(new)))
         firsts = self._library([parts[0] for parts in chunks])
@@ -94,17 +102,23 @@ class Encoder:
         return [b"".join([first, *map(get, parts[1:]), tail]) for first, parts in zip(firsts, chunks)]
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str | None) -> Encoder:
+    """The worker's own encoder, kept from task to task."""
+    return Encoder(path)
+
+
 def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """Encode docs and write the store."""
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, at = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        own, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
             for k in range(0, whole.num_rows, 512):
                 batch = whole.slice(k, 512)
-                rows = encoder.encode(batch.column(1).to_pylist())
+                rows = own.encode(batch.column(1).to_pylist())
                 n = np.array([len(r) // 4 for r in rows], np.int64)
                 ends = np.cumsum(n)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(rows))]))
@@ -125,23 +139,31 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     )
 
 
-def index(spark: SparkSession, path: str) -> DataFrame:
-    """part, base (tokens before the part), first_id, last_id, n_docs, n_tokens; reads only narrow columns.
+def part_bases(spark: SparkSession, path: str) -> list[tuple]:
+    """(part, base, first_id, last_id, n_docs, n_tokens) in order; base counts the tokens before the part.
 
-    One row a part, of which there is one for each tens of MB of text: the prefix sum over them is taken on the driver.
+    Reads only the narrow columns. There is one part for each tens of MB of text: the prefix sum is taken on the driver.
     """
-    parts = spark.read.schema(SCHEMA).parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    parts = spark.read.schema(SCHEMA).parquet(path).groupBy("part").agg(F.min("doc_id"), F.max("doc_id"), F.count("*"), F.sum("n_tokens"))
     rows, base = [], 0
-    for r in sorted(parts.collect(), key=lambda r: r.part):
-        rows.append((r.part, base, r.first_id, r.last_id, r.n_docs, r.n_tokens))
-        base += r.n_tokens
-    return spark.createDataFrame(rows, "part int, base long, first_id long, last_id long, n_docs long, n_tokens long")
+    for part, first, last, n_docs, n_tokens in sorted(parts.collect(), key=lambda r: r[0]):
+        rows.append((part, base, first, last, n_docs, n_tokens))
+        base += n_tokens
+    return rows
+
+
+def index(spark: SparkSession, path: str) -> DataFrame:
+    """The parts of a store as a table."""
+    return spark.createDataFrame(part_bases(spark, path), "part int, base long, first_id long, last_id long, n_docs long, n_tokens long")
 
 
 def read(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
     """doc_id, start (tokens of all documents before it), n_tokens and, if asked for, ids."""
     rows = spark.read.schema(SCHEMA).parquet(path)
-    bases = index(spark, path).select("part", "base")
+    found = part_bases(spark, path)
+    bases = spark.createDataFrame([r[:2] for r in found], "part int, base long")
+    if len(found) <= PARTS_TO_BROADCAST:
+        bases = F.broadcast(bases)
     return rows.join(bases, "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", *["ids"] * ids)
 
 
