@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import decontaminate, exact_dedup, secret_scan, simhash, substring_dedup, token_store
+from pepweave.llm import decontaminate, exact_dedup, secret_scan, sentencepieces, simhash, substring_dedup, token_store
 from pepweave.llm.common import scratch, table
 
 
@@ -21,6 +21,12 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.checksums(token_store.read(spark, path))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of documents and the texts that they decode to, as digests."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return sentencepieces.round_trip(docs).drop("text")
+
+
 def contamination(found: DataFrame) -> DataFrame:
     """The columns that op4 returns."""
     return found.select(
@@ -60,6 +66,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_store": op2_token_store,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_decontaminate": op4_decontaminate,
     "op5_secret_scan": op5_secret_scan,
     "op7_exact_dedup": op7_exact_dedup,
