@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 #: Chunks that a worker remembers at most, for as long as it lives.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 #: More parts than this are joined by a shuffle; fewer are broadcast (40 bytes each).
 PARTS_TO_BROADCAST = 1_000_000
 #: Writer settings: bytes of a row group and of a page, rows of a page.
@@ -85,21 +85,32 @@ class Encoder:
             out += [raw[4 * a : 4 * b] for a, b in zip(at.tolist(), ends)]
         return out
 
+    def _fill(self, local: dict[str, bytes | None]) -> None:
+        """Give the chunks of a batch their ids."""
+        known, older, new = self.after_space, self.older, []
+        for c in local:
+            ids = known.get(c)
+            if ids is None:
+                ids = older.get(c)
+                if ids is None:
+                    new.append(c)
+                    continue
+                known[c] = ids
+            local[c] = ids
+        fresh = dict(zip(new, self._after_space(new)))
+        known.update(fresh)
+        local.update(fresh)
+
     def encode(self, texts: list[str | None], end: bool = True) -> list[bytes]:
-        tail, known = self.tail if end else b"", self.after_space
+        tail = self.tail if end else b""
         chunks = [(_CUT.split(t) if _ODD.search(t) else t.split(" ")) if t else [""] for t in texts]
-        if len(known) > self.remembered // 2:  # what isn't met again goes with the older half
-            self.older, self.after_space = known, {}
-            known = self.after_space
-        new = {c for parts in chunks for c in parts[1:] if c not in known}
-        again = [c for c in new if c in self.older]
-        known.update(zip(again, map(self.older.__getitem__, again)))
-        new = list(new.difference(again))
-        # a set of pieces of a batch, so bounded by it
-        known.update(zip(new, self._after_space(new)))
-        firsts = self._library([parts[0] for parts in chunks])
-        get = known.__getitem__
-        return [b"".join([first, *map(get, parts[1:]), tail]) for first, parts in zip(firsts, chunks)]
+        firsts = self._library([parts.pop(0) for parts in chunks])
+        local = dict.fromkeys(set().union(*chunks))
+        self._fill(local)
+        if len(self.after_space) > self.remembered // 2:  # what isn't met again goes with the older half
+            self.older, self.after_space = self.after_space, {}
+        get = local.__getitem__
+        return [first + b"".join(map(get, parts)) + tail for first, parts in zip(firsts, chunks)]
 
 
 @lru_cache(maxsize=1)
@@ -116,8 +127,8 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for k in range(0, whole.num_rows, 512):
-                batch = whole.slice(k, 512)
+            for k in range(0, whole.num_rows, 2048):
+                batch = whole.slice(k, 2048)
                 rows = own.encode(batch.column(1).to_pylist())
                 n = np.array([len(r) // 4 for r in rows], np.int64)
                 ends = np.cumsum(n)
