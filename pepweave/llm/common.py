@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,3 +67,29 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
             name = f"_{name}"
         out.append(name)
     return out
+
+
+def keys() -> tuple[Column, Column]:
+    """Two columns that tell documents apart: a hash of id and text, and the id."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text").alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k2")
+
+
+#: Rows that total() brings to the driver at most.
+TOTAL_ROWS = 8
+
+
+def total(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of packed float64 arrays of one size (column ``v``), added up in two rounds of tasks that each hold one sum."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(size)
+        for batch in batches:
+            for v in batch.column(0):
+                out += np.frombuffer(v.as_buffer(), "<f8")
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["v"])
+
+    many = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if many > TOTAL_ROWS:
+        parts = parts.repartition(many).mapInArrow(add, "v binary")
+    rows = parts.repartition(TOTAL_ROWS).mapInArrow(add, "v binary").collect()
+    return np.sum([np.frombuffer(bytes(r.v), "<f8") for r in rows], axis=0) if rows else np.zeros(size)

@@ -23,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pepweave.llm import words as W
-from pepweave.llm.common import fresh, text_bytes
+from pepweave.llm.common import keys, text_bytes
 
 WINDOW, GRAM = 35, 8
 #: Cells of each of the two rows of the sketch, as a power of two, and cells of a block that is merged at once.
@@ -154,6 +154,8 @@ def repeated_starts(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, wi
                 if here.any():
                     yield _packed(k1[row[here]], k2[row[here]], start[here])
 
+    buckets = 2 * int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the last row so far, and whether it was given out
         held: list[list[np.ndarray]] = []
@@ -169,13 +171,21 @@ def repeated_starts(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, wi
             held.append([k1[out], k2[out], start[out].astype(np.int32)])
             last = h1[-1], h2[-1], k1[-1], k2[-1], start[-1], bool(resolved[-1] or twice[-1])
             if sum(len(x[0]) for x in held) > 1_000_000:
-                yield _packed(*(np.concatenate(x) for x in zip(*held)))
+                yield _bucketed(*(np.concatenate(x) for x in zip(*held)), buckets)
                 held = []
         if held and sum(len(x[0]) for x in held):
-            yield _packed(*(np.concatenate(x) for x in zip(*held)))
+            yield _bucketed(*(np.concatenate(x) for x in zip(*held)), buckets)
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a partition of whole buckets: as many starts as fit a partition's share of the documents
+        held = [[np.frombuffer(c.as_buffer(), t) for c, t in zip(row, ("<i8", "<i8", "<i4", "<i4"))] for batch in batches for row in zip(*batch.columns[1:])]
+        if held:
+            k1, k2, n, start = (np.concatenate(x) for x in zip(*held))
+            yield _packed(np.repeat(k1, n), np.repeat(k2, n), start)
 
     rows = "h1 long, h2 long, k1 long, k2 long, start int, known boolean"
-    met = keyed.mapInArrow(send, rows).repartition("h1").sortWithinPartitions("h1", "h2").mapInArrow(meet, "k1 long, k2 long, starts binary")
+    met = keyed.mapInArrow(send, rows).repartition("h1").sortWithinPartitions("h1", "h2").mapInArrow(meet, "bucket int, k1 binary, k2 binary, n binary, starts binary")
+    met = met.repartition("bucket").mapInArrow(sort, "k1 long, k2 long, starts binary")
     return met.unionByName(keyed.mapInArrow(known, "k1 long, k2 long, starts binary"))
 
 
@@ -187,9 +197,17 @@ def _packed(k1: np.ndarray, k2: np.ndarray, start: np.ndarray) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k2[at]), pa.array([x.tobytes() for x in np.split(start, at[1:])], pa.binary())], names=["k1", "k2", "starts"])
 
 
-def keys() -> tuple[Column, Column]:
-    """Two columns that tell documents apart: a hash of id and text, and the id."""
-    return F.xxhash64(F.col("doc_id").cast("long"), "text").alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k2")
+def _bucketed(k1: np.ndarray, k2: np.ndarray, start: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row for each bucket of documents: their keys, how many starts each has, and the starts."""
+    bucket = ((k1.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    order = np.lexsort((start, k2, k1, bucket))
+    bucket, k1, k2, start = bucket[order], k1[order], k2[order], start[order].astype("<i4")
+    docs = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]))
+    n = np.diff(np.append(docs, len(k1))).astype("<i4")
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    of_doc = np.searchsorted(docs, first)[1:]
+    packed = [np.split(x, at) for x, at in ((k1[docs], of_doc), (k2[docs], of_doc), (n, of_doc), (start, first[1:]))]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *[pa.array([x.tobytes() for x in xs], pa.binary()) for xs in packed]], names=["bucket", "k1", "k2", "n", "starts"])
 
 
 def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int = WIDTH) -> DataFrame:
