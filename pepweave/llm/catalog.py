@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import decontaminate, exact_dedup, secret_scan, sentencepieces, simhash, substring_dedup, token_store
+from pepweave.llm import decontaminate, exact_dedup, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
 from pepweave.llm.common import scratch, table
 
 
@@ -57,6 +57,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of documents."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of documents by SimHash."""
     found = simhash.cluster(table(spark, sf_dir, "documents"))
@@ -70,6 +75,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_secret_scan": op5_secret_scan,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
 }
 

@@ -1,0 +1,42 @@
+import hashlib
+import re
+
+import public_tokenizers
+import pyarrow.parquet as pq
+import sentencepiece
+from helpers import SCHEMA
+from test_decontaminate import brute as contamination
+from test_simhash import brute as near
+
+import corpus_pipeline
+from pepweave.llm import toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_equal_brute_force(spark):
+    rows = pq.read_table(f"{SF}/documents.parquet").to_pylist()
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist()]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    toxic = {r.doc_id for r in toxicity.score(docs, labels).collect() if r.predicted}
+    left = {r["doc_id"]: r["text"] for r in rows if r["doc_id"] not in toxic}
+    groups = {}
+    for i, t in left.items():
+        groups.setdefault(re.sub("[\x20\x09-\x0d]", "", t or ""), []).append((-len(t or ""), i))
+    left = {min(g)[1]: left[min(g)[1]] for g in groups.values()}
+    left = {i: left[i] for i, _, c in near(list(left.items())) if i == c}
+    bad = {i for i, x in contamination(list(left.items()), items).items() if x[-1]}
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = {i: hashlib.sha256(",".join(map(str, library.encode(t or ""))).encode()).hexdigest() for i, t in left.items() if i not in bad}
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == [*docs.columns, "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert {r.doc_id: r.ids_sha256 for r in got.collect()} == want
+    assert 0 < len(want) < len(rows)
+
+
+def test_stages_keep_the_columns_and_take_an_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == SCHEMA.names and docs.count() == 0
