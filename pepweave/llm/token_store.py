@@ -16,6 +16,7 @@ ordered by their text; an empty table gives an empty store.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 #: Chunks that a worker remembers at most, for as long as it lives.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: More parts than this are joined by a shuffle; fewer are broadcast (40 bytes each).
 PARTS_TO_BROADCAST = 1_000_000
 #: Writer settings: bytes of a row group and of a page, rows of a page.
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 1 << 18, 1000
+#: Bytes of an Arrow batch, either way between Spark and the workers.
+BATCH = 16 << 20
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
 _CUT = re.compile(r" (?=\S)")
@@ -121,10 +124,12 @@ def encoder(path: str | None) -> Encoder:
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """Encode docs and write the store."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # nothing here makes cycles, and millions of strings are slow to visit
         own, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
             for k in range(0, whole.num_rows, 2048):
