@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import decontaminate, exact_dedup, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
+from pepweave.llm import decontaminate, exact_dedup, line_dedup, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
 from pepweave.llm.common import scratch, table
 
 
@@ -52,6 +52,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of lines that many sources share from documents."""
+    found = line_dedup.removals(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of documents, one row per document."""
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
@@ -74,6 +80,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_decontaminate": op4_decontaminate,
     "op5_secret_scan": op5_secret_scan,
+    "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
@@ -105,6 +112,13 @@ its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY ite
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
+    "op6_line_dedup": r"""
+WITH l AS (SELECT doc_id, source, pos, ls[pos] AS line FROM (SELECT doc_id, source, ls, unnest(range(1, len(ls) + 1)) AS pos FROM (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documents))),
+many AS (SELECT trim(line) AS line FROM l WHERE trim(line) <> '' GROUP BY 1 HAVING count(DISTINCT source) >= 10),
+marked AS (SELECT l.doc_id, l.pos, l.line, many.line IS NOT NULL AS gone FROM l LEFT JOIN many ON trim(l.line) = many.line),
+per AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE gone) AS n_gone, string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone) AS kept FROM marked GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents LEFT JOIN per USING (doc_id)
 """,
     "op7_exact_dedup": r"""
 WITH n AS (

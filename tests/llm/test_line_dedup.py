@@ -1,0 +1,39 @@
+import random
+from collections import defaultdict
+
+import pytest
+from helpers import SCHEMA
+
+from pepweave.llm import line_dedup
+
+
+def brute(rows, sites):
+    seen = defaultdict(set)
+    for _, t, s in rows:
+        for x in (t or "").split("\n"):
+            if s is not None and x.strip(" "):
+                seen[x.strip(" ")].add(s)
+    out = []
+    for i, t, _ in rows:
+        ls = [] if t is None else t.split("\n")
+        kept = [x for x in ls if len(seen.get(x.strip(" "), ())) < sites]
+        out.append((str(i), len(ls), len(ls) - len(kept), "\n".join(kept)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("sites", [2, 10, 40])
+def test_matches_brute_force(spark, sites):
+    rng = random.Random(sites)
+    shared = [f"notice {k}" for k in range(30)]
+    rows = []
+    for i in range(250):
+        ls = [rng.choice([f"own {i} {k}", " ", "", "é\t", shared[min(int(rng.expovariate(0.2)), 29)], " notice 1  "]) for k in range(rng.randint(0, 8))]
+        rows.append((i, "\n".join(ls), rng.choice([None, *[f"s{int(rng.expovariate(0.05))}" for _ in range(5)]])))
+    rows += [(900, None, "s1"), (901, "", "s1"), (None, "notice 1\nx", "s2"), (902, "long\n" * 50_000 + "notice 0", "s3"), (903, "notice 0", "s9"), (903, "notice 0", "s9")]
+    df = spark.createDataFrame([(i, t, None, s, None) for i, t, s in rows], SCHEMA)
+    got = line_dedup.removals(df, sites).collect()
+    assert sorted((str(r.doc_id), r.n_lines, r.n_removed, r.kept) for r in got) == brute(rows, sites)
+
+
+def test_empty(spark):
+    assert line_dedup.removals(spark.createDataFrame([], SCHEMA)).count() == 0
