@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import decontaminate, exact_dedup, line_dedup, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
+from pepweave.llm import decontaminate, exact_dedup, line_dedup, masked_lm, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
 from pepweave.llm.common import scratch, table
 
 
@@ -68,6 +68,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihoods of documents under a network trained on all of them."""
+    docs = table(spark, sf_dir, "documents")
+    return masked_lm.score(docs, masked_lm.train(docs))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of documents by SimHash."""
     found = simhash.cluster(table(spark, sf_dir, "documents"))
@@ -83,6 +89,7 @@ QUERIES = {
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_masked_lm": op9_masked_lm,
     "op10_simhash": op10_simhash,
 }
 
