@@ -39,6 +39,8 @@ MINED, CANDIDATES, TERMS, FITTED = 6000, 3000, 48, 20_000
 #: A term must be in so many toxic documents, and so many times as frequent in them.
 SUPPORT, LIFT = 4, 8.0
 STEMS = range(3, 13)
+#: Text bytes measured at once.
+SLICE = 2 << 20
 #: From this score on a document counts as toxic.
 TOXIC = 0.7
 ROUNDS = 6
@@ -156,13 +158,14 @@ def hit_finder(terms: list[str]) -> ahocorasick.Automaton | None:
 def measure(finder: ahocorasick.Automaton | None, n_terms: int, column: pa.Array) -> np.ndarray:
     """For each text: occurrences of each term, words, share of A-Z among ASCII letters, share of symbols."""
     raw, offsets = text_bytes(column)
-    _, _, first = W.bounds(raw, offsets, W.NOT_BLANK)
-    sums = [np.concatenate([[0], np.cumsum(k[raw], dtype=np.int64)])[offsets] for k in (_UPPER, _LETTER, _SYMBOL)]
-    upper, letters, symbols = (np.diff(s) for s in sums)
     out = np.zeros((len(offsets) - 1, n_terms + 3))
-    out[:, n_terms] = np.diff(first)
-    out[:, n_terms + 1] = upper / np.maximum(letters, 1)
-    out[:, n_terms + 2] = symbols / np.maximum(np.diff(offsets), 1)
+    for i, j in W.slices(offsets, SLICE):
+        piece, at = raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+        _, _, first = W.bounds(piece, at, W.NOT_BLANK)
+        upper, letters, symbols = (np.diff(np.concatenate([[0], np.cumsum(k[piece], dtype=np.int32)])[at]) for k in (_UPPER, _LETTER, _SYMBOL))
+        out[i:j, n_terms] = np.diff(first)
+        out[i:j, n_terms + 1] = upper / np.maximum(letters, 1)
+        out[i:j, n_terms + 2] = symbols / np.maximum(np.diff(at), 1)
     if finder is not None:
         for r, text in enumerate(column.to_pylist()):
             if not text:
