@@ -1,6 +1,310 @@
-"""Registered queries and their SQL twins."""
+"""Registered queries and their SQL twins. Every query runs over its whole tables."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from pepweave.functions import fasta, peptides
+from pepweave.operators import batches, budgets, compare, graph, intervals, render
+from pepweave.operators.traverse import traverse
+from pepweave.plans import runs, standins
+from pepweave.plans.standins import LOWER, UPPER, table
+from pepweave.sources import inputs
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+_RANGES = [(500, 600), (900, 1000), (4000, 5000)]
+_BUDGET_LIST = [1, 0, 255]
+_EVENT_RANGES = [(0.0, 10.0), (5.0, 20.0), (15.0, 80.0), (-5.0, 0.0)]
+
+
+def query(sql: str | None):
+    """Register a query under its function's name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+_both = peptides.LETTERS + peptides.LETTERS.lower()
+_WATER, _L, _U = peptides.WATER, LOWER * peptides.SCALE, UPPER * peptides.SCALE
+_DIGEST = rf"""
+p AS (SELECT doc_id, source, lang, upper(regexp_replace(coalesce(text, ''), '[^{_both}]', '', 'g')) AS protein FROM documents),
+fl AS (SELECT doc_id, source, lang, list_filter(string_split(replace(regexp_replace(protein, '([KR])', '\1|', 'g'), '|P', 'P'), '|'), lambda x: x <> '') AS frags FROM p),
+fr AS (SELECT doc_id, source, lang, unnest(range(0, len(frags))) AS i, unnest(frags) AS f FROM fl),
+fw AS (SELECT *, lead(f, 1) OVER w AS f1, lead(f, 2) OVER w AS f2, CAST(coalesce(sum(length(f)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS INTEGER) AS spos FROM fr WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+ru AS (
+  SELECT doc_id, source, lang, i, spos, 0 AS mssclvg, f AS seq FROM fw
+  UNION ALL SELECT doc_id, source, lang, i, spos, 1, f || f1 FROM fw WHERE f1 IS NOT NULL
+  UNION ALL SELECT doc_id, source, lang, i, spos, 2, f || f1 || f2 FROM fw WHERE f2 IS NOT NULL
+),
+oc AS (
+  SELECT *, spos + length(seq) - 1 AS epos, '>pg|TODO|D' || doc_id || '(' || spos || ':' || (spos + length(seq) - 1) || ',mssclvg:' || mssclvg || ',)' AS header
+  FROM (SELECT *, CAST({peptides.mass_sql("seq")} AS BIGINT) + {_WATER} AS mass FROM ru WHERE length(seq) <= 11) WHERE mass BETWEEN {_L} AND {_U}
+)"""
+#: Graph forms of fragments: the plain one, and for every n-th a variant whose first residue is A (G if it was A).
+_FORMS = """
+fo{every} AS (
+  SELECT doc_id, i, 0 AS v, f AS seq, spos FROM fw
+  UNION ALL SELECT doc_id, i, 1, CASE WHEN f LIKE 'A%' THEN 'G' ELSE 'A' END || substr(f, 2), spos FROM fw WHERE i % {every} = 0
+), fm{every} AS (SELECT *, CAST({mass} AS BIGINT) AS w FROM fo{every})"""
+
+
+def _forms(every: int) -> str:
+    return _FORMS.format(every=every, mass=peptides.mass_sql("seq"))
+
+
+def _paths(every: int, most_vars: str, name: str = "pa") -> str:
+    """Paths of up to three fragments, by joins."""
+    fm = f"fm{every}"
+    return f"""
+{name} AS (
+  SELECT doc_id, seq, w, v AS vc, 0 AS mssclvg, spos, repeat('VARIANT,', v) AS q FROM {fm}
+  UNION ALL SELECT a.doc_id, a.seq || b.seq, a.w + b.w, a.v + b.v, 1, a.spos, repeat('VARIANT,', a.v + b.v) FROM {fm} a JOIN {fm} b ON a.doc_id = b.doc_id AND b.i = a.i + 1 WHERE a.w <= {_U}
+  UNION ALL SELECT a.doc_id, a.seq || b.seq || c.seq, a.w + b.w + c.w, a.v + b.v + c.v, 2, a.spos, repeat('VARIANT,', a.v + b.v + c.v)
+    FROM {fm} a JOIN {fm} b ON a.doc_id = b.doc_id AND b.i = a.i + 1 AND a.w + b.w <= {_U} JOIN {fm} c ON b.doc_id = c.doc_id AND c.i = b.i + 1
+), {name}k AS (SELECT * FROM {name} WHERE w BETWEEN {_L} AND {_U} AND {most_vars})"""
+
+
+@query(f"WITH {_DIGEST} SELECT seq, min(mass) AS mass, min(mssclvg) AS mssclvg, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM oc GROUP BY seq")
+def peptide_mass_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: peptides of up to two missed cleavages in the mass range, with how often they occur."""
+    found = standins.in_range(standins.runs(spark, sf_dir))
+    return found.groupBy("seq").agg(F.min("mass").alias("mass"), F.min("mssclvg").alias("mssclvg"), F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+@query(f"WITH {_DIGEST}, {_forms(5)}, {_paths(5, 'vc <= 1')} SELECT seq, w, vc, mssclvg, count(*) AS n FROM pak GROUP BY ALL")
+def variant_budget_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of the documents' variant graphs in the range, with at most one variant: a bag, counted."""
+    g = standins.graphs(spark, sf_dir)
+    found = traverse(g, standins.ranges(spark, (LOWER, UPPER), max_vars=1), max_missed=2).paths
+    return found.groupBy("seq", F.col("a").alias("w"), "vc", F.col("mc").alias("mssclvg")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_DIGEST}, {_forms(5)}, {_paths(5, 'true')} SELECT '>pg|TODO|D' || doc_id || '(' || spos || ':' || (spos + length(seq) - 1) || ',mssclvg:' || mssclvg || ',' || rtrim(q, ',') || ')' AS header, seq, count(*) AS n FROM pak GROUP BY ALL")
+def unlimited_budget_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without a budget, rendered with headers (positions, cleavages, qualifiers)."""
+    g = standins.graphs(spark, sf_dir)
+    found = render.headers(render.peptides(traverse(g, standins.ranges(spark, (LOWER, UPPER)), max_missed=2).paths, g.graphs))
+    return found.groupBy("header", "seq").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+WITH {_DIGEST}, {_forms(5)},
+l0 AS (SELECT doc_id, i, w AS a, v AS vc, false AS fin, w <= {_U} AS ov FROM fm5),
+k0 AS (SELECT * FROM l0 WHERE ov AND vc <= 1),
+l1 AS (SELECT k.doc_id, f.i, k.a + f.w AS a, k.vc + f.v AS vc, false AS fin, k.a + f.w <= {_U} AS ov FROM k0 k JOIN fm5 f ON f.doc_id = k.doc_id AND f.i = k.i + 1 UNION ALL SELECT doc_id, i, a, vc, true, a BETWEEN {_L} AND {_U} FROM k0),
+k1 AS (SELECT * FROM l1 WHERE ov AND vc <= 1 AND NOT fin),
+l2 AS (SELECT k.doc_id, f.i, k.a + f.w AS a, k.vc + f.v AS vc, false AS fin, k.a + f.w <= {_U} AS ov FROM k1 k JOIN fm5 f ON f.doc_id = k.doc_id AND f.i = k.i + 1 UNION ALL SELECT doc_id, i, a, vc, true, a BETWEEN {_L} AND {_U} FROM k1),
+k2 AS (SELECT * FROM l2 WHERE ov AND vc <= 1 AND NOT fin),
+l3 AS (SELECT k.doc_id, f.i, k.a + f.w AS a, k.vc + f.v AS vc, false AS fin, k.a + f.w <= {_U} AS ov, false AS fit FROM k2 k JOIN fm5 f ON f.doc_id = k.doc_id AND f.i = k.i + 1 UNION ALL SELECT doc_id, i, a, vc, true, a BETWEEN {_L} AND {_U}, true FROM k2),
+al AS (SELECT 0 AS level, doc_id, ov, vc, true AS fit FROM l0 UNION ALL SELECT 1, doc_id, ov, vc, true FROM l1 UNION ALL SELECT 2, doc_id, ov, vc, true FROM l2 UNION ALL SELECT 3, doc_id, ov, vc, fit FROM l3)
+SELECT level, doc_id AS graph_id, count(*) AS attempted, count(*) FILTER (WHERE ov) AS overlapping, count(*) FILTER (WHERE ov AND vc <= 1 AND fit) AS accepted FROM al GROUP BY ALL
+""")
+def interval_prune_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions of the enumeration, per level and graph: attempted, overlapping and accepted steps."""
+    g = standins.graphs(spark, sf_dir)
+    trace = traverse(g, standins.ranges(spark, (LOWER, UPPER), max_vars=1), max_missed=2, trace=True).trace
+    count = lambda c: F.sum(F.col(c).cast("long")).alias
+    return trace.groupBy("level", "graph_id").agg(F.count("*").alias("attempted"), count("overlap")("overlapping"), count("accepted")("accepted"))
+
+
+@query(f"""
+WITH q(query_id, lower, upper) AS (VALUES {", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(_RANGES))}),
+b AS (SELECT query_id, upper, least(CASE WHEN upper // (5000 // 3) - 1 < 0 THEN 2 ELSE upper // (5000 // 3) - 1 END, 2) AS bin FROM q)
+SELECT 'D' || doc_id AS acc, CAST(query_id AS BIGINT) AS query_id, CAST(bin AS INTEGER) AS bin, CAST(CASE bin WHEN 0 THEN 1 WHEN 1 THEN 0 ELSE NULL END AS INTEGER) AS max_vars FROM documents, b
+""")
+def per_bin_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Budget of every document for every query, by mass bin."""
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("acc"))
+    limits = docs.distinct().select("acc", F.posexplode(F.array(*map(F.lit, _BUDGET_LIST))).alias("bin", "max_vars"))
+    found = standins.ranges(spark, *_RANGES).select("query_id", budgets.bin_of(F.col("upper"), 3, 5000 * peptides.SCALE).alias("bin"))
+    return budgets.with_budget(docs.join(F.broadcast(found)), limits).select("acc", "query_id", "bin", "max_vars")
+
+
+@query("""
+WITH n AS (SELECT o_custkey AS graph_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS node_id, coalesce(k, 0) AS k FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS k FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey),
+o AS (SELECT graph_id, node_id, sum(k) OVER (PARTITION BY graph_id ORDER BY node_id) AS e, k FROM n)
+SELECT graph_id, CAST(node_id AS BIGINT) AS src, CAST(unnest(range(CAST(e - k AS BIGINT), CAST(e AS BIGINT))) AS BIGINT) AS edge_id FROM o WHERE k > 0
+""")
+def csr_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse rows decoded: customers are graphs, their orders nodes, the lines edges."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("k"))
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey").join(lines, "o_orderkey", "left")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    nodes = orders.select(F.col("o_custkey").alias("graph_id"), (F.row_number().over(w) - 1).cast("long").alias("node_id"), F.sum(F.coalesce("k", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("end_off"))
+    return graph.expand_csr(nodes)
+
+
+@query(f"WITH {_DIGEST} SELECT doc_id, header, seq FROM oc WHERE CAST(regexp_extract(header, 'mssclvg:(\\d+)', 1) AS INTEGER) <= 1")
+def missed_cleavage_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose header names at most one missed cleavage."""
+    return compare.within_cleavages_text(standins.occurrences(spark, sf_dir), 1).select("doc_id", "header", "seq")
+
+
+@query(rf"""WITH {_DIGEST} SELECT doc_id, '>pg|TODO|D' || doc_id || '(1:' || length(protein) || ',mssclvg:0,)' || chr(10) || rtrim(regexp_replace(protein, '(.{{60}})', '\1' || chr(10), 'g'), chr(10)) AS value FROM p WHERE protein <> ''""")
+def fasta_render_wrap60(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole proteins as FASTA records, wrapped at 60 columns."""
+    rows = standins.proteins(spark, sf_dir).where("protein <> ''").withColumnRenamed("protein", "seq")
+    rows = rows.select("doc_id", F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("acc"), F.lit(1).alias("spos"), F.length("seq").alias("epos"), F.lit(0).alias("mssclvg"), F.array().cast("array<string>").alias("quals"), "seq")
+    header = fasta.header(F.col("acc"), F.col("spos"), F.col("epos"), F.col("mssclvg"), F.col("quals"))
+    return rows.select("doc_id", F.rtrim(F.concat(header, F.lit("\n"), fasta.wrap(F.col("seq"))), F.lit("\n")).alias("value"))
+
+
+@query(f"WITH {_DIGEST} SELECT 'D' || doc_id AS acc, spos, CAST(epos AS INTEGER) AS epos, mssclvg, '' AS quals FROM oc")
+def fasta_header_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields read back from rendered headers."""
+    return standins.occurrences(spark, sf_dir).select(*fasta.parsed(F.col("header"))).withColumn("quals", F.array_join("quals", ","))
+
+
+@query(f"WITH {_DIGEST} SELECT seq, count(*) AS n, min(header) AS first_header FROM oc GROUP BY seq")
+def dedup_by_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per peptide."""
+    return compare.merge(standins.occurrences(spark, sf_dir), lists=False)
+
+
+_DIFF = "SELECT CASE WHEN d > 0 THEN '<' ELSE '>' END AS side, seq, CAST(abs(d) AS BIGINT) AS n FROM (SELECT seq, sum(s) AS d FROM s GROUP BY seq) WHERE d <> 0"
+
+
+@query(f"WITH {_DIGEST}, s AS (SELECT seq, CASE WHEN lang = 'en' THEN 1 ELSE -1 END AS s FROM oc WHERE lang IS NOT NULL) {_DIFF}")
+def multiset_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peptides of English documents against those of the others, as multisets."""
+    found = standins.in_range(standins.runs(spark, sf_dir))
+    return compare.multiset_diff(found.where("lang = 'en'"), found.where("lang <> 'en'"))
+
+
+@query(f"WITH {_DIGEST}, s AS (SELECT seq, 1 AS s FROM oc WHERE source = 'src3') {_DIFF}")
+def set_diff_equal_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All peptides against themselves (no row), and against all but one source's (that source's rows)."""
+    found = standins.in_range(standins.runs(spark, sf_dir))
+    return compare.multiset_diff(found, found).unionByName(compare.multiset_diff(found, found.where("source <> 'src3' OR source IS NULL")))
+
+
+@query(f"""
+WITH q(range_id, lo, hi) AS (VALUES {", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(_EVENT_RANGES))})
+SELECT CAST(range_id AS INTEGER) AS range_id, event_type, count(*) AS n FROM events JOIN q ON value <= hi AND value + 5.0 >= lo GROUP BY ALL
+""")
+def range_query_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as closed intervals [value, value + 5] that meet fixed ranges."""
+    fixed = F.array(*[F.struct(F.lit(k).alias("range_id"), F.lit(a).alias("lo"), F.lit(b).alias("hi")) for k, (a, b) in enumerate(_EVENT_RANGES)])
+    meets = F.filter(fixed, lambda r: (F.col("value") <= r["hi"]) & (F.col("value") + 5.0 >= r["lo"]))
+    rows = table(spark, sf_dir, "events").select("event_type", F.explode(meets).alias("r"))
+    return rows.groupBy(F.col("r.range_id").alias("range_id"), "event_type").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+WITH q(query_id, lower, upper) AS (VALUES {", ".join(f"({k}, {a * peptides.SCALE}, {b * peptides.SCALE})" for k, (a, b) in enumerate(_RANGES))})
+SELECT doc_id, CAST(query_id AS BIGINT) AS query_id, CAST(lower AS BIGINT) AS lower, CAST(upper AS BIGINT) AS upper FROM documents, q
+""")
+def query_graph_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every query against every graph: the seeds of an enumeration."""
+    found = standins.ranges(spark, *_RANGES).drop("max_vars")
+    return table(spark, sf_dir, "documents").select("doc_id").join(F.broadcast(found))
+
+
+@query("SELECT s_name AS acc, CAST(bin AS INTEGER) AS bin, 3 AS max_vars FROM supplier, (SELECT unnest(range(0, 4)) AS bin)")
+def limits_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A constant budget for every accession and bin."""
+    return budgets.constant_limits(table(spark, sf_dir, "supplier").select(F.col("s_name").alias("acc")), 4, 3)
+
+
+@query("""
+SELECT CAST(r // 100 AS BIGINT) AS batch, count(*) AS n, 'accession:(' || string_agg(c_name, ' OR ' ORDER BY r) || ')' AS query
+FROM (SELECT c_name, row_number() OVER (ORDER BY c_custkey) - 1 AS r FROM customer) GROUP BY 1
+""")
+def batch_accessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accessions in batches of 100, in order, and the text that asks for each batch."""
+    grouped = batches.batches(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name", 100, "c_custkey")
+    return grouped.join(batches.any_of(grouped), "batch").select("batch", "n", "query")
+
+
+@query("""
+WITH c AS (SELECT source AS run_prefix, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY ALL)
+SELECT run_prefix, a.n AS n_en, a.chars AS chars_en, b.n AS n_de, b.chars AS chars_de, d.n AS n_fr, d.chars AS chars_fr
+FROM (SELECT * FROM c WHERE lang = 'en') a JOIN (SELECT * FROM c WHERE lang = 'de') b USING (run_prefix) JOIN (SELECT * FROM c WHERE lang = 'fr') d USING (run_prefix)
+""")
+def branch_join_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three branches, joined where each has the run."""
+    counted = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("run_prefix"), "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+    names = ["en", "de", "fr"]
+    joined = runs.join_branches({k: counted.where(F.col("lang") == k).drop("lang") for k in names})
+    return joined.select("run_prefix", *[F.col(f"{k}.{c}").alias(f"{c}_{k}") for k in names for c in ("n", "chars")])
+
+
+_LINES = ["4000,5000", " 500 , 600 ", "lower,upper", "", "7", "1.5,2", "-3,+8,9", "12,abc"]
+
+
+@query("SELECT CAST(a AS BIGINT) * 1000000000 AS lower, CAST(b AS BIGINT) * 1000000000 AS upper FROM (VALUES (4000, 5000), (500, 600), (-3, 8)) v(a, b)")
+def parse_query_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-number queries out of lines of which some are none."""
+    return inputs.queries(spark.createDataFrame([(x,) for x in _LINES], "value string"))
+
+
+@query("SELECT * FROM (VALUES (CAST(500123456789 AS BIGINT), CAST(600000000000 AS BIGINT)), (CAST(-1999999999 AS BIGINT), CAST(500000000 AS BIGINT))) v(lower, upper)")
+def parse_decimal_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimal queries, truncated to fixed point."""
+    return inputs.queries(spark.createDataFrame([("500.1234567899,600",), ("-1.9999999999,.5,extra",)], "value string"), "decimal_strict")
+
+
+@query("SELECT * FROM (VALUES ('P1'), ('P2'), ('P2'), ('P3')) v(acc)")
+def accession_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accessions out of lines: trimmed, blanks gone, repeats kept."""
+    return inputs.accessions(spark.createDataFrame([(x,) for x in ("P1", " P2 ,x", "", " ", "P2", "P3,")], "value string"))
+
+
+@query("SELECT acc, CAST(bin AS INTEGER) AS bin, CAST(max_vars AS INTEGER) AS max_vars FROM (VALUES ('P1', 0, 3), ('P1', 1, 255), ('P2', 0, 0), ('P2', 1, 1)) v(acc, bin, max_vars)")
+def limits_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Budgets out of a ragged table."""
+    return inputs.limits(spark.createDataFrame([(x,) for x in ("#bins,2", "bins,5,9", "P1,3,255", "P2,0,1,1")], "value string"))
+
+
+@query("SELECT input_file, query_file, CAST(a AS INTEGER) AS max_vars, CAST(b AS INTEGER) AS max_cleavages, run_prefix FROM (VALUES ('a.csv', 'q.csv', 3, 2, '15'), ('b.csv', 'q.csv', 0, 1, 'x')) v(input_file, query_file, a, b, run_prefix)")
+def run_sheet_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed runs out of text cells."""
+    return inputs.run_sheet(spark.createDataFrame([("a.csv", " q.csv", "3", "2", "15"), ("b.csv", "q.csv", " 0 ", "1", "x")], "input_file string, query_file string, max_vars string, max_cleavages string, run_prefix string"))
+
+
+def toy(spark: SparkSession) -> graph.Graphs:
+    """A graph with a known answer."""
+    iv = lambda *xs: [{"lo": a, "hi": b} for a, b in xs]
+    nodes = [(1, 0, "", None, 0, None, 0, iv((0, 50))), (1, 1, "AK", 1, 0, None, 10, iv((0, 0), (20, 20))), (1, 2, "CR", 3, 0, None, 20, iv((0, 0))), (1, 3, "", None, 0, None, 0, iv((0, 0)))]
+    edges = [(1, 0, 0, 1, False, "", 0), (1, 1, 0, 2, False, "v", 1), (1, 2, 1, 2, True, "", 0), (1, 3, 1, 3, False, "", 0), (1, 4, 2, 3, False, "", 0)]
+    return graph.Graphs(spark.createDataFrame([(1, ["P1"], 4, 5, 2)], graph.GRAPHS), spark.createDataFrame(nodes, graph.NODES), spark.createDataFrame(edges, graph.EDGES))
+
+
+@query("SELECT CAST(q AS BIGINT) AS query_id, seq, CAST(w AS BIGINT) AS w, CAST(vc AS INTEGER) AS vc, CAST(mc AS INTEGER) AS mssclvg, header FROM (VALUES (0, 'AK', 10, 0, 0, '>pg|TODO|P1(1:2,mssclvg:0,)'), (0, 'AKCR', 30, 0, 1, '>pg|TODO|P1(1:4,mssclvg:1,)'), (0, 'CR', 20, 1, 0, '>pg|TODO|P1(3:4,mssclvg:0,v)'), (1, 'AK', 10, 0, 0, '>pg|TODO|P1(1:2,mssclvg:0,)'), (1, 'AKCR', 30, 0, 1, '>pg|TODO|P1(1:4,mssclvg:1,)'), (2, 'AKCR', 30, 0, 1, '>pg|TODO|P1(1:4,mssclvg:1,)')) v(q, seq, w, vc, mc, header)")
+def toy_graph_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toy graph with intervals under three queries and budgets."""
+    g = toy(spark)
+    asked = spark.createDataFrame([(0, 10, 30, 1), (1, 10, 30, 0), (2, 30, 30, None)], "query_id long, lower long, upper long, max_vars int")
+    return render.headers(render.peptides(traverse(g, asked).paths, g.graphs)).select("query_id", "seq", "w", "vc", "mssclvg", "header")
+
+
+@query("SELECT * FROM (VALUES ('node_0: [0,50]'), ('node_1: [0,0] | [20,20]'), ('node_2: [0,0]'), ('node_3: [0,0]')) v(line)")
+def interval_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals as text."""
+    return intervals.dump(toy(spark).nodes).select("line")
+
+
+@query("SELECT '' AS side, '' AS seq, CAST(0 AS BIGINT) AS n WHERE false")
+def compare_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enumeration with intervals against the one without, over all documents: no difference."""
+    return runs.compare_readers(standins.graphs(spark, sf_dir), standins.ranges(spark, (LOWER, UPPER)).drop("max_vars"), runs.Run(1, 1, "readers"))
+
+
+@query(f"""
+WITH {_DIGEST}, {_forms(5)}, {_forms(7)}, {_paths(5, "vc <= 3", "pa")}, {_paths(7, "vc <= 3", "pb")},
+c AS (SELECT DISTINCT seq FROM pak WHERE vc = 0), x AS (SELECT DISTINCT seq FROM pak), y AS (SELECT DISTINCT seq FROM pbk)
+SELECT 'sources' AS run_prefix, 'canonical' AS "left", 'five' AS "right", '>' AS side, seq, CAST(1 AS BIGINT) AS n FROM (FROM x EXCEPT FROM c)
+UNION ALL SELECT 'sources', 'five', 'seven', '<', seq, 1 FROM (FROM x EXCEPT FROM y) UNION ALL SELECT 'sources', 'five', 'seven', '>', seq, 1 FROM (FROM y EXCEPT FROM x)
+""")
+def compare_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peptide sets of three variant sources, compared in two pairs."""
+    branches = {"canonical": standins.graphs(spark, sf_dir, variants=False), "five": standins.graphs(spark, sf_dir), "seven": standins.graphs(spark, sf_dir, every=7)}
+    return runs.compare_sources(branches, standins.ranges(spark, (LOWER, UPPER)).drop("max_vars"), runs.Run(3, 2, "sources"), [("canonical", "five"), ("five", "seven")])
