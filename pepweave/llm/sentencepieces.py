@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Segments and pairs that a worker remembers at most.
-REMEMBERED, PAIRS = 400_000, 1_000_000
+REMEMBERED, PAIRS = 300_000, 400_000
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
