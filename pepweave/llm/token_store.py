@@ -17,7 +17,6 @@ ordered by their text; an empty table gives an empty store.
 from __future__ import annotations
 
 import gc
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,6 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pepweave.llm import words as W
+from pepweave.llm.common import text_bytes
+
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 #: Chunks that a worker remembers at most, for as long as it lives.
 REMEMBERED = 500_000
@@ -38,8 +40,15 @@ ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 1 << 18, 1000
 BATCH = 16 << 20
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
-_CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?:\s|\Z)")
+#: Bytes after a space at which a chunk may begin: any but ASCII white space and the lead bytes of other white space.
+_CUTS = np.ones(256, bool)
+_CUTS[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0xC2, 0xE1, 0xE2, 0xE3]] = False
+_LETTER, _SIGN, _SOLID = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_SIGN[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_SOLID[0x21:0x7F] = True
+#: Text bytes encoded at once.
+SLICE = 6 << 20
 
 
 def tokenizer_path(path: str | None) -> str:
@@ -52,7 +61,11 @@ def tokenizer_path(path: str | None) -> str:
 
 
 class Encoder:
-    """Ids of texts as bytes of little-endian unsigned 32-bit integers."""
+    """Ids of texts, chunk by chunk.
+
+    A chunk begins where the pre-tokenizer surely cuts (see cuts). Equal chunks of a batch are found in numpy: up to 32
+    bytes, four machine words and the length are the chunk.
+    """
 
     def __init__(self, path: str | None = None, remembered: int = REMEMBERED):
         import os
@@ -62,58 +75,128 @@ class Encoder:
 
         self.library = Tokenizer.from_file(tokenizer_path(path))
         self.library.encode_special_tokens = True
-        self.remembered = remembered
-        self.after_space: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         starts = [0] * self.library.get_vocab_size()
         for token, i in self.library.get_vocab().items():
             starts[i] = token.startswith("\u0120")  # the byte-level alphabet's space
         self.starts_with_space = np.array(starts, bool)
-        self.tail = np.array([END_ID], "<u4").tobytes()
+        self.remembered = remembered
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _after_space(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks that each follow a space; many in one text, as each chunk's first token alone begins with a space."""
-        out: list[bytes] = []
-        for k in range(0, len(chunks), 4096):
-            some = chunks[k : k + 4096]
-            ids = np.frombuffer(self._library([" " + " ".join(some)])[0], "<u4")
-            at = np.flatnonzero(self.starts_with_space[ids]) if len(some) > 1 else np.zeros(1, int)
-            if len(at) != len(some) or any(" " in c for c in some):
-                out += self._library([f" {c}" for c in some])
-                continue
-            raw, ends = ids.tobytes(), [*at[1:].tolist(), len(ids)]
-            out += [raw[4 * a : 4 * b] for a, b in zip(at.tolist(), ends)]
-        return out
-
-    def _fill(self, local: dict[str, bytes | None]) -> None:
-        """Give the chunks of a batch their ids."""
-        known, older, new = self.after_space, self.older, []
-        for c in local:
-            ids = known.get(c)
-            if ids is None:
+    def _learn(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks; those with one space, in front, many in one text, as only their first token begins with a space."""
+        out: dict[bytes, bytes] = {}
+        plain = [c for c in chunks if c[:1] == b" " and c.count(b" ") == 1]
+        for k in range(0, len(plain), 4096):
+            some = plain[k : k + 4096]
+            ids = np.frombuffer(self._library([b"".join(some).decode()])[0], "<u4")
+            at = np.flatnonzero(self.starts_with_space[ids])
+            if len(at) == len(some):
+                raw, ends = ids.tobytes(), [*at[1:].tolist(), len(ids)]
+                out.update((c, raw[4 * i : 4 * j]) for c, i, j in zip(some, at.tolist(), ends))
+        rest = [c for c in chunks if c not in out]
+        out.update(zip(rest, self._library([c.decode() for c in rest])))
+        return list(map(out.__getitem__, chunks))
+
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of distinct chunks, remembered or new."""
+        known, older = self.known, self.older
+        new = []
+        for c in chunks:
+            if c not in known:
                 ids = older.get(c)
                 if ids is None:
                     new.append(c)
-                    continue
-                known[c] = ids
-            local[c] = ids
-        fresh = dict(zip(new, self._after_space(new)))
-        known.update(fresh)
-        local.update(fresh)
-
-    def encode(self, texts: list[str | None], end: bool = True) -> list[bytes]:
-        tail = self.tail if end else b""
-        chunks = [(_CUT.split(t) if _ODD.search(t) else t.split(" ")) if t else [""] for t in texts]
-        firsts = self._library([parts.pop(0) for parts in chunks])
-        local = dict.fromkeys(set().union(*chunks))
-        self._fill(local)
-        if len(self.after_space) > self.remembered // 2:  # what isn't met again goes with the older half
-            self.older, self.after_space = self.after_space, {}
-        get = local.__getitem__
-        return [first + b"".join(map(get, parts)) + tail for first, parts in zip(firsts, chunks)]
+                else:
+                    known[c] = ids
+        known.update(zip(new, self._learn(new)))
+        out = list(map(known.__getitem__, chunks))
+        if len(known) > self.remembered // 2:  # what isn't met again goes with the older half
+            self.older, self.known = known, {}
+        return out
+
+    def encode(self, column: pa.Array, end: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a string column in a row, and the n + 1 offsets of its texts."""
+        raw, offsets = text_bytes(column)
+        parts = [self._slice(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], end) for i, j in W.slices(offsets, SLICE)]
+        if not parts:
+            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        return np.concatenate([p[0] for p in parts]), np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]))])
+
+    def _slice(self, raw: np.ndarray, offsets: np.ndarray, end: bool) -> tuple[np.ndarray, np.ndarray]:
+        n_rows = len(offsets) - 1
+        begins = cuts(raw)
+        begins[offsets[1:-1][offsets[1:-1] > 0] - 1] &= raw[offsets[1:-1][offsets[1:-1] > 0] - 1] != 0x20  # a space that ends its text
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(begins)
+        first = np.searchsorted(starts, offsets)
+        ends = np.append(starts[1:], len(raw)) if len(starts) else starts
+        group, sample = _groups(raw, starts, ends)
+        whole = raw.tobytes()
+        found = self._ids([whole[i:j] for i, j in zip(starts[sample].tolist(), ends[sample].tolist())])
+        lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found) + np.array([END_ID], "<u4").tobytes(), "<u4")
+        at = np.concatenate([[0], np.cumsum(lens)])
+        lens = np.append(lens, 1)
+        if end:
+            group = np.insert(group, first[1:], len(found))
+            first = first + np.arange(n_rows + 1)
+        n = lens[group]
+        stop = np.cumsum(n)
+        ids = flat[np.repeat(at[group] - (stop - n), n) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        sums = np.concatenate([[0], stop])
+        return ids, np.diff(sums[first])
+
+
+def cuts(raw: np.ndarray) -> np.ndarray:
+    """Mask of bytes at which the pre-tokenizer surely begins a piece, whatever came before the byte before.
+
+    A space before what is no white space; a sign (no apostrophe) after a letter; a line end after what is no white space,
+    and a letter after such a line end. Each chunk between cuts is pre-tokenized alone as it is in the text: only runs of
+    white space look ahead, and they are cut only in front, or are one line end.
+    """
+    out = np.zeros(len(raw), bool)
+    if len(raw) < 2:
+        return out
+    letter = _LETTER[raw]
+    ends = letter.copy()  # a letter of one byte, or of two after 0xC3
+    ends[1:] |= (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+    out[:-1] = (raw[:-1] == 0x20) & _CUTS[raw[1:]]
+    out[1:] |= _SIGN[raw[1:]] & ends[:-1]
+    line = (raw[1:] == 0x0A) & (ends[:-1] | _SOLID[raw[:-1]])
+    out[1:] |= line
+    out[2:] |= line[:-1] & (letter[2:] | (raw[2:] == 0xC3))
+    return out
+
+
+def _groups(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each chunk the number of its group of equal chunks, and for each group one of its chunks."""
+    if not len(starts):
+        return starts, starts
+    lens = ends - starts
+    room = np.concatenate([np.zeros(32, np.uint8), raw, np.zeros(32, np.uint8)])
+    words = np.ndarray((len(room) - 7,), "<u8", room.data, strides=(1,))
+    low = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
+    keep = lambda k: low[np.clip(lens - k, 0, 8)]
+    key = [words[starts + 32] & keep(0), words[starts + 40] & keep(8), words[starts + 48] & keep(16), words[starts + 56] & keep(24)]
+    mixed = W.mix(key[0])
+    for k in key[1:]:
+        mixed = W.mix(mixed ^ k)
+    mixed ^= lens.astype(np.uint64)
+    long = np.flatnonzero(lens > 32)
+    mixed[long] = np.uint64(2**64 - 1)
+    order = np.argsort(mixed, kind="stable")
+    new = np.ones(len(order), bool)
+    same = lens[order[1:]] == lens[order[:-1]]
+    for k in key:
+        same &= k[order[1:]] == k[order[:-1]]
+    new[1:] = ~(same & (lens[order[1:]] <= 32))
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return group, order[new]
 
 
 @lru_cache(maxsize=1)
@@ -134,12 +217,11 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
         for whole in batches:
             for k in range(0, whole.num_rows, 2048):
                 batch = whole.slice(k, 2048)
-                rows = own.encode(batch.column(1).to_pylist())
-                n = np.array([len(r) // 4 for r in rows], np.int64)
-                ends = np.cumsum(n)
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(rows))]))
+                flat, ends = own.encode(batch.column(1))
+                n = np.diff(ends)
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view("<i4")))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.full(len(n), part), pa.int32()), pa.array(at + ends - n), pa.array(n), ids], names=["doc_id", "part", "local_start", "n_tokens", "ids"]
+                    [batch.column(0), pa.array(np.full(len(n), part), pa.int32()), pa.array(at + ends[:-1]), pa.array(n), ids], names=["doc_id", "part", "local_start", "n_tokens", "ids"]
                 )
                 at += int(ends[-1])
 
