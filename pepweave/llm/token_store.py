@@ -6,9 +6,9 @@ and pages have set sizes and carry column and offset indexes. ``doc_id`` is sort
 index(): the number of tokens of each part, read from the narrow columns only, gives every part's first position.
 read(): the documents of a store with their global start.
 
-Encoding is that of the tokenizers library. Its pre-tokenizer always cuts before a space that a non-space character
-follows, so a text's ids are those of its space-delimited chunks in a row; chunks are encoded by the library once per
-worker and kept in a bounded table.
+Encoding is that of the tokenizers library. Its pre-tokenizer surely cuts at certain places (see cuts), so a text's ids
+are those of its chunks between them in a row; distinct chunks are encoded by the library once per worker and kept in a
+bounded table.
 
 Defined results: a null text is empty and holds the end id alone; null doc_ids come first; rows that repeat a doc_id are
 ordered by their text; an empty table gives an empty store.
@@ -37,7 +37,7 @@ PARTS_TO_BROADCAST = 1_000_000
 #: Writer settings: bytes of a row group and of a page, rows of a page.
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 1 << 18, 1000
 #: Bytes of an Arrow batch, either way between Spark and the workers.
-BATCH = 16 << 20
+BATCH = 8 << 20
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
 #: Bytes after a space at which a chunk may begin: any but ASCII white space and the lead bytes of other white space.
@@ -188,7 +188,7 @@ def _groups(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     mixed ^= lens.astype(np.uint64)
     long = np.flatnonzero(lens > 32)
     mixed[long] = np.uint64(2**64 - 1)
-    order = np.argsort(mixed, kind="stable")
+    order = np.argsort(mixed)
     new = np.ones(len(order), bool)
     same = lens[order[1:]] == lens[order[:-1]]
     for k in key:
