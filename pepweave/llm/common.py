@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,36 +10,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pepweave.operators.shared import cut, shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables; the path is opened by Spark alone, so any file system it knows works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir.
-
-    Only where the cluster names none (local tests) is a folder of our own set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="pepweave-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark)}/pepweave/{what}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, what: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, and lost executors cost nothing."""
-    path = scratch(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column in one array, and the n + 1 offsets of its rows; nulls count as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -74,6 +56,8 @@ def keys() -> tuple[Column, Column]:
     return F.xxhash64(F.col("doc_id").cast("long"), "text").alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k2")
 
 
+__all__ = ["cut", "fresh", "keys", "scratch", "shared_dir", "table", "text_bytes", "total"]
+
 #: Rows that total() brings to the driver at most.
 TOTAL_ROWS = 8
 
