@@ -22,3 +22,9 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/pepweave/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df on as many partitions as there are cores, if its scan gives fewer; larger tables stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -75,7 +75,7 @@ def _paths(every: int, most_vars: str, name: str = "pa") -> str:
 @query(f"WITH {_DIGEST} SELECT seq, min(mass) AS mass, min(mssclvg) AS mssclvg, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM oc GROUP BY seq")
 def peptide_mass_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: peptides of up to two missed cleavages in the mass range, with how often they occur."""
-    found = standins.in_range(standins.runs(spark, sf_dir))
+    found = standins.runs(spark, sf_dir)
     return found.groupBy("seq").agg(F.min("mass").alias("mass"), F.min("mssclvg").alias("mssclvg"), F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
 
 
@@ -175,14 +175,14 @@ _DIFF = "SELECT CASE WHEN d > 0 THEN '<' ELSE '>' END AS side, seq, CAST(abs(d)
 @query(f"WITH {_DIGEST}, s AS (SELECT seq, CASE WHEN lang = 'en' THEN 1 ELSE -1 END AS s FROM oc WHERE lang IS NOT NULL) {_DIFF}")
 def multiset_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Peptides of English documents against those of the others, as multisets."""
-    found = standins.in_range(standins.runs(spark, sf_dir))
+    found = standins.runs(spark, sf_dir)
     return compare.multiset_diff(found.where("lang = 'en'"), found.where("lang <> 'en'"))
 
 
 @query(f"WITH {_DIGEST}, s AS (SELECT seq, 1 AS s FROM oc WHERE source = 'src3') {_DIFF}")
 def set_diff_equal_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All peptides against themselves (no row), and against all but one source's (that source's rows)."""
-    found = standins.in_range(standins.runs(spark, sf_dir))
+    found = standins.runs(spark, sf_dir)
     return compare.multiset_diff(found, found).unionByName(compare.multiset_diff(found, found.where("source <> 'src3' OR source IS NULL")))
 
 

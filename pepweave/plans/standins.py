@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from pepweave.functions import fasta, peptides
 from pepweave.operators import graph
+from pepweave.operators.shared import spread
 
 #: The flagship's range in whole dalton, and missed cleavages allowed.
 LOWER, UPPER, MISSED = 500, 600, 2
@@ -19,26 +20,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, protein."""
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", peptides.residues(F.col("text")).alias("protein"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
+    return docs.select("doc_id", "source", "lang", peptides.residues(F.col("text")).alias("protein"))
 
 
-def in_range(found: DataFrame, seq: str = "seq", lower: int = LOWER, upper: int = UPPER, water: int = peptides.WATER) -> DataFrame:
-    """Rows whose peptide weighs lower to upper dalton, as column mass; lengths that can't are dropped before weighing."""
-    least, most = min(peptides.RESIDUES.values()), max(peptides.RESIDUES.values())
-    fits = F.length(seq).between(-(-(lower * peptides.SCALE - water) // most), (upper * peptides.SCALE - water) // least)
-    weighed = found.where(fits).withColumn("mass", peptides.mass(F.col(seq)) + water)
-    return weighed.where(F.col("mass").between(lower * peptides.SCALE, upper * peptides.SCALE))
+def runs(spark: SparkSession, sf_dir: str, lower: int = LOWER, upper: int = UPPER) -> DataFrame:
+    """doc_id, source, lang, i, mssclvg, seq, mass of every run of up to MISSED + 1 fragments that weighs lower to upper dalton.
 
-
-def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, source, lang, i, mssclvg, seq: every run of up to MISSED + 1 fragments. Rows stay where they are: no shuffle."""
+    Rows stay where they are: no shuffle. Fragments too long for the range aren't weighed.
+    """
+    longest = (upper * peptides.SCALE - peptides.WATER) // min(peptides.RESIDUES.values())
     cut = proteins(spark, sf_dir).select("doc_id", "source", "lang", peptides.digest(F.col("protein")).alias("frags")).where(F.size("frags") > 0)
-    shifted = [F.slice("frags", F.lit(k + 1), F.greatest(F.size("frags"), F.lit(0))).alias(f"f{k}") for k in range(MISSED + 1)]
-    rows = cut.select("doc_id", "source", "lang", *shifted)
-    rows = rows.select("doc_id", "source", "lang", F.posexplode(F.arrays_zip(*[f"f{k}" for k in range(MISSED + 1)])).alias("i", "z"))
-    joined = F.array(*[F.struct(F.lit(k).alias("mssclvg"), F.concat(*[F.col(f"z.f{j}") for j in range(k + 1)]).alias("seq")) for k in range(MISSED + 1)])
-    out = rows.select("doc_id", "source", "lang", "i", F.explode(joined).alias("r")).select("doc_id", "source", "lang", "i", "r.mssclvg", "r.seq")
-    return out.where(F.col("seq").isNotNull())
+    # each short fragment is weighed once, inside its row; runs only add up
+    weighed = cut.withColumn("masses", F.transform("frags", lambda f: F.when(F.length(f) <= longest, peptides.mass(f))))
+    steps = range(MISSED + 1)
+    shifted = [F.slice(c, F.lit(k + 1), F.size("frags")).alias(f"{c[0]}{k}") for k in steps for c in ("frags", "masses")]
+    rows = weighed.select("doc_id", "source", "lang", *shifted)
+    rows = rows.select("doc_id", "source", "lang", F.posexplode(F.arrays_zip(*[f"{c}{k}" for k in steps for c in "fm"])).alias("i", "z")).where("z.m0 is not null")
+    forms = F.array(*[
+        F.struct(F.lit(k).alias("mssclvg"), sum([F.col(f"z.m{j}") for j in range(k + 1)], F.lit(peptides.WATER)).alias("mass")) for k in steps
+    ])
+    fits = F.filter(forms, lambda r: r["mass"].between(lower * peptides.SCALE, upper * peptides.SCALE))
+    seqs = F.array(*[F.concat(*[F.col(f"z.f{j}") for j in range(k + 1)]) for k in steps])
+    rows = rows.select("doc_id", "source", "lang", "i", "z", F.explode(fits).alias("r"))
+    return rows.select("doc_id", "source", "lang", "i", "r.mssclvg", F.get(seqs, F.col("r.mssclvg")).alias("seq"), "r.mass")
 
 
 def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +51,7 @@ def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = proteins(spark, sf_dir).select("doc_id", F.posexplode(peptides.digest(F.col("protein"))).alias("i", "f"))
     ahead = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     place = cut.select("doc_id", "i", (F.coalesce(F.sum(F.length("f")).over(ahead), F.lit(0)) + 1).cast("int").alias("spos"))
-    found = in_range(runs(spark, sf_dir)).join(place, ["doc_id", "i"]).withColumn("epos", F.col("spos") + F.length("seq") - 1)
+    found = runs(spark, sf_dir).join(place, ["doc_id", "i"]).withColumn("epos", F.col("spos") + F.length("seq") - 1)
     acc = F.concat(F.lit("D"), F.col("doc_id").cast("string"))
     return found.select("doc_id", "source", "lang", "spos", "epos", "mssclvg", "seq", fasta.header(acc, F.col("spos"), F.col("epos"), F.col("mssclvg"), F.array().cast("array<string>")).alias("header"))
 
