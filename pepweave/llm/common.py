@@ -10,12 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.operators.shared import cut, shared_dir
+from pepweave.operators.shared import cut, shared_dir, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables; the path is opened by Spark alone, so any file system it knows works."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the input tables; the path is opened by Spark alone, so any file system it knows works.
+
+    Documents that are read in fewer parts than there are cores are spread over all of them.
+    """
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(found) if name == "documents" else found
 
 
 def scratch(spark: SparkSession, what: str) -> str:
