@@ -48,7 +48,7 @@ _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _SIGN[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _SOLID[0x21:0x7F] = True
 #: Text bytes encoded at once.
-SLICE = 6 << 20
+SLICE = 3 << 20
 
 
 def tokenizer_path(path: str | None) -> str:
@@ -215,8 +215,8 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
         gc.disable()  # nothing here makes cycles, and millions of strings are slow to visit
         own, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for k in range(0, whole.num_rows, 2048):
-                batch = whole.slice(k, 2048)
+            for k in range(0, whole.num_rows, 1024):
+                batch = whole.slice(k, 1024)
                 flat, ends = own.encode(batch.column(1))
                 n = np.diff(ends)
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view("<i4")))
