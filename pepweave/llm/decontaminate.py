@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pepweave.llm import words as W
-from pepweave.llm.common import fresh, text_bytes
+from pepweave.llm.common import fresh, keys, text_bytes
 
 WINDOW, GRAM = 13, 7
 #: Benchmark text held by a worker at once.
@@ -132,78 +132,86 @@ def scan(index: Index, column: pa.Array) -> tuple[np.ndarray, dict[int, tuple[np
     return n_words, out
 
 
-def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
-    """The items, in blocks of a measured size."""
-    items = benchmark.where(F.col("text").isNotNull()).select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """item_id (as text), text of the items that have one."""
+    return benchmark.where(F.col("text").isNotNull()).select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
+
+
+def n_blocks(items: DataFrame, block_bytes: int) -> int:
+    """Blocks that the items' measured size asks for."""
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [tuple(r) for r in part.collect()]
+    return max(1, -(-size // block_bytes))
+
+
+def block(items: DataFrame, n: int, k: int) -> Index:
+    """The index of block k of n."""
+    part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+    return Index([tuple(r) for r in part.collect()])
 
 
 def annotate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row of docs: row (an id of the row), doc_id, n_words, hit spans [start, end) in words, item names."""
-    spark = docs.sparkSession
-    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts, n = [], 0
-    for n, items in enumerate(blocks(benchmark, block_bytes), 1):
-        index = spark.sparkContext.broadcast(Index(items))
-
-        def work(batches: Iterator[pa.RecordBatch], index=index, lead=n == 1) -> Iterator[pa.RecordBatch]:
+    """Per row of docs: k1, k2 (its key), doc_id, n_words, edges (starts and ends of hit runs of words), items."""
+    spark, items = docs.sparkSession, items_of(benchmark)
+    n = n_blocks(items, block_bytes)
+    slim = docs.select(*keys(), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    names, kinds = ["k1", "k2", "doc_id", "n_words", "edges", "items"], "k1 long, k2 long, doc_id long, n_words long, edges array<long>, items array<string>"
+    parts = []
+    for k in range(n):
+        index = spark.sparkContext.broadcast(block(items, n, k))
+
+        def work(batches: Iterator[pa.RecordBatch], index=index, lead=k == 0) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                n_words, out = scan(index.value, batch.column(2))
+                n_words, out = scan(index.value, batch.column(3))
+                # the first block tells of every row, the others of rows with hits
                 rows = np.arange(len(n_words)) if lead else np.array(sorted(out), np.int64)
-                spans, names = [], []
+                edges, found = [], []
                 for r in rows.tolist():
-                    if r in out:
-                        edges = np.flatnonzero(np.diff(np.concatenate([[0], out[r][0].view(np.int8), [0]])))
-                        spans.append(edges.tolist())
-                        names.append(sorted({index.value.names[i] for i in out[r][1]}))
-                    else:
-                        spans.append([])
-                        names.append([])
+                    mask, which = out.get(r, (np.zeros(0, bool), set()))
+                    edges.append(np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]]))).tolist())
+                    found.append(sorted({index.value.names[i] for i in which}))
+                at = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), pa.array(n_words[rows], pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))],
-                    names=["row", "doc_id", "n_words", "edges", "items"],
+                    [*[batch.column(c).take(at) for c in range(3)], pa.array(n_words[rows], pa.int64()), pa.array(edges, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string()))], names=names
                 )
 
-        parts.append(slim.mapInArrow(work, "row long, doc_id long, n_words long, edges array<long>, items array<string>"))
-    if len(parts) == 1:
-        return parts[0]
+        parts.append(slim.mapInArrow(work, kinds).withColumn("lead", F.lit(int(k == 0))))
+    if n == 1:
+        return parts[0].drop("lead")
     whole = parts[0]
     for p in parts[1:]:
         whole = whole.unionByName(p)
-    merged = whole.groupBy("row", "doc_id", "n_words").agg(F.collect_list("edges").alias("all"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    merged = whole.groupBy("k1", "k2", "doc_id", "n_words").agg(F.collect_list("edges").alias("edges"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.sum("lead").alias("times"))
+    # rows that repeat an id and a text share a key and a result
+    merged = merged.select("k1", "k2", "doc_id", "n_words", "edges", "items", F.explode(F.expr("sequence(1L, times)")).alias("time")).drop("time")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = []
-            for n_words, lists in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            edges = []
+            for n_words, lists in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 mask = np.zeros(n_words, np.int8)
-                for edges in lists:
-                    for s, e in zip(edges[::2], edges[1::2]):
-                        mask[s:e] = 1
-                spans.append(np.flatnonzero(np.diff(np.concatenate([[0], mask, [0]]))).tolist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(spans, pa.list_(pa.int64())), batch.column(4)], names=["row", "doc_id", "n_words", "edges", "items"])
+                for e in lists:
+                    for i, j in zip(e[::2], e[1::2]):
+                        mask[i:j] = 1
+                edges.append(np.flatnonzero(np.diff(np.concatenate([[0], mask, [0]]))).tolist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(edges, pa.list_(pa.int64())), batch.column(5)], names=names)
 
-    return merged.mapInArrow(fold, "row long, doc_id long, n_words long, edges array<long>, items array<string>")
+    return merged.mapInArrow(fold, kinds)
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row: row, doc_id, n_words, n_hit, items, contaminated."""
+    """Per row: k1, k2, doc_id, n_words, n_hit, items, contaminated."""
     found = annotate(docs, benchmark, block_bytes)
     n_hit = F.expr("aggregate(transform(edges, (x, i) -> IF(i % 2 = 0, -x, x)), 0L, (a, x) -> a + x)")
-    return found.select("row", "doc_id", "n_words", n_hit.alias("n_hit"), F.array_sort("items").alias("items")).withColumn(
+    return found.select("k1", "k2", "doc_id", "n_words", n_hit.alias("n_hit"), F.array_sort("items").alias("items")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs that are not contaminated, with all their columns."""
-    listed = list(blocks(benchmark, block_bytes))
-    if len(listed) == 1:
-        index = docs.sparkSession.sparkContext.broadcast(Index(listed[0]))
+    items = items_of(benchmark)
+    if n_blocks(items, block_bytes) == 1:
+        index = docs.sparkSession.sparkContext.broadcast(block(items, 1, 0))
         at = docs.columns.index("text")
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +223,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
                 yield batch.filter(pa.array(keep))
 
         return docs.mapInArrow(work, docs.schema)
-    i, h = fresh(docs, "bad_id", "bad_hash")
-    bad = verdicts(docs.withColumn("text", F.col("text")), benchmark, block_bytes).where("contaminated").select("row")
-    keyed = docs.select(F.monotonically_increasing_id().alias(i), *[F.col(f"`{c}`") for c in docs.columns])
-    return keyed.join(bad.select(F.col("row").alias(h)), F.col(i) == F.col(h), "left_anti").drop(i)
+    i, j, x, y = fresh(docs, "key1", "key2", "bad1", "bad2")
+    bad = verdicts(docs, benchmark, block_bytes).where("contaminated").select(F.col("k1").alias(x), F.col("k2").alias(y))
+    own = [k.alias(c) for k, c in zip(keys(), (i, j))]
+    keyed = docs.select(*own, *[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(bad, (F.col(i) == F.col(x)) & (F.col(j) == F.col(y)), "left_anti").drop(i, j)

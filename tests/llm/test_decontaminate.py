@@ -71,6 +71,15 @@ def test_decontaminate_keeps_columns(spark, block_bytes):
     assert sorted(r.doc_id for r in out.collect()) == sorted(d for d, x in brute(rows, items).items() if not x[-1])
 
 
+def test_repeated_rows_stay_rows(spark):
+    rows, items = case(3, 5)
+    twice = docs(spark, [*rows, rows[2], (None, rows[2][1])])
+    for block_bytes in (1 << 20, 400):
+        got = decontaminate.verdicts(twice, bench(spark, items), block_bytes).collect()
+        assert len(got) == len(rows) + 2
+        assert len({(r.n_words, r.n_hit) for r in got if r.doc_id in (2, None)}) == 1
+
+
 def test_empty_tables(spark):
     got = decontaminate.verdicts(docs(spark, [(1, "a b")]), bench(spark, [])).collect()
     assert [(r.n_words, r.n_hit, r.contaminated) for r in got] == [(2, 0, False)]
