@@ -104,16 +104,16 @@ class Encoder:
     def _ids(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of distinct chunks, remembered or new."""
         known, older = self.known, self.older
+        out = list(map(known.get, chunks))
         new = []
-        for c in chunks:
-            if c not in known:
-                ids = older.get(c)
-                if ids is None:
-                    new.append(c)
-                else:
-                    known[c] = ids
-        known.update(zip(new, self._learn(new)))
-        out = list(map(known.__getitem__, chunks))
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            ids = older.get(chunks[k])
+            if ids is None:
+                new.append(k)
+            else:
+                known[chunks[k]] = out[k] = ids
+        for k, ids in zip(new, self._learn([chunks[k] for k in new])):
+            known[chunks[k]] = out[k] = ids
         if len(known) > self.remembered // 2:  # what isn't met again goes with the older half
             self.older, self.known = known, {}
         return out
@@ -146,7 +146,8 @@ class Encoder:
             first = first + np.arange(n_rows + 1)
         n = lens[group]
         stop = np.cumsum(n)
-        ids = flat[np.repeat(at[group] - (stop - n), n) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        # a slice's tokens are far below 2**31
+        ids = flat[np.repeat((at[group] - (stop - n)).astype(np.int32), n) + np.arange(int(stop[-1]) if len(stop) else 0, dtype=np.int32)]
         sums = np.concatenate([[0], stop])
         return ids, np.diff(sums[first])
 
@@ -205,8 +206,8 @@ def encoder(path: str | None) -> Encoder:
     return Encoder(path)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
-    """Encode docs and write the store."""
+def write(docs: DataFrame, path: str, tokenizer: str | None = None, compression: str = "snappy") -> None:
+    """Encode docs and write the store. Ids are bit-packed already; zstd makes files smaller for more CPU time."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
@@ -227,7 +228,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
 
     (
         dealt.mapInArrow(work, SCHEMA)
-        .write.option("compression", "zstd")
+        .write.option("compression", compression)
         .option("parquet.writer.version", "PARQUET_2_0")
         .option("parquet.enable.dictionary", "true")
         .option("parquet.block.size", str(ROW_GROUP))
