@@ -63,8 +63,8 @@ def tokenizer_path(path: str | None) -> str:
 class Encoder:
     """Ids of texts, chunk by chunk.
 
-    A chunk begins where the pre-tokenizer surely cuts (see cuts). Equal chunks of a batch are found in numpy: up to 32
-    bytes, four machine words and the length are the chunk.
+    A chunk begins where the pre-tokenizer surely cuts (see cuts). Equal chunks of a batch are found in numpy: up to 24
+    bytes, three machine words and the length are the chunk.
     """
 
     def __init__(self, path: str | None = None, remembered: int = REMEMBERED):
@@ -182,19 +182,19 @@ def _groups(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     words = np.ndarray((len(room) - 7,), "<u8", room.data, strides=(1,))
     low = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
     keep = lambda k: low[np.clip(lens - k, 0, 8)]
-    key = [words[starts + 32] & keep(0), words[starts + 40] & keep(8), words[starts + 48] & keep(16), words[starts + 56] & keep(24)]
+    key = [words[starts + 32] & keep(0), words[starts + 40] & keep(8), words[starts + 48] & keep(16)]
     mixed = W.mix(key[0])
     for k in key[1:]:
         mixed = W.mix(mixed ^ k)
     mixed ^= lens.astype(np.uint64)
-    long = np.flatnonzero(lens > 32)
+    long = np.flatnonzero(lens > 24)
     mixed[long] = np.uint64(2**64 - 1)
     order = np.argsort(mixed)
     new = np.ones(len(order), bool)
     same = lens[order[1:]] == lens[order[:-1]]
     for k in key:
         same &= k[order[1:]] == k[order[:-1]]
-    new[1:] = ~(same & (lens[order[1:]] <= 32))
+    new[1:] = ~(same & (lens[order[1:]] <= 24))
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     return group, order[new]
