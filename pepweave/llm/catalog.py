@@ -71,7 +71,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-likelihoods of documents under a network trained on all of them."""
     docs = table(spark, sf_dir, "documents")
-    return masked_lm.score(docs, masked_lm.train(docs))
+    counts = masked_lm.word_counts(docs)
+    return masked_lm.score_words(docs, masked_lm.train(docs, counts=counts), counts)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

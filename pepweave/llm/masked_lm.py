@@ -3,11 +3,14 @@
 Vocabulary: the commonest words of all documents, counted exactly (one aggregate over word hashes), have a class each;
 all other words fall into BUCKETS classes by hash. The network predicts the class of every word from the SIDE words on
 either side: embeddings, one hidden layer, and a softmax in two steps (group, then member of the group), in numpy.
+A word without a class of its own has, below its bucket, the share of the bucket's occurrences that are that word, so
+every word of the corpus has a probability of its own and they add up to 1. The counts are exact: those of about the HOT
+commonest words are broadcast, the others are joined by word hash.
 
 Training: ROUNDS passes over all documents. In a pass each task starts from the common weights, steps through every
 STRIDE-th place of every document of its partition (a different place each pass), and returns its weights; the weights
 are averaged by the places seen, summed up in tasks, so the driver receives a few rows whatever the number of tasks.
-A document's score is the sum of log P(word | both sides) over all its words.
+A document's score is the sum of log P(word | both sides) over all its words (score_words; score stops at the classes).
 
 Defined results: null and blank texts have no words, score 0 and a null mean; repeated rows are scored alike; without
 any words the weights stay as they began; an empty table gives an empty result.
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pepweave.llm import words as W
-from pepweave.llm.common import text_bytes, total
+from pepweave.llm.common import cut, text_bytes, total
 
 #: Groups and members of a group: the classes are their product, with one for the edge of a text and BUCKETS for rare words.
 GROUPS, MEMBERS, BUCKETS = 32, 32, 64
@@ -34,6 +37,8 @@ ROUNDS, STRIDE, BATCH, RATE = 2, 16, 1024, 0.15
 #: Text bytes hashed at once, and places scored at once.
 SLICE, CHUNK = 4 << 20, 1 << 15
 EDGE = 0
+#: Words whose counts are broadcast, at most.
+HOT = 1 << 18
 
 
 @dataclass
@@ -84,8 +89,8 @@ def class_ids(vocabulary: np.ndarray, hashed: np.ndarray, buckets: int) -> np.nd
     return np.where(vocabulary[at] == hashed, at.astype(np.int32) + 1 + buckets, rare)
 
 
-def vocabulary(docs: DataFrame, n: int) -> np.ndarray:
-    """Sorted hashes of the n commonest words (ties: lesser hash)."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """h, n: hash and number of occurrences of every word of docs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,7 +105,11 @@ def vocabulary(docs: DataFrame, n: int) -> np.ndarray:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(counts).astype(np.int64))], names=["h", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return cut(docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
+
+
+def vocabulary(counts: DataFrame, n: int) -> np.ndarray:
+    """Sorted hashes of the n commonest words (ties: lesser hash)."""
     top = counts.orderBy(F.col("n").desc(), "h").limit(n).select("h").toArrow()
     return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
@@ -169,13 +178,19 @@ def forward(shape: Shape, flat: np.ndarray, around: np.ndarray, target: np.ndarr
     return out
 
 
-def texts_as_classes(column: pa.Array, known: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For slices of the rows: first row, classes of the words, index of each row's first word."""
+def texts_as_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For slices of the rows: first row, hashes of the words, index of each row's first word."""
     raw, offsets = text_bytes(column)
     for i, j in W.slices(offsets, SLICE):
         piece = raw[offsets[i] : offsets[j]]
         starts, ends, first = W.bounds(piece, offsets[i : j + 1] - offsets[i], W.NOT_BLANK)
-        yield i, class_ids(known, W.hashes(piece, starts, ends, lower=True), buckets), first
+        yield i, W.hashes(piece, starts, ends, lower=True), first
+
+
+def texts_as_classes(column: pa.Array, known: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For slices of the rows: first row, classes of the words, index of each row's first word."""
+    for i, hashed, first in texts_as_hashes(column):
+        yield i, class_ids(known, hashed, buckets), first
 
 
 @dataclass
@@ -187,26 +202,35 @@ class Model:
     known: np.ndarray
     flat: np.ndarray
 
-    def scores(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Words and summed log-probabilities of each text."""
-        n, out = np.zeros(len(column), np.int64), np.zeros(len(column))
-        for i, classes, first in texts_as_classes(column, self.known, self.buckets):
-            rows = len(first) - 1
-            n[i : i + rows] = np.diff(first)
+    def logs(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For slices of the rows: first row, hashes and classes of the words, index of each row's first word, log P of each class."""
+        for i, hashed, first in texts_as_hashes(column):
+            classes = class_ids(self.known, hashed, self.buckets)
             line, where = padded(classes, first, self.shape.side)
-            log = np.zeros(len(classes) + 1)
+            log = np.zeros(len(classes))
             for k in range(0, len(classes), CHUNK):
                 part = where[k : k + CHUNK]
-                log[k + 1 : k + 1 + len(part)] = forward(self.shape, self.flat, context(line, part, self.shape.side), classes[k : k + CHUNK])
-            sums = np.cumsum(log)
-            out[i : i + rows] = sums[first[1:]] - sums[first[:-1]]
+                log[k : k + len(part)] = forward(self.shape, self.flat, context(line, part, self.shape.side), classes[k : k + CHUNK])
+            yield i, hashed, classes, first, log
+
+    def scores(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Words and summed log-probabilities of the classes of each text."""
+        n, out = np.zeros(len(column), np.int64), np.zeros(len(column))
+        for i, _, _, first, log in self.logs(column):
+            rows = len(first) - 1
+            n[i : i + rows], out[i : i + rows] = np.diff(first), row_sums(log, first)
         return n, out
 
 
-def train(docs: DataFrame, shape: Shape | None = None, buckets: int = BUCKETS, rounds: int = ROUNDS, stride: int = STRIDE) -> Model:
-    """A model of all documents."""
+def row_sums(log: np.ndarray, first: np.ndarray) -> np.ndarray:
+    sums = np.concatenate([[0], np.cumsum(log)])
+    return sums[first[1:]] - sums[first[:-1]]
+
+
+def train(docs: DataFrame, shape: Shape | None = None, buckets: int = BUCKETS, rounds: int = ROUNDS, stride: int = STRIDE, counts: DataFrame | None = None) -> Model:
+    """A model of all documents. counts: their word_counts, if taken already."""
     shape = shape or Shape()
-    model = Model(shape, buckets, vocabulary(docs, shape.classes - 1 - buckets), shape.start())
+    model = Model(shape, buckets, vocabulary(word_counts(docs) if counts is None else counts, shape.classes - 1 - buckets), shape.start())
     spark = docs.sparkSession
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(model)
@@ -237,7 +261,7 @@ def train(docs: DataFrame, shape: Shape | None = None, buckets: int = BUCKETS, r
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row: doc_id, n_words, score (sum of log-probabilities), mean."""
+    """Per row: doc_id, n_words, score (sum of log-probabilities of the classes), mean."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,3 +271,81 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(s), mean], names=["doc_id", "n_words", "score", "mean"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, n_words long, score double, mean double")
+
+
+@dataclass
+class Shares:
+    """What makes the share of a word in its bucket: logarithms of the buckets' counts, hashes and logarithms of common words' counts."""
+
+    buckets: np.ndarray
+    hot: np.ndarray
+    logs: np.ndarray
+
+
+def shares(counts: DataFrame, model: Model, hot: int = HOT) -> Shares:
+    """Of at most hot words; the buckets' counts are of all words without a class of their own."""
+    known, buckets = model.known, model.buckets
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(buckets + 1)
+        for batch in batches:
+            classes = class_ids(known, batch.column(0).to_numpy().view(np.uint64), buckets)
+            rare = classes <= buckets
+            out += np.bincount(classes[rare], batch.column(1).to_numpy()[rare], buckets + 1)
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["v"])
+
+    summed = total(counts.select("h", "n").mapInArrow(add, "v binary"), buckets + 1)
+    step = F.floor(4 * F.log2("n"))  # some hundred values, however many words there are
+    least, room = None, hot
+    for at, size in sorted(counts.groupBy(step).count().collect(), reverse=True):
+        room -= size
+        if room < 0:
+            break
+        least = at
+    top = counts.where(F.lit(False) if least is None else step >= least).select("h", "n").toArrow()
+    h = top.column(0).to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return Shares(np.log(np.maximum(summed, 1)), h[order], np.log(top.column(1).to_numpy().astype(float))[order])
+
+
+def score_words(docs: DataFrame, model: Model, counts: DataFrame, hot: int = HOT) -> DataFrame:
+    """As score(), down to words: log of the share of its bucket is added for each word without a class of its own.
+
+    counts: word_counts of the corpus; a word that isn't in it counts as met once.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((model, shares(counts, model, hot)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (model, share), at = shared.value, TaskContext.get().partitionId() << 40
+        schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("score", pa.float64()), ("h", pa.int64())])
+        for batch in batches:
+            n, out = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            rows, words = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for i, hashed, classes, first, log in model.logs(batch.column(1)):
+                rare = np.flatnonzero(classes <= model.buckets)
+                h = hashed[rare]
+                log[rare] -= share.buckets[classes[rare]]
+                where = np.searchsorted(share.hot, h)
+                where[where == len(share.hot)] = 0
+                met = share.hot[where] == h if len(share.hot) else np.zeros(len(h), bool)
+                log[rare[met]] += share.logs[where[met]]
+                k = len(first) - 1
+                n[i : i + k], out[i : i + k] = np.diff(first), row_sums(log, first)
+                rows.append(at + i + np.searchsorted(first, rare[~met], "right") - 1)
+                words.append(h[~met])
+            own = at + np.arange(batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(own), batch.column(0), pa.array(n), pa.array(out), pa.nulls(len(n), pa.int64())], schema=schema)
+            row, h = np.concatenate(rows), np.concatenate(words).view(np.int64)
+            for k in range(0, len(h), 1 << 16):
+                some = row[k : k + (1 << 16)]
+                none = [pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([pa.array(some), *none, pa.array(h[k : k + (1 << 16)])], schema=schema)
+            at += batch.num_rows
+
+    # rows and their words by one pass that is written once: row numbers mean the same in both
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "row long, doc_id long, n_words long, score double, h long")
+    found = cut(found, "scored")
+    met = found.where(F.col("h").isNotNull()).select("row", "h").join(counts, "h", "left")
+    more = met.groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)).cast("double"))).alias("more"))
+    whole = found.where(F.col("h").isNull()).join(more, "row", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
+    return whole.select("doc_id", "n_words", "score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("mean"))

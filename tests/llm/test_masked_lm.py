@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from helpers import by_id, docs
 
+from pepweave.llm import catalog
 from pepweave.llm import masked_lm as M
 from pepweave.llm import words as W
 from pepweave.llm.common import text_bytes
@@ -93,3 +94,34 @@ def test_empty(spark):
     assert M.score(df, model).count() == 0
     df = docs(spark, [(1, None), (1, None)])
     assert [(r.n_words, r.score) for r in M.score(df, M.train(df, SMALL, buckets=4, rounds=1)).collect()] == [(0, 0.0)] * 2
+
+
+def test_words_below_their_buckets_equal_brute_force(spark):
+    rows = [*corpus(40), (900, None), (901, " \n"), (902, "r1 R1 r2 " * 500), (None, "r1 q"), (904, "r1 q")]
+    df = docs(spark, rows)
+    counts = M.word_counts(df)
+    model = M.train(df, SMALL, buckets=4, rounds=1, counts=counts)
+    met = Counter(one_hash(w) for _, t in rows for w in re.findall("[^\x20\x09-\x0d]+", t or ""))
+    known = set(model.known.tolist())
+    sizes = Counter()
+    for h, n in met.items():
+        sizes[h % 4] += n * (h not in known)
+    for hot in (0, 20, M.HOT):
+        got = M.score_words(df, model, counts, hot=hot).collect()
+        assert len(got) == len(rows)
+        by = {r.doc_id: r for r in got}
+        for i, t in rows:
+            n, s = brute(model, t)
+            rare = [h for h in map(one_hash, re.findall("[^\x20\x09-\x0d]+", t or "")) if h not in known]
+            s += sum(math.log(met[h] / sizes[h % 4]) for h in rare)
+            assert by[i].n_words == n and abs(by[i].score - s) < 1e-3 * max(1, n)
+            assert (by[i]["mean"] is None) == (n == 0)
+
+
+def test_query_tells_words_of_one_bucket_apart(spark, tmp_path):
+    often, other = next((f"a{k}", "b") for k in range(10_000) if one_hash(f"a{k}") % M.BUCKETS == one_hash("b") % M.BUCKETS)
+    rows = [(k, " ".join(f"w{k}_{j}" for j in range(100)) + " ") for k in range(10)]
+    rows = [(i, t * 5) for i, t in rows] + [(20, f"w0_0 {often} w1_1"), (21, f"w0_0 {other} w1_1"), (22, f"{often} {often} {often}")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = by_id(catalog.op9_masked_lm(spark, str(tmp_path)))
+    assert abs(got[20].score - got[21].score - math.log(4)) < 1e-4
