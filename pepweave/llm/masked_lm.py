@@ -8,8 +8,8 @@ every word of the corpus has a probability of its own and they add up to 1. The
 commonest words are broadcast, the others are joined by word hash.
 
 Training: ROUNDS passes over all documents. In a pass each task starts from the common weights, steps through every
-STRIDE-th place of every document of its partition (a different place each pass), and returns its weights; the weights
-are averaged by the places seen, summed up in tasks, so the driver receives a few rows whatever the number of tasks.
+STRIDE-th place of every document of its partition (other places each pass, so that all passes take every place once),
+and returns its weights; the weights are averaged by the places seen, summed up in tasks, so the driver receives a few rows whatever the number of tasks.
 A document's score is the sum of log P(word | both sides) over all its words (score_words; score stops at the classes).
 
 Defined results: null and blank texts have no words, score 0 and a null mean; repeated rows are scored alike; without
@@ -33,7 +33,8 @@ from pepweave.llm.common import cut, text_bytes, total
 #: Groups and members of a group: the classes are their product, with one for the edge of a text and BUCKETS for rare words.
 GROUPS, MEMBERS, BUCKETS = 32, 32, 64
 SIDE, EMBED, HIDDEN = 2, 12, 24
-ROUNDS, STRIDE, BATCH, RATE = 2, 16, 1024, 0.15
+#: ROUNDS passes over every STRIDE-th place: as many rounds as the stride, so each place is a target once.
+ROUNDS, STRIDE, BATCH, RATE = 2, 2, 1024, 0.15
 #: Text bytes hashed at once, and places scored at once.
 SLICE, CHUNK = 4 << 20, 1 << 15
 EDGE = 0
@@ -139,8 +140,10 @@ def forward(shape: Shape, flat: np.ndarray, around: np.ndarray, target: np.ndarr
     pg = np.exp(lg)
     sg = pg.sum(axis=1, keepdims=True)
     out = lg[np.arange(n), group] - np.log(sg[:, 0])
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(shape.groups + 1))
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    cuts = np.searchsorted(group[order], np.arange(shape.groups + 1)).tolist()
+    # rows of a group lie together from here on
+    sorted_hidden, sorted_member, steps, sorted_out = hidden[order], member[order], np.arange(n), np.empty(n, hidden.dtype)
     grad = np.zeros_like(flat) if backward else None
     dh = np.zeros_like(hidden) if backward else None
     if backward:
@@ -151,29 +154,33 @@ def forward(shape: Shape, flat: np.ndarray, around: np.ndarray, target: np.ndarr
         dwg += hidden.T @ pg
         dbg += pg.sum(axis=0)
         dh += pg @ wg.T
+        sorted_dh = np.empty_like(hidden)
     for g in range(shape.groups):
-        rows = order[cuts[g] : cuts[g + 1]]
-        if not len(rows):
+        i, j = cuts[g], cuts[g + 1]
+        if i == j:
             continue
-        h = hidden[rows]
+        h, of, at = sorted_hidden[i:j], sorted_member[i:j], steps[: j - i]
         lm = h @ wm[g] + bm[g]
         lm -= lm.max(axis=1, keepdims=True)
         pm = np.exp(lm)
         sm = pm.sum(axis=1, keepdims=True)
-        out[rows] += lm[np.arange(len(rows)), member[rows]] - np.log(sm[:, 0])
+        sorted_out[i:j] = lm[at, of] - np.log(sm[:, 0])
         if backward:
             pm /= sm
-            pm[np.arange(len(rows)), member[rows]] -= 1
+            pm[at, of] -= 1
             pm /= n
             dwm[g] += h.T @ pm
             dbm[g] += pm.sum(axis=0)
-            dh[rows] += pm @ wm[g].T
+            sorted_dh[i:j] = pm @ wm[g].T
+    out[order] += sorted_out
     if backward:
+        dh[order] += sorted_dh
         dz = dh * (1 - hidden * hidden)
         dw1 += x.T @ dz
         db1 += dz.sum(axis=0)
         dx = (dz @ w1.T).reshape(-1, shape.embed)
-        np.add.at(demb, around.ravel(), dx)
+        at = around.reshape(-1, 1) * shape.embed + np.arange(shape.embed)
+        demb += np.bincount(at.ravel(), dx.ravel(), demb.size).reshape(demb.shape)
         return out, grad
     return out
 
@@ -227,6 +234,12 @@ def row_sums(log: np.ndarray, first: np.ndarray) -> np.ndarray:
     return sums[first[1:]] - sums[first[:-1]]
 
 
+def targets(first: np.ndarray, stride: int, turn: int) -> np.ndarray:
+    """Every stride-th place of each text, from another place each turn; stride turns take every place once (stride no multiple of 7)."""
+    inside = np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
+    return np.flatnonzero(inside % stride == (turn * 7) % stride)
+
+
 def train(docs: DataFrame, shape: Shape | None = None, buckets: int = BUCKETS, rounds: int = ROUNDS, stride: int = STRIDE, counts: DataFrame | None = None) -> Model:
     """A model of all documents. counts: their word_counts, if taken already."""
     shape = shape or Shape()
@@ -242,9 +255,7 @@ def train(docs: DataFrame, shape: Shape | None = None, buckets: int = BUCKETS, r
             for batch in batches:
                 for _, classes, first in texts_as_classes(batch.column(0), begun.known, buckets):
                     line, where = padded(classes, first, shape.side)
-                    # every stride-th place of each text, from another place each turn
-                    inside = np.arange(len(classes)) - np.repeat(first[:-1], np.diff(first))
-                    places = rng.permutation(np.flatnonzero(inside % stride == (turn * 7) % stride))
+                    places = rng.permutation(targets(first, stride, turn))
                     for k in range(0, len(places), BATCH):
                         some = places[k : k + BATCH]
                         _, grad = forward(shape, flat, context(line, where[some], shape.side), classes[some], backward=True)

@@ -125,3 +125,10 @@ def test_query_tells_words_of_one_bucket_apart(spark, tmp_path):
     docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     got = by_id(catalog.op9_masked_lm(spark, str(tmp_path)))
     assert abs(got[20].score - got[21].score - math.log(4)) < 1e-4
+
+
+def test_training_takes_every_place_once():
+    texts = pa.array(["a", "a b c", None, " ".join(f"w{k}" for k in range(40))])
+    ((_, _, first),) = M.texts_as_classes(texts, np.zeros(0, np.uint64), 4)
+    taken = [k for turn in range(M.ROUNDS) for k in M.targets(first, M.STRIDE, turn).tolist()]
+    assert sorted(taken) == list(range(44))
