@@ -17,7 +17,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of documents, written to a store and read back from it."""
     path = scratch(spark, "tokens")
-    token_store.write(table(spark, sf_dir, "documents"), path)
+    token_store.write(table(spark, sf_dir, "documents"), path, literals=True)
     return token_store.checksums(token_store.read(spark, path))
 
 

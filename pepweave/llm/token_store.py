@@ -8,7 +8,8 @@ read(): the documents of a store with their global start.
 
 Encoding is that of the tokenizers library. Its pre-tokenizer surely cuts at certain places (see cuts), so a text's ids
 are those of its chunks between them in a row; distinct chunks are encoded by the library once per worker and kept in a
-bounded table.
+bounded table. With literals=True, as the library does by default, an added token that stands in a text (<|endoftext|>) is
+that token: it is a chunk of its own, and the text ends before it and begins after it. Without, it is plain text.
 
 Defined results: a null text is empty and holds the end id alone; null doc_ids come first; rows that repeat a doc_id are
 ordered by their text; an empty table gives an empty store.
@@ -17,6 +18,7 @@ ordered by their text; an empty table gives an empty store.
 from __future__ import annotations
 
 import gc
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -67,14 +69,15 @@ class Encoder:
     bytes, three machine words and the length are the chunk.
     """
 
-    def __init__(self, path: str | None = None, remembered: int = REMEMBERED):
+    def __init__(self, path: str | None = None, remembered: int = REMEMBERED, literals: bool = False):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_path(path))
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not literals
+        self.literals = literal_pattern(self.library) if literals else None
         starts = [0] * self.library.get_vocab_size()
         for token, i in self.library.get_vocab().items():
             starts[i] = token.startswith("\u0120")  # the byte-level alphabet's space
@@ -126,16 +129,32 @@ class Encoder:
             return np.zeros(0, "<u4"), np.zeros(1, np.int64)
         return np.concatenate([p[0] for p in parts]), np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]))])
 
+    def literal_spans(self, whole: bytes, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Start and end of each added token that stands in a text, from left to right."""
+        out, at = [], 0
+        while m := self.literals.search(whole, at):
+            s, e = m.span()
+            row_end = int(offsets[np.searchsorted(offsets, s, "right")])
+            if e > row_end:  # over the end of its text: a shorter one may still fit
+                m = self.literals.search(whole, s, row_end)
+                s, e = m.span() if m else (row_end, row_end)
+            if e > s:
+                out.append((s, e))
+            at = e
+        return out
+
     def _slice(self, raw: np.ndarray, offsets: np.ndarray, end: bool) -> tuple[np.ndarray, np.ndarray]:
         n_rows = len(offsets) - 1
         begins = cuts(raw)
         begins[offsets[1:-1][offsets[1:-1] > 0] - 1] &= raw[offsets[1:-1][offsets[1:-1] > 0] - 1] != 0x20  # a space that ends its text
+        whole = raw.tobytes()
+        if self.literals is not None:
+            apart(begins, raw, self.literal_spans(whole, offsets))
         begins[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(begins)
         first = np.searchsorted(starts, offsets)
         ends = np.append(starts[1:], len(raw)) if len(starts) else starts
         group, sample = _groups(raw, starts, ends)
-        whole = raw.tobytes()
         found = self._ids([whole[i:j] for i, j in zip(starts[sample].tolist(), ends[sample].tolist())])
         lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found) + np.array([END_ID], "<u4").tobytes(), "<u4")
@@ -152,6 +171,25 @@ class Encoder:
         return ids, np.diff(sums[first])
 
 
+def literal_pattern(library) -> re.Pattern | None:
+    """Matches the added tokens, the longest at each place; those that take white space or look around aren't handled."""
+    added = library.get_added_tokens_decoder().values()
+    if any(t.lstrip or t.rstrip or t.single_word for t in added):
+        raise ValueError("added tokens with lstrip, rstrip or single_word are not supported")
+    found = sorted((t.content.encode() for t in added), key=len, reverse=True)
+    return re.compile(b"|".join(map(re.escape, found))) if found else None
+
+
+def apart(begins: np.ndarray, raw: np.ndarray, spans: list[tuple[int, int]]) -> None:
+    """Make each span a chunk of its own, with an end of text before it: a space there belongs to what came before."""
+    for s, e in spans:
+        begins[s + 1 : e] = False
+        if s and raw[s - 1] == 0x20:
+            begins[s - 1] = False
+        begins[s] = True
+        begins[e : e + 1] = True
+
+
 def cuts(raw: np.ndarray) -> np.ndarray:
     """Mask of bytes at which the pre-tokenizer surely begins a piece, whatever came before the byte before.
 
@@ -201,20 +239,20 @@ def _groups(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str | None) -> Encoder:
+def encoder(path: str | None, literals: bool) -> Encoder:
     """The worker's own encoder, kept from task to task."""
-    return Encoder(path)
+    return Encoder(path, literals=literals)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str | None = None, compression: str = "snappy") -> None:
-    """Encode docs and write the store. Ids are bit-packed already; zstd makes files smaller for more CPU time."""
+def write(docs: DataFrame, path: str, tokenizer: str | None = None, compression: str = "snappy", literals: bool = False) -> None:
+    """Encode docs and write the store. literals: added tokens in texts are tokens, as the library has it. Ids are bit-packed already; zstd makes files smaller for more CPU time."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here makes cycles, and millions of strings are slow to visit
-        own, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        own, part, at = encoder(tokenizer, literals), TaskContext.get().partitionId(), 0
         for whole in batches:
             for k in range(0, whole.num_rows, 1024):
                 batch = whole.slice(k, 1024)

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from pepweave.llm import token_store
+from pepweave.llm import catalog, token_store
 from pepweave.llm.common import scratch
 
 ROWS = [
@@ -85,3 +85,40 @@ def test_real_texts_equal_the_library(library):
     ids, at = token_store.Encoder().encode(texts)
     for text, i, j in zip(texts.to_pylist(), at[:-1], at[1:]):
         assert ids[i:j].tolist() == ids_of(library, text)
+
+
+@pytest.fixture(scope="module")
+def plain_library():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+END = "<|endoftext|>"
+ENCODER = token_store.Encoder(remembered=5, literals=True)
+LITERALS = [
+    f"a {END} b", END, f" {END}", f"{END} ", f"{END}{END}", f"{END} {END}  {END}\n{END}", f"x  {END}  y", f"x\n{END}\nabc", f"x\n {END}\n\n z", f"<{END}>", f"it{END}'s", "<|endof", "text|>", "a <|endof text|>", f"<|endof{END}", " ", f"{END}b", "",
+]
+
+
+def test_added_tokens_in_texts_equal_the_library(plain_library):
+    assert ids_of(plain_library, f"a {END} b") == [64, 220, 50256, 275, 2]
+    encoder = token_store.Encoder(literals=True)
+    ids, at = encoder.encode(pa.array(LITERALS))
+    for text, i, j in zip(LITERALS, at[:-1], at[1:]):
+        assert ids[i:j].tolist() == ids_of(plain_library, text), text
+
+
+@given(st.lists(st.lists(st.sampled_from([END, "<|endof", "text|>", " ", "  ", "\n", "a", "é", "'s", "|>", "<", "1", "\t", "\u3000"]), max_size=9).map("".join), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_chunks_about_added_tokens_equal_the_library(plain_library, texts):
+    ids, at = ENCODER.encode(pa.array(texts, pa.string()))
+    assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == [ids_of(plain_library, t) for t in texts]
+
+
+def test_query_takes_added_tokens_as_the_library_does(spark, plain_library, tmp_path):
+    rows = list(enumerate(LITERALS))
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    start = 0
+    for got, (i, text) in zip(sorted(catalog.op2_token_store(spark, str(tmp_path)).collect()), rows, strict=True):
+        want = ids_of(plain_library, text)
+        assert tuple(got) == (i, start, len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
+        start += len(want)
