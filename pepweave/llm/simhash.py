@@ -13,8 +13,8 @@
 Only tile boundaries are matched against each other by a join; fingerprints and links never reach the driver.
 
 Defined results: null and blank texts have fingerprint zero and are linked like any other; a null doc_id takes part but
-is never the smallest id unless all ids of a component are null; rows that repeat a doc_id are separate rows; an empty
-table gives an empty result.
+is never the smallest id unless all ids of a component are null; rows that repeat a doc_id are separate rows, and dedup()
+keeps one row of each component whatever their ids; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pepweave.llm import words as W
-from pepweave.llm.common import cut, fresh, text_bytes
+from pepweave.llm.common import cut, fresh, keys, text_bytes
 from pepweave.llm.components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -56,8 +56,10 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     return np.packbits(2 * counts > n, bitorder="little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of each row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) of each row and, if asked for, its keys k1, k2."""
+    more = list(keys()) if keyed else []
+    names = ["doc_id", "fp", "k1", "k2"][: 2 + len(more)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,9 +67,9 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             low = W.LOWER[raw].tobytes()
             fps = [fingerprint(low[s:e], shingle) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             fp = np.concatenate(fps).view(np.int64) if fps else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), *batch.columns[2:]], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more).mapInArrow(work, ", ".join(f"{n} long" for n in names))
 
 
 def counts_of(fps: np.ndarray) -> np.ndarray:
@@ -141,7 +143,8 @@ def forest(x: np.ndarray, y: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarr
         other = y[where]
         for s in range(bx * BLOCK, min(len(x), (bx + 1) * BLOCK), 32):
             rows = x[s : min(s + 32, (bx + 1) * BLOCK)]
-            close = np.bitwise_count(rows[:, None] ^ other[None, :]) <= radius
+            # unsigned: of negative numbers, bitwise_count counts the absolute value's bits
+            close = np.bitwise_count((rows[:, None] ^ other[None, :]).view(np.uint64)) <= radius
             flat = np.flatnonzero(close)
             if not len(flat):
                 continue
@@ -179,20 +182,40 @@ def links(distinct: DataFrame, radius: int = RADIUS, size: int = TILE) -> DataFr
     return paired.mapInArrow(work, "a long, b long")
 
 
-def cluster(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, size: int = TILE) -> DataFrame:
-    """Per row: doc_id, fp (signed long), component_id."""
-    prints = cut(fingerprints(docs, shingle), "prints")
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct")
+def components_of(prints: DataFrame, order: Column, radius: int, size: int) -> DataFrame:
+    """fp, least (by order) of all rows of its component, found (true); components of one row are left out."""
+    distinct = cut(prints.groupBy("fp").agg(F.min(order).alias("least"), F.count("*").alias("n")), "distinct")
     labels = components(links(distinct.select("fp"), radius, size))
     known = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").where((F.col("n") > 1) | F.col("label").isNotNull())
     known = known.select("fp", "least", F.coalesce("label", "fp").alias("label"))
-    least = known.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_print = known.join(least, "label").select("fp", "component_id", F.lit(True).alias("found"))
-    return prints.join(of_print, "fp", "left").select("doc_id", "fp", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    least = known.groupBy("label").agg(F.min("least").alias("component_least"))
+    return known.join(least, "label").select("fp", F.col("component_least").alias("least"), F.lit(True).alias("found"))
 
 
-def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs that stay: of each component the row with its smallest doc_id, with all columns."""
-    (i,) = fresh(docs, "gone_id")
-    gone = cluster(docs, shingle, radius).where(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias(i)).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(i)), "left_anti")
+def cluster(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, size: int = TILE) -> DataFrame:
+    """Per row: doc_id, fp (signed long), component_id."""
+    prints = cut(fingerprints(docs, shingle), "prints")
+    of_print = components_of(prints, F.col("doc_id"), radius, size)
+    return prints.join(of_print, "fp", "left").select("doc_id", "fp", F.when(F.col("found"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, size: int = TILE) -> DataFrame:
+    """The rows of docs that stay: of each component the row with its smallest doc_id, with all columns.
+
+    Rows are told apart by id and text, not by id alone. Where a component's smallest id is repeated, or all are null, the
+    texts' hashes choose; rows that repeat id and text are one.
+    """
+    prints = cut(fingerprints(docs, shingle, keyed=True), "prints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")
+    rows = prints.join(components_of(prints, order, radius, size), "fp")
+    stays = (F.col("k1") == F.col("least.k1")) & (F.col("k2") == F.col("least.k2"))
+    k1, k2 = fresh(docs, "key_one", "key_two")
+    groups = rows.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.max(stays).alias("stays"), F.count("*").alias("n"))
+    leave = cut(groups.where(~F.col("stays") | (F.col("n") > 1)), "gone")
+    keyed = docs.select(*docs.columns, *[k.alias(name) for k, name in zip(keys(), (k1, k2))])
+    out = keyed.join(leave.select(k1, k2), [k1, k2], "left_anti").select(*docs.columns)
+    repeated = leave.where("stays").select(k1, k2)
+    if repeated.isEmpty():
+        return out
+    again = keyed.join(repeated, [k1, k2], "left_semi").groupBy(k1, k2).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+    return out.unionByName(again.select("row.*"))

@@ -84,3 +84,33 @@ def test_components_of_a_chain(spark):
     chain = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(1000, 1001), (5, 5)], "a long, b long")
     got = {r.node: r.label for r in components(chain).collect()}
     assert got == {k: 0 for k in range(301)} | {1000: 1000, 1001: 1000}
+
+
+def test_dedup_tells_rows_apart_where_ids_are_null_or_repeated(spark):
+    kept = lambda rows, **k: sorted((str(r.doc_id), r.text or "") for r in simhash.dedup(docs(spark, rows, **k)).collect())
+    assert kept([(None, "a b c d e"), (3, "a b c d e"), (None, "zz")]) == [("3", "a b c d e"), ("None", "zz")]
+    # a repeated id: one row is a copy of another document's, one is clean
+    assert kept([(1, "a b c d e"), (2, "A b c d e"), (2, "other words that stand alone here")], key_one=1) == [("1", "a b c d e"), ("2", "other words that stand alone here")]
+    # rows that repeat id and text, rows of one id and equal prints, and groups without ids
+    assert kept([(5, "a b c d e")] * 3) == [("5", "a b c d e")]
+    assert len(kept([(5, "a b c d e"), (5, "A b c d e"), (6, "a b c d e")])) == 1
+    rows = [(None, "q w e r t")] * 2 + [(None, "zz"), (None, "Q w e r t"), (7, "zz"), (None, None)]
+    assert [(i, t.lower()) for i, t in kept(rows)] == [("7", "zz"), ("None", ""), ("None", "q w e r t")]
+    # every component keeps exactly one row, its smallest id if it has any
+    rows = rows_of(5)
+    rows = rows + [(i, t) for i, t in rows[::3]] + [(None, t) for _, t in rows[::4]] + [(rows[0][0], "a text of its own with an id met before")]
+    df = docs(spark, rows)
+    out = kept(rows)
+    comps = brute([(k, t) for k, (_, t) in enumerate(rows)])
+    want = {}
+    for k, _, c in comps:
+        i = rows[k][0]
+        want.setdefault(c, []).append((i is None, i))
+    assert sorted(i for i, _ in out) == sorted(str(min(w)[1]) for w in want.values())
+    assert simhash.dedup(df).columns == df.columns
+
+
+def test_prints_that_differ_in_the_sign_bit_are_linked():
+    a = np.array([0x070126D0F0F371EB], np.int64)
+    b = a ^ np.int64(-(2**63)) ^ np.int64(0x8000)
+    assert [x.tolist() for x in simhash.forest(a, b)] == [a.tolist(), b.tolist()]
