@@ -2,20 +2,29 @@
 
 Base patterns (kinds assign, access, hex) are found exactly as stated in BASE. Beyond them the lexer reads source and
 configuration syntax around every ``=``, ``:``, ``:=`` and ``=>`` into pairs of a name and an expression (quoted or bare
-literals, names, and sums of these), propagates constants through names, and scores each literal that reaches a target
-by how sensitive the target's name is and how much the literal looks like a key. Literals over THRESHOLD that no base
-span covers are reported as kind ``named``.
+literals, names, and sums of these; type annotations are skipped). Pairs are taken in the order of the text: a name stands
+for the literals that it was last given, or, if it is used before, that it is first given later. Each literal that reaches
+a target is scored by how sensitive the target's name is and how much the literal looks like a key; literals over
+THRESHOLD that no base span covers are reported as kind ``named``.
+
+What a name stands for is kept as the spans of its distinct literals, so long chains and repeated sums stay small: time is
+in proportion to the text. By definition a sum of over MANY literals is computed text and a literal of over LONGEST code
+points is content; neither is a key.
 
 Defined results: null and empty texts have no spans; offsets are code points, ends exclusive; equal spans of a kind are
-reported once; texts are read whole, rows are independent, nothing is shuffled; further columns are passed by.
+reported once; texts of any length are read whole; rows are independent, so repeated rows have equal results and ids may
+repeat or be null; an empty table gives an empty result; nothing is shuffled; further columns, whatever their names, are
+left out of the result.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,20 +50,30 @@ KEY_PREFIXES = {"api", "access", "private", "secret", "signing", "encryption", "
 HARMLESS_ENDS = {"id", "name", "type", "count", "length", "size", "url", "uri", "path", "file", "field", "policy", "expiry", "ttl", "hint", "limit"}
 PLACEHOLDER = re.compile(r"^(?:change_?me|example.*|your.*|my_?.*|xxx+.*|none|null|true|false|todo|test|dummy|placeholder|redacted|\*+|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s|\$[A-Za-z_]\w*)$", re.I)
 THRESHOLD = 0.5
-#: No name, and no gap before the separator, is longer.
-REACH = 96
-
-_OP = re.compile(r"=>|:=|=(?!=)|:(?![:/=])")
-_NAME_BEFORE = re.compile(r"""(["']?)([A-Za-z_][A-Za-z0-9_.\-]{0,63})\1[ \t]{0,8}\Z""")
-_ATOM = re.compile(r"""[ \t]{0,8}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z0-9_+/.=\-]+))""")
-_PLUS = re.compile(r"[ \t]{0,8}\+(?=[ \t\"'`])")
+#: Most literals of a sum, and most code points of a literal, that may still be a key.
+MANY, LONGEST = 64, 4096
+#: Type names; behind a colon and before ``=`` they are no names of their own.
+TYPES = {"str", "string", "bytes", "bytearray", "char", "text", "any", "object", "auto", "var", "optional", "final", "const", "int", "float", "bool", "number"}
+
+_PAIR = re.compile(r"""(?<![A-Za-z0-9_.\-])([A-Za-z0-9_.\-]++)(["']?+)\]?+[ \t]*+(?:=>|:=|=(?!=)|(:(?![:/=])))""")
+_HEAD = re.compile(r"[^A-Za-z_]*+")
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*+")
+_TYPE = r"[&*]?+([A-Za-z_][A-Za-z0-9_.]*+)(?:\[[^\]\n=]{0,256}+\])?+"
+_ANNOTATION = re.compile(rf"[ \t]*+{_TYPE}(?:[ \t]*+\|[ \t]*+{_TYPE})*+\??+[ \t]*+=(?![=>])")
+_QUOTED = re.compile(r"""(?:[rRbBuUfFL]{1,2}|u8)?+(?:"([^"\\\n]*+(?:\\.[^"\\\n]*+)*+)"|'([^'\\\n]*+(?:\\.[^'\\\n]*+)*+)'|`([^`\n]*+)`)""")
+#: Up to white space, a quote, a sum's sign or the next field of a query string.
+_BARE = re.compile(r"""(?:[^\s"'`+&]|\+(?![ \t"'`])|&(?!\w{1,64}=))++""")
+_BLANKS = re.compile(r"[ \t]*+")
+_PLUS = re.compile(r"[ \t]*+\+(?![+=])")
+_CALL = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*+[(\[]")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+#: Every sensitive name holds one of these, lower-cased.
+_STEMS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "string", "dsn", "webhook")
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind index, end) of the base kinds."""
+def base_spans(text: str, low: str) -> list[tuple[int, int, int]]:
+    """(start, kind index, end) of the base kinds; low is the text in lower case."""
     out = []
-    low = text.lower()
     for k, kind in enumerate(KINDS[:3]):
         pattern, group, least = BASE[kind]
         if kind == "assign" and not any(w in low for w in KEYWORDS) or kind == "access" and "AKIA" not in text:
@@ -76,7 +95,7 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """How much a literal looks like a secret, 0 to 1: length, entropy, kinds of characters."""
-    if len(value) < 8 or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+    if not 8 <= len(value) <= LONGEST or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
         return 0.0
     n = len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
@@ -86,61 +105,88 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / 3.5) * min(1.0, 0.55 + 0.15 * kinds) * min(1.0, 0.7 + n / 50)
 
 
-def pairs(text: str) -> list[tuple[str, list[tuple[str, str, int, int]]]]:
-    """(name, parts) of each assignment; a part is ("literal" or "bare", value, start, end)."""
-    out = []
-    for op in _OP.finditer(text):
-        head = _NAME_BEFORE.search(text[max(0, op.start() - REACH) : op.start()])
-        if not head:
+def pairs(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
+    """(name, parts) of each assignment in order; a part is ("literal", "bare" or "code", start, end)."""
+    skip, begin, stop, solid = -1, 0, 0, 0  # the last bare run: every place in it has its end
+    for m in _PAIR.finditer(text):
+        name = m[1][_HEAD.match(m[1]).end() :]
+        quote = m[2]
+        if not name or m.start() == skip or (quote and (m.start() == 0 or text[m.start() - 1] != quote)):
             continue
-        parts, at = [], op.end()
-        while m := _ATOM.match(text, at):
-            g = m.lastindex
-            parts.append(("bare" if g == 4 else "literal", m[g], m.start(g), m.end(g)))
-            plus = _PLUS.match(text, m.end())
+        at = m.end()
+        if m[3] and (typed := _ANNOTATION.match(text, at)):
+            at = typed.end()
+            if typed[1].rpartition(".")[2].lower() in TYPES:
+                skip = typed.start(1)
+        parts: list[tuple[str, int, int]] = []
+        while len(parts) <= MANY:
+            at = _BLANKS.match(text, at).end()
+            if quoted := _QUOTED.match(text, at):
+                parts.append(("literal", *quoted.span(quoted.lastindex)))
+                at = quoted.end()
+            else:
+                if not begin <= at < stop:
+                    if not (bare := _BARE.match(text, at)):
+                        break
+                    begin, stop = bare.span()
+                    solid = begin + len(bare[0].rstrip(",;)]}"))
+                end = max(at, solid)
+                parts.append(("code" if _CALL.match(text, at, end) else "bare", at, end))
+                at = stop
+            plus = _PLUS.match(text, at)
             if not plus:
                 break
             at = plus.end()
         if parts:
-            out.append((head[2], parts))
-    return out
+            yield name, parts
 
 
-def named_spans(text: str) -> list[tuple[int, int, str, float]]:
-    """(start, end, name, score) of literals that reach sensitive names."""
-    if "=" not in text and ":" not in text:
-        return []
-    found = pairs(text)
-    targets = [(name, s) for name, _ in found if (s := name_score(name)) > 0]
-    if not targets:
+def named_spans(text: str, low: str) -> list[tuple[int, int, str, float]]:
+    """(start, end, name, score) of literals that reach sensitive names; low is the text in lower case."""
+    if "=" not in text and ":" not in text or not any(s in low for s in _STEMS):
         return []
-    constants: dict[str, list[tuple[str, str, int, int]]] = {}
-    for name, parts in found:
-        constants.setdefault(name, parts)
-        if len(parts) > 1 or parts[0][0] == "literal":
-            constants[name] = parts
-
-    def resolve(parts: list[tuple[str, str, int, int]], seen: frozenset) -> list[tuple[str, int, int]]:
-        out = []
-        for kind, value, start, end in parts:
-            if kind == "bare" and value in constants:
-                if value not in seen:
-                    out += resolve(constants[value], seen | {value})
-            elif kind == "literal" or len(parts) == 1:
-                out.append((value, start, end))
-        return out
-
+    #: What names stand for: spans of distinct literals, or None for computed text.
+    now: dict[str, tuple[tuple[int, int], ...] | None] = {}
+    first: dict[str, tuple[tuple[int, int], ...] | None] = {}
+    later: list[tuple[str, float, str]] = []
+    looks: dict[tuple[tuple[int, int], ...], float] = {}
     best: dict[tuple[int, int], tuple[str, float]] = {}
-    for name, parts in found:
-        s = name_score(name)
-        if s <= 0:
-            continue
-        literals = resolve(parts, frozenset({name}))
-        score = s * literal_score("".join(v for v, _, _ in literals))
+
+    def judge(name: str, sensitive: float, spans: tuple[tuple[int, int], ...] | None) -> None:
+        if not spans:
+            return
+        if spans not in looks:
+            size = sum(b - a for a, b in spans)
+            looks[spans] = literal_score("".join(text[a:b] for a, b in spans)) if size <= LONGEST else 0.0
+        score = sensitive * looks[spans]
         if score >= THRESHOLD:
-            for v, start, end in literals:
-                if len(v) >= 4 and score > best.get((start, end), ("", 0.0))[1]:
-                    best[start, end] = name, score
+            for span in spans:
+                if span[1] - span[0] >= 4 and score > best.get(span, ("", 0.0))[1]:
+                    best[span] = name, score
+
+    for name, parts in pairs(text):
+        sensitive = name_score(name)
+        found: dict[tuple[int, int], None] | None = {}
+        for kind, start, end in parts:
+            word = None
+            if kind == "bare" and (m := _NAME.match(text, start, end)) and m.end() == end:
+                word = m[0]
+            if word is not None and word in now:
+                found = None if now[word] is None else found | dict.fromkeys(now[word])
+            elif kind == "literal" or kind == "bare" and len(parts) == 1:
+                found[start, end] = None
+                if word is not None and sensitive > 0:
+                    later.append((name, sensitive, word))
+            if found is None or len(found) > MANY:
+                found = None
+                break
+        spans = None if found is None else tuple(found)
+        if sensitive > 0:
+            judge(name, sensitive, spans)
+        now[name] = spans
+        first.setdefault(name, spans)
+    for name, sensitive, word in later:
+        judge(name, sensitive, first.get(word))
     return [(a, b, name, score) for (a, b), (name, score) in best.items()]
 
 
@@ -148,10 +194,14 @@ def find(text: str | None) -> list[dict]:
     """All spans by start, then kind as listed: kind, start, end, name (of the target), score."""
     if not text:
         return []
-    base = base_spans(text)
+    low = text.lower()
+    base = base_spans(text, low)
     spans = [{"kind": KINDS[k], "start": a, "end": b, "name": None, "score": 1.0} for a, k, b in base]
-    for a, b, name, score in named_spans(text):
-        if not any(x < b and a < y for x, _, y in base):
+    base.sort()
+    starts, reach = [a for a, _, _ in base], list(accumulate([b for _, _, b in base], max))
+    for a, b, name, score in named_spans(text, low):
+        before = bisect_left(starts, b)  # base spans that begin before b
+        if not before or reach[before - 1] <= a:
             spans.append({"kind": "named", "start": a, "end": b, "name": name, "score": score})
     return sorted(spans, key=lambda x: (x["start"], KINDS.index(x["kind"]), x["end"]))
 

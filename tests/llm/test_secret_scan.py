@@ -1,6 +1,8 @@
 import hashlib
 import re
+import time
 
+import pytest
 from helpers import by_id, docs
 
 from pepweave.llm import catalog, secret_scan
@@ -45,6 +47,46 @@ def test_literals_reach_sensitive_names():
     assert named(f"signing_key: '{value}'") == [value]
 
 
+def test_shapes_of_assignments():
+    value = "q7Rt" + "9xWz" + "Lm2P" + "vB4n"
+    blanks = " " * 300
+    assert named(f'db_pwd{blanks}={blanks}"{value}"') == [value]
+    assert named(f'{"n" * 200}_pwd = "{value}"') == [value]
+    assert secret_scan.find(f'{"n" * 200}_pwd = "{value}"')[0]["name"] == "n" * 200 + "_pwd"
+    assert named(f'db_pwd: str = "{value}"') == [value]
+    assert named(f'db_pwd: Optional[str] = "{value}"') == [value]
+    assert named(f'db_pwd: str | None = b"{value}"') == [value]
+    assert named(f'note: db_pwd = "{value}"') == [value]
+    assert named(f'd["db_pwd"] = r\'{value}\';') == [value]
+    assert named("DB_PWD=q7Rt!9x#Wz@Lm:2P, x") == ["q7Rt!9x#Wz@Lm:2P"]
+    assert named(f'build: str = "{value}"\ndb_pwd: str\n') == []
+    assert named("db_pwd = load_settings(q7Rt9xWz)[0]") == []
+
+
+def test_names_are_followed_in_the_order_of_the_text():
+    value = "q7Rt" + "9xWz" + "Lm2P" + "vB4n"
+    assert named(f'K = "{value}"\ndb_pwd = K\nK = "changeme"') == [value]
+    assert named(f'K = "changeme"\ndb_pwd = K\nK = "{value}"') == []
+    assert named(f'db_pwd = K\nK = "{value}"\nK = "changeme"') == [value]
+    assert named(f'a = "{value}"\nb = a\na = b\nb = a\ndb_pwd = b') == [value]
+
+
+@pytest.mark.parametrize("line", ["a{0} = a{1}", "a{0} = a{1} + a{1}", 'a{0} = a{1} + "x{0}"', "a{0}=a{1}=", "pwd=p{0}=", "a:b[", "pwd = a0; ", "p=p+ ", 'pwd="b=" + '])
+def test_long_chains_take_time_in_proportion(line):
+    text = 'a0 = "q7Rt9xWzLm2PvB4n"' + "\n" + ("" if line[-1] in "=[ " else "\n").join(line.format(k, k - 1) + ("" if line[-1] in "=[ " else "\n") for k in range(1, 100_001)) + "\npwd = a60\n"
+    began = time.process_time()
+    found = secret_scan.find(text)
+    assert time.process_time() - began < 10
+    if line in ("a{0} = a{1}", "a{0} = a{1} + a{1}"):
+        assert [text[s["start"] : s["end"]] for s in found] == ["q7Rt9xWzLm2PvB4n"]
+
+
+def test_repeated_rows(spark):
+    rows = [(1, ROWS[2][1]), (1, ROWS[2][1]), (None, ROWS[2][1])]
+    got = secret_scan.scan(docs(spark, rows)).collect()
+    assert len(got) == 3 and len({str(r.spans) for r in got}) == 1
+
+
 def test_clean_text_stays_clean():
     value = "q7Rt9xWz" + "Lm2PvB4n"
     for text in ('db_pwd = "changeme"', f'build_id = "{value}"', "see http://example.org/a: b", "pwd: short", f'pwd_path = "{value}"', 'pwd = "${DB_PWD}"', "note: the password field is blank", "a = b\nb = a\npwd = a"):
