@@ -3,21 +3,24 @@
 For every prefix of a segment the table stores the one last token of the prefix's encoding. Candidates for a prefix are
 the pieces that end there, as an Aho-Corasick automaton lists them; a candidate is right if it is compatible with the
 stored last token of the prefix before it, that is, if merging the two tokens' characters gives just these two tokens.
-Compatibility of a pair is worked out once by merging and remembered. Ids are then recovered from the last prefix
+Compatibility of a pair is worked out once, by undoing the merges of both, and remembered. Ids are then recovered from the last prefix
 backwards. Characters that no piece covers stand for themselves and become byte pieces.
 
-Texts are cut where no piece reaches across: before a space mark that follows another character (checked against the
-vocabulary when the model is read). Segments are encoded once per worker and kept in a bounded table.
+Texts are cut where no piece reaches across: before a space mark that follows another character, and around line feeds
+(both checked against the vocabulary when the model is read). Segments are encoded once per worker and kept in a table
+whose bytes are bounded; long segments are not kept.
 
-Defined results: a null text counts as empty and has no ids; decoding gives back any text whose normal form is itself
-(the space mark U+2581 in a text becomes a space, as in the library); rows are independent, nothing is shuffled.
+Defined results: a null, like an empty text, has no ids and decodes to an empty text; decoding gives back any text whose
+normal form is itself (the space mark U+2581 in a text becomes a space, as in the library); texts of any length are
+encoded whole; rows are independent, so repeated rows have equal results and ids may repeat or be null; an empty table
+gives an empty result; nothing is shuffled; further columns stay, but for those that a result column replaces by name.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -27,8 +30,8 @@ from pyspark.sql import DataFrame
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-#: Segments and pairs that a worker remembers at most.
-REMEMBERED, PAIRS = 300_000, 400_000
+#: Bytes of segments and number of pairs that a worker remembers at most; longer segments (in code points) are not kept.
+REMEMBERED, PAIRS, LONG = 224 << 20, 1_000_000, 64
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -41,6 +44,23 @@ def model_path(path: str | None) -> str:
     return public_tokenizers.path(MODEL)
 
 
+class Segments(dict):
+    """Ids by segment, made at first sight; older holds the generation before."""
+
+    def __init__(self, make: Callable[[str], bytes], older: dict[str, bytes]):
+        super().__init__()
+        self.make, self.older, self.size = make, older, 0
+
+    def __missing__(self, segment: str) -> bytes:
+        ids = self.older.get(segment)
+        if ids is None:
+            ids = self.make(segment)
+        if len(segment) <= LONG:
+            self[segment] = ids
+            self.size += 250 + len(ids) + len(segment)  # objects, their places in the table, and their bytes
+        return ids
+
+
 class Pieces:
     """A merge-type model: ids of texts, texts of ids."""
 
@@ -78,30 +98,58 @@ class Pieces:
         self.automaton.make_automaton()
         self.remembered = remembered
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.alone: dict[str, bool] = {}
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.last_merge: dict[str, tuple[str, str] | None] = {}
+        #: Segments begin with a mark where the model adds one, so a word without any can stand for the mark and itself.
+        self.known = Segments(self._made, {})
+        self.by_line = not any("\n" in p for p in self.id)
 
-    def merged(self, text: str) -> list[str]:
-        """The tokens that merging leaves: best score first, then leftmost."""
+    def merged(self, text: str, until: int = 1) -> list[str]:
+        """The tokens that merging leaves: best score first, then leftmost; it stops where until tokens are left."""
         tokens, score = list(text), self.score.get
-        while len(tokens) > 1:
+        while len(tokens) > until:
             best, at = max((score(a + b, -np.inf), -k) for k, (a, b) in enumerate(zip(tokens, tokens[1:])))
             if best == -np.inf:
                 break
             tokens[-at : 2 - at] = [tokens[-at] + tokens[1 - at]]
         return tokens
 
+    def _halves(self, token: str) -> tuple[str, str] | None:
+        """The two tokens that the last merge of a piece joins; none for one character or a piece that merging never gives."""
+        if token not in self.last_merge:
+            two = self.merged(token, 2) if len(token) > 1 else []
+            self.last_merge[token] = (two[0], two[1]) if len(two) == 2 and token in self.score else None
+        return self.last_merge[token]
+
     def _whole(self, token: str) -> bool:
-        if (got := self.alone.get(token)) is None:
-            got = self.alone[token] = self.merged(token) == [token]
-        return got
+        return len(token) == 1 or self._halves(token) is not None
 
     def _compatible(self, pair: tuple[str, str]) -> bool:
-        if (got := self.pairs.get(pair)) is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            got = self.pairs[pair] = self.merged(pair[0] + pair[1]) == [*pair]
+        """Whether merging the characters of both tokens gives just these two.
+
+        The later one of the last merges on either side is undone, again and again. Nothing may ever join what then
+        meets at the border: a join goes before a merge undone on the right if its score is as good, on the left if it
+        is better.
+        """
+        if (got := self.pairs.get(pair)) is not None:
+            return got
+        left, right = pair
+        score, got = self.score, self._whole(left) and self._whole(right)
+        limit, ties = -np.inf, True
+        while got:
+            joined = score.get(left + right)
+            if joined is not None and (joined > limit or joined == limit and ties):
+                got = False
+            elif len(left) > 1 and (len(right) == 1 or score[left] < score[right]):
+                limit, ties = score[left], False
+                left = self._halves(left)[1]
+            elif len(right) > 1:
+                limit, ties = score[right], True
+                right = self._halves(right)[0]
+            else:
+                break
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        self.pairs[pair] = got
         return got
 
     def tokens(self, segment: str) -> list[str]:
@@ -129,28 +177,40 @@ class Pieces:
             end -= len(token)
         return out[::-1]
 
-    def _segment(self, segment: str) -> bytes:
+    def _made(self, segment: str) -> bytes:
+        """Ids of a segment, or of a word and the mark before it."""
+        if self.prefix and segment[:1] != MARK:
+            segment = MARK + segment
+        if self.by_line and "\n" in segment:
+            out = []
+            for k, line in enumerate(segment.split("\n")):
+                out.append(self.byte[10] if k else None)
+                out += self._ids(line)
+            return np.array(out[1:], "<u4").tobytes()
+        return np.array(self._ids(segment), "<u4").tobytes()
+
+    def _ids(self, segment: str) -> list[int]:
         ids: list[int] = []
         for token in self.tokens(segment):
             i = self.id.get(token)
-            ids += [i] if i is not None else [self.byte[b] for b in token.encode()]
-        return np.array(ids, "<u4").tobytes()
+            if i is not None:
+                ids.append(i)
+            else:
+                ids += [self.byte[b] for b in token.encode()]
+        return ids
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a text."""
         if not text:
             return np.zeros(0, "<u4")
-        if MARK in text or "  " in text or text[0] == " " or not self.prefix:
+        if MARK in text or "  " in text or text[0] == " " or text[-1] == " " or not self.prefix:
             segments = _SEGMENT.findall(self.prefix + text.replace(" ", MARK))
         else:
-            segments = [MARK + w for w in text.split(" ")]
-        known = self.known
-        for s in set(segments).difference(known):
-            got = self.older.get(s)
-            known[s] = self._segment(s) if got is None else got
-        ids = np.frombuffer(b"".join(map(known.__getitem__, segments)), "<u4")
-        if len(known) > self.remembered // 2:  # what isn't met again goes with the older half
-            self.older, self.known = known, {}
+            segments = text.split(" ")
+        ids = np.frombuffer(b"".join(map(self.known.__getitem__, segments)), "<u4")
+        if self.known.size > self.remembered // 2:  # what isn't met again goes with the older half
+            self.known.older = {}
+            self.known = Segments(self._made, self.known)
         return ids
 
     def decode(self, ids: list[int]) -> str:

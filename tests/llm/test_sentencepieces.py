@@ -22,7 +22,7 @@ def library():
 
 @pytest.fixture(scope="module")
 def own():
-    return sentencepieces.Pieces(remembered=50)
+    return sentencepieces.Pieces(remembered=5000)
 
 
 @pytest.mark.parametrize("text", TEXTS)
@@ -46,6 +46,21 @@ def test_real_texts(library, own):
         assert own.encode(t).tolist() == ids and own.decode(ids) == library.decode(ids)
 
 
+def test_what_is_remembered_is_bounded(library):
+    own = sentencepieces.Pieces(remembered=200_000)
+    for k in range(300):
+        text = " ".join(f"w{k}x{j}" for j in range(40)) + " " + "\u65e5\u672c" * 500 + "\n" + "z" * k
+        assert own.encode(text).tolist() == library.encode(text)
+        assert own.known.size <= 200_000 and max(map(len, own.known), default=0) <= sentencepieces.LONG
+    assert len(own.known) + len(own.known.older) < 2000
+
+
+def test_rows_that_repeat(spark, library):
+    rows = [(1, "a b"), (1, "a b"), (None, "a b")]
+    got = sentencepieces.round_trip(docs(spark, rows)).collect()
+    assert len(got) == 3 and {r.n_tokens for r in got} == {len(library.encode("a b"))}
+
+
 def test_frames(spark, library):
     rows = list(enumerate(TEXTS))
     df = docs(spark, rows, n_tokens="clash", ids="clash")
