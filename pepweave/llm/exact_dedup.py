@@ -12,8 +12,10 @@ Main path: DataFrame functions only, no Python workers.
 Groups of one row are not joined at all: they are their own result.
 
 Defined results: a null text counts as empty, so null, empty and all-blank texts are one group; a null doc_id
-sorts after every other id; rows that repeat a doc_id with an equal text count each in group_size and share
-``kept``; an empty table gives an empty result; further columns, whatever their names, are passed by in ``dedup``.
+sorts after every other id; texts of any length are compared whole; an empty table gives an empty result. In ``mark``
+rows that repeat a doc_id with an equal text count each in group_size and share ``kept``. ``dedup`` keeps exactly one row
+of each group, whatever the ids: rows are told apart by id, length and text, and of rows that are equal in these the
+hash of all columns chooses. Further columns, whatever their names, are passed by in ``dedup``.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pepweave.llm.common import fresh
+from pepweave.llm.common import cut, fresh
 
 #: The characters [\\x20\\x09-\\x0D], which normalisation deletes.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -43,13 +45,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """One row per distinct normalised text with two or more rows: h128, sha, size, keep_id, group_size."""
+    """One row per distinct normalised text with two or more rows: h128, sha, size, keep_id, group_size, keep_cp (code points of the row that stays)."""
     # one number orders rows by length first, then by smaller id; null ids come last
     order = F.expr("cast(n_cp as decimal(38,0)) * 18446744073709551616 - cast(coalesce(cast(doc_id as decimal(38,0)), 9223372036854775808) as decimal(38,0))").cast("decimal(38,0)")
     by_text = (
-        fingerprints(docs).withColumn("best", order).groupBy("h128", "norm").agg(F.max_by("doc_id", "best").alias("keep_id"), F.count("*").alias("group_size"))
+        fingerprints(docs).withColumn("best", order).groupBy("h128", "norm").agg(F.max_by("doc_id", "best").alias("keep_id"), F.count("*").alias("group_size"), F.max("n_cp").alias("keep_cp"))
     )
-    return by_text.where(F.col("group_size") > 1).select("h128", F.unhex(F.sha2("norm", 256)).alias("sha"), F.octet_length("norm").alias("size"), "keep_id", "group_size")
+    return by_text.where(F.col("group_size") > 1).select("h128", F.unhex(F.sha2("norm", 256)).alias("sha"), F.octet_length("norm").alias("size"), "keep_id", "group_size", "keep_cp")
 
 
 def mark(docs: DataFrame) -> DataFrame:
@@ -63,13 +65,24 @@ def mark(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    h, s, i = fresh(docs, "h128", "sha", "gone_id")
+    """The rows of docs that stay, with all their columns: one of each group."""
+    i, n, h, s = names = fresh(docs, "own_id", "own_cp", "own_h", "own_sha")
     norm = normalised(F.col("text"))
-    # rows that are to go carry no text here: only their ids and hashes meet the documents again
-    rows = fingerprints(docs).select("doc_id", "h128", "sha", "size")
-    gone = rows.join(groups(docs), ["h128", "sha", "size"]).where(~F.col("keep_id").eqNullSafe(F.col("doc_id")))
-    gone = gone.select(F.col("doc_id").alias(i), F.col("h128").alias(f"{h}_g"), F.col("sha").alias(f"{s}_g")).distinct()
-    hashed = docs.withColumns({h: F.unhex(F.md5(norm)), s: F.unhex(F.sha2(norm, 256))})
-    match = F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(h) == F.col(f"{h}_g")) & (F.col(s) == F.col(f"{s}_g"))
-    return hashed.join(gone, match, "left_anti").drop(h, s)
+    identity = [F.col("doc_id").cast("long").alias(i), F.length(F.coalesce("text", F.lit(""))).cast("long").alias(n), F.unhex(F.md5(norm)).alias(h), F.unhex(F.sha2(norm, 256)).alias(s)]
+    # rows that are to go carry no text here: only what tells them apart meets the documents again
+    rows = fingerprints(docs).select("doc_id", "n_cp", "h128", "sha", "size")
+    grouped = rows.join(groups(docs), ["h128", "sha", "size"])
+    stays = F.col("keep_id").eqNullSafe(F.col("doc_id")) & (F.col("n_cp") == F.col("keep_cp"))
+    told = grouped.groupBy(F.col("doc_id").alias(i), F.col("n_cp").alias(n), F.col("h128").alias(h), F.col("sha").alias(s)).agg(F.bool_or(stays).alias("stays"), F.count("*").alias("rows"))
+    leave = cut(told.where(~F.col("stays") | (F.col("rows") > 1)), "gone")
+    mine, theirs = docs.select(F.struct("*").alias(f"{i}_row"), *identity).alias("mine"), leave.alias("theirs")
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(f"mine.{c}").eqNullSafe(F.col(f"theirs.{c}"))
+    out = mine.join(theirs, same, "left_anti").select(f"{i}_row.*")
+    tied = leave.where("stays")
+    if tied.isEmpty():
+        return out
+    whole = F.col(f"{i}_row")
+    chosen = mine.join(tied.alias("theirs"), same, "left_semi").groupBy(*names).agg(F.min_by(whole, F.xxhash64(whole)).alias(f"{i}_row"))
+    return out.unionByName(chosen.select(f"{i}_row.*"))

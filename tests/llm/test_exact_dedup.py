@@ -32,3 +32,22 @@ def test_null_ids_ties_and_empty(spark):
     assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {(None, 4, 3, False), (4, 4, 3, True)}
     assert exact_dedup.mark(docs(spark, [])).count() == 0
     assert [r.kept for r in exact_dedup.mark(docs(spark, [(1, "q"), (1, "q")])).collect()] == [True, True]
+
+
+def test_dedup_keeps_one_row_of_each_group(spark):
+    def kept(rows):
+        df = docs(spark, rows, own_id="clash", n=1)
+        out = exact_dedup.dedup(df)
+        assert out.columns == df.columns
+        return sorted((str(r.doc_id), r.text) for r in out.collect())
+
+    assert kept([(1, "a b"), (1, "a  b"), (1, "a b")]) == [("1", "a  b")]
+    assert kept([(5, "x y")] * 4 + [(6, "xy")]) == [("5", "x y")]
+    assert len(kept([(5, "x y"), (5, "xy "), (5, " xy")])) == 1
+    assert kept([(None, "q"), (None, "q"), (None, "r"), (7, "r")]) == [("7", "r"), ("None", "q")]
+    assert kept([(1, "alone"), (1, "other"), (None, None), (2, ""), (3, " ")]) == [("1", "alone"), ("1", "other"), ("3", " ")]
+    rows = ROWS + ROWS[::2] + [(None, t) for _, t in ROWS[::3]]
+    best = {}
+    for i, t in rows:
+        best.setdefault(re.sub("[\x20\x09-\x0d]", "", t or ""), []).append((-len(t or ""), i is None, i))
+    assert sorted(i for i, _ in kept(rows)) == sorted(str(min(g)[2]) for g in best.values())
