@@ -7,7 +7,8 @@ threshold, or less than a BAND-th of it, decides; lines between get an exact dis
 go back to their documents, by a join on the document's key.
 
 DataFrame functions only. Defined results: a null text has no lines; blank lines are never boilerplate; a null source is
-no site; documents without lines keep an empty text; rows that repeat an id and a text are separate documents.
+no site; documents without lines keep an empty text; rows that repeat an id and a text are separate documents, ids may
+be null; texts of any length are read whole; an empty table gives an empty result; further columns are left out.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ LG_K = 10
 
 
 def _hashes(line: Column) -> list[Column]:
-    """128 bits that stand for a trimmed line."""
-    return [F.xxhash64(F.trim(line)).alias("l1"), F.xxhash64(F.trim(line), F.lit(1)).alias("l2")]
+    """128 bits that stand for a trimmed line: two hashes of its bytes from different seeds (a column after it would only hash the first hash again)."""
+    return [F.xxhash64(F.trim(line)).alias("l1"), F.xxhash64(F.lit(1), F.trim(line)).alias("l2")]
 
 
 def lines(docs: DataFrame) -> DataFrame:

@@ -37,3 +37,19 @@ def test_matches_brute_force(spark, sites):
 
 def test_empty(spark):
     assert line_dedup.removals(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_two_halves_of_a_hash_are_independent(spark):
+    # equal first halves don't make equal second ones: each half sees the line's bytes, not the other half
+    from pyspark.sql import functions as F
+
+    df = spark.range(2000).select(F.concat(F.lit("line "), F.col("id").cast("string")).alias("line"))
+    one, two = line_dedup._hashes(F.col("line"))
+    rows = df.select(one, two, F.hash(F.lit(1)).alias("x"), F.xxhash64(F.trim("line"), F.lit(1)).alias("derived")).collect()
+    assert len({r.l1 for r in rows}) == len({r.l2 for r in rows}) == 2000
+    assert all(r.l2 != r.derived for r in rows)
+    import xxhash
+
+    seed = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), 42)
+    want = [xxhash.xxh64_intdigest(f"line {k}".encode(), seed) for k in range(2000)]
+    assert sorted(r.l2 % 2**64 for r in rows) == sorted(want)
