@@ -12,7 +12,8 @@ bounded table. With literals=True, as the library does by default, an added toke
 that token: it is a chunk of its own, and the text ends before it and begins after it. Without, it is plain text.
 
 Defined results: a null text is empty and holds the end id alone; null doc_ids come first; rows that repeat a doc_id are
-ordered by their text; an empty table gives an empty store.
+ordered by their text, and rows that repeat both are stored each; texts of any length are encoded whole; an empty table
+gives an empty store; further columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ from pepweave.llm import words as W
 from pepweave.llm.common import text_bytes
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-#: Chunks that a worker remembers at most, for as long as it lives.
-REMEMBERED = 500_000
+#: Chunks that a worker remembers at most, for as long as it lives, and the bytes of the longest of them.
+REMEMBERED, LONG = 500_000, 64
 #: More parts than this are joined by a shuffle; fewer are broadcast (40 bytes each).
 PARTS_TO_BROADCAST = 1_000_000
 #: Writer settings: bytes of a row group and of a page, rows of a page.
@@ -116,7 +117,9 @@ class Encoder:
             else:
                 known[chunks[k]] = out[k] = ids
         for k, ids in zip(new, self._learn([chunks[k] for k in new])):
-            known[chunks[k]] = out[k] = ids
+            out[k] = ids
+            if len(chunks[k]) <= LONG:
+                known[chunks[k]] = ids
         if len(known) > self.remembered // 2:  # what isn't met again goes with the older half
             self.older, self.known = known, {}
         return out
@@ -246,7 +249,6 @@ def encoder(path: str | None, literals: bool) -> Encoder:
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, compression: str = "snappy", literals: bool = False) -> None:
     """Encode docs and write the store. literals: added tokens in texts are tokens, as the library has it. Ids are bit-packed already; zstd makes files smaller for more CPU time."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
@@ -264,16 +266,22 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, compression:
                 )
                 at += int(ends[-1])
 
-    (
-        dealt.mapInArrow(work, SCHEMA)
-        .write.option("compression", compression)
-        .option("parquet.writer.version", "PARQUET_2_0")
-        .option("parquet.enable.dictionary", "true")
-        .option("parquet.block.size", str(ROW_GROUP))
-        .option("parquet.page.size", str(PAGE))
-        .option("parquet.page.row.count.limit", str(PAGE_ROWS))
-        .parquet(path)
-    )
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(BATCH))  # for this write alone
+    try:
+        (
+            dealt.mapInArrow(work, SCHEMA)
+            .write.option("compression", compression)
+            .option("parquet.writer.version", "PARQUET_2_0")
+            .option("parquet.enable.dictionary", "true")
+            .option("parquet.block.size", str(ROW_GROUP))
+            .option("parquet.page.size", str(PAGE))
+            .option("parquet.page.row.count.limit", str(PAGE_ROWS))
+            .parquet(path)
+        )
+    finally:
+        conf.set(key, before)
 
 
 def part_bases(spark: SparkSession, path: str) -> list[tuple]:

@@ -122,3 +122,20 @@ def test_query_takes_added_tokens_as_the_library_does(spark, plain_library, tmp_
         want = ids_of(plain_library, text)
         assert tuple(got) == (i, start, len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
         start += len(want)
+
+
+def test_long_chunks_are_not_remembered():
+    own = token_store.Encoder()
+    library = own.library
+    text = "\u65e5\u672c\u8a9e" * 20_000 + " " + "x" * 500
+    ids, _ = own.encode(pa.array([text]), end=False)
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, own.known), default=0) <= token_store.LONG
+
+
+def test_write_leaves_the_session_as_it_was(spark, tmp_path):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    token_store.write(docs(spark, [(1, "a"), (1, "a"), (None, None)], ids="clash", part="clash"), f"{tmp_path}/store")
+    assert spark.conf.get(key) == before
+    assert token_store.read(spark, f"{tmp_path}/store").count() == 3
