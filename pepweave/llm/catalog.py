@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pepweave.llm import decontaminate, exact_dedup, line_dedup, masked_lm, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
-from pepweave.llm.common import scratch, table
+from pepweave.llm.common import documents, scratch, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removal of repeated passages from documents."""
-    return substring_dedup.removals(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    docs, as_files = documents(spark, sf_dir)
+    return substring_dedup.removals(docs, as_files=as_files).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

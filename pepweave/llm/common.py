@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(found) if name == "documents" else found
 
 
+def documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
+    """The documents, and whether they are read from files as they lie: fewer parts than cores are dealt anew."""
+    found = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    dealt = spread(found)
+    return dealt, dealt is found
+
+
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark)}/pepweave/{what}-{uuid.uuid4().hex}"
@@ -60,7 +67,7 @@ def keys() -> tuple[Column, Column]:
     return F.xxhash64(F.col("doc_id").cast("long"), "text").alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k2")
 
 
-__all__ = ["cut", "fresh", "keys", "scratch", "shared_dir", "table", "text_bytes", "total"]
+__all__ = ["cut", "documents", "fresh", "keys", "scratch", "shared_dir", "table", "text_bytes", "total"]
 
 #: Rows that total() brings to the driver at most.
 TOTAL_ROWS = 8

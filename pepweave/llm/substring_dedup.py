@@ -19,7 +19,8 @@ a text are two documents, whose windows repeat; a null doc_id is an id like any
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,23 +28,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pepweave.llm import words as W
-from pepweave.llm.common import keys, text_bytes
+from pepweave.llm.common import cut, keys, text_bytes
 
 WINDOW, GRAM = 35, 8
 #: Cells of each of the two rows of the sketch, as a power of two, and cells of a block that is merged at once.
 WIDTH, BLOCK = 27, 20
 #: Text bytes hashed at once.
 SLICE = 8 << 20
+#: Buckets of documents in a shuffle partition; a worker holds the starts of one.
+BUCKETS = 8
 _SECOND = 0xC2B2AE3D27D4EB4F
 
 
-def _hashed(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For slices of the rows: first row, index of each row's first word, word hashes."""
+def _hashed(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, Callable[[], np.ndarray]]]:
+    """For slices of the rows: first row, index of each row's first word, word hashes, and a function for second ones."""
     raw, offsets = text_bytes(column)
     for i, j in W.slices(offsets, SLICE):
         piece, at = raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, first = W.bounds(piece, at, W.NOT_BLANK)
-        yield i, first, W.hashes(piece, starts, ends)
+        yield i, first, W.hashes(piece, starts, ends), partial(W.hashes, piece, starts, ends, seed=1)
 
 
 def _anchors(hashed: np.ndarray, whole: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +71,7 @@ def sketch(keyed: DataFrame, window: int, gram: int, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, first, hashed in _hashed(batch.column(0)):
+            for _, first, hashed, _ in _hashed(batch.column(0)):
                 whole = W.starts_within(first, window, len(hashed))
                 if not whole.any():
                     continue
@@ -115,13 +118,13 @@ def _maybe(bits: np.ndarray, anchors: np.ndarray, width: int) -> np.ndarray:
 
 
 def repeated_starts(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int = WIDTH) -> DataFrame:
-    """keyed: k1, k2, text. Rows k1, k2, starts (packed word positions); a document may have several."""
+    """keyed: k1, k2, text, the same batches each time. Rows k1, k2, starts (packed word positions); a document may have several."""
     bits = keyed.sparkSession.sparkContext.broadcast(sketch(keyed, window, gram, width))
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int32()), ("known", pa.bool_())])
 
     def candidates(batch: pa.RecordBatch) -> Iterator[tuple]:
         """For slices: 128-bit hashes, row and start of the windows that may repeat, whether each repeats here, whether each is the one to send."""
-        for i, first, hashed in _hashed(batch.column(2)):
+        for i, first, hashed, again in _hashed(batch.column(2)):
             whole = W.starts_within(first, window, len(hashed))
             if not whole.any():
                 continue
@@ -131,7 +134,7 @@ def repeated_starts(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, wi
             at = np.flatnonzero(maybe)
             if not len(at):
                 continue
-            h1, h2 = W.grams(hashed, window)[at], W.grams(W.mix(hashed + np.uint64(1)), window, _SECOND)[at]
+            h1, h2 = W.grams(hashed, window)[at], W.grams(again(), window, _SECOND)[at]
             order = np.lexsort((h2, h1))
             a, b = h1[order], h2[order]
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
@@ -154,7 +157,7 @@ def repeated_starts(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, wi
                 if here.any():
                     yield _packed(k1[row[here]], k2[row[here]], start[here])
 
-    buckets = 2 * int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS * int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the last row so far, and whether it was given out
@@ -168,6 +171,9 @@ def repeated_starts(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, wi
             same = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
             twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
             out = twice & ~resolved
+            # copies of a document lie together: a start that was just given out needn't go again
+            copy = same & (k1[1:] == k1[:-1]) & (k2[1:] == k2[:-1]) & (start[1:] == start[:-1])
+            out[1:] &= ~(copy & (resolved | twice)[:-1])
             held.append([k1[out], k2[out], start[out].astype(np.int32)])
             last = h1[-1], h2[-1], k1[-1], k2[-1], start[-1], bool(resolved[-1] or twice[-1])
             if sum(len(x[0]) for x in held) > 1_000_000:
@@ -177,15 +183,25 @@ def repeated_starts(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, wi
             yield _bucketed(*(np.concatenate(x) for x in zip(*held)), buckets)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a partition of whole buckets: as many starts as fit a partition's share of the documents
-        held = [[np.frombuffer(c.as_buffer(), t) for c, t in zip(row, ("<i8", "<i8", "<i4", "<i4"))] for batch in batches for row in zip(*batch.columns[1:])]
-        if held:
+        now, held = None, []
+
+        def out() -> pa.RecordBatch:
             k1, k2, n, start = (np.concatenate(x) for x in zip(*held))
-            yield _packed(np.repeat(k1, n), np.repeat(k2, n), start)
+            return _packed(np.repeat(k1, n), np.repeat(k2, n), start)
+
+        for batch in batches:
+            for bucket, *row in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
+                if bucket != now and held:
+                    yield out()
+                    held = []
+                now = bucket
+                held.append([np.frombuffer(c.as_buffer(), t) for c, t in zip(row, ("<i8", "<i8", "<i4", "<i4"))])
+        if held:
+            yield out()
 
     rows = "h1 long, h2 long, k1 long, k2 long, start int, known boolean"
-    met = keyed.mapInArrow(send, rows).repartition("h1").sortWithinPartitions("h1", "h2").mapInArrow(meet, "bucket int, k1 binary, k2 binary, n binary, starts binary")
-    met = met.repartition("bucket").mapInArrow(sort, "k1 long, k2 long, starts binary")
+    met = keyed.mapInArrow(send, rows).repartition("h1").sortWithinPartitions("h1", "h2", "k1", "k2", "start").mapInArrow(meet, "bucket int, k1 binary, k2 binary, n binary, starts binary")
+    met = met.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(sort, "k1 long, k2 long, starts binary")
     return met.unionByName(keyed.mapInArrow(known, "k1 long, k2 long, starts binary"))
 
 
@@ -193,6 +209,8 @@ def _packed(k1: np.ndarray, k2: np.ndarray, start: np.ndarray) -> pa.RecordBatch
     """One row for each document with its starts as little-endian 32-bit integers."""
     order = np.lexsort((start, k2, k1))
     k1, k2, start = k1[order], k2[order], start[order].astype("<i4")
+    one = np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (start[1:] != start[:-1])])
+    k1, k2, start = k1[one], k2[one], start[one]
     at = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]))
     return pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k2[at]), pa.array([x.tobytes() for x in np.split(start, at[1:])], pa.binary())], names=["k1", "k2", "starts"])
 
@@ -210,10 +228,16 @@ def _bucketed(k1: np.ndarray, k2: np.ndarray, start: np.ndarray, buckets: int) -
     return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *[pa.array([x.tobytes() for x in xs], pa.binary()) for xs in packed]], names=["bucket", "k1", "k2", "n", "starts"])
 
 
-def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int = WIDTH) -> DataFrame:
-    """Per row: doc_id, n_words, n_removed, kept (the words that stay, joined by a space), kept_sha256."""
+def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int = WIDTH, as_files: bool = False) -> DataFrame:
+    """Per row: doc_id, n_words, n_removed, kept (the words that stay, joined by a space), kept_sha256.
+
+    as_files: docs is read from files as they lie, so it gives the same batches whenever it is read.
+    """
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keys())
-    found = repeated_starts(keyed.select("k1", "k2", "text"), window, gram, width).groupBy("k1", "k2").agg(F.collect_list("starts").alias("starts"))
+    if not as_files:
+        keyed = cut(keyed, "documents")
+    # copies of a document give equal lists, batch by batch: they become one on the map side
+    found = repeated_starts(keyed.select("k1", "k2", "text"), window, gram, width).distinct().groupBy("k1", "k2").agg(F.collect_list("starts").alias("starts"))
     joined = keyed.join(found, ["k1", "k2"], "left").select("doc_id", "text", "starts")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,11 +8,13 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE, _SEED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Bytes hashed at once; bounds the temporary arrays. Cuts are made between words only.
 PIECE = 1 << 21
-#: Longer words go to XXH64: a polynomial modulo 2**64 is weak on long structured input.
+#: Longer words go to XXH64 one by one.
 LONG = 64
+#: Masks of the first 0 .. 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -53,10 +55,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word's bytes; equal words have equal hashes."""
+def hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; equal words have equal hashes, other seeds give independent ones.
+
+    Eight bytes at a time go through mix, which is a bijection, so words of one length up to eight bytes never collide.
+    """
     n = len(starts)
     out = np.zeros(n, np.uint64)
+    begin = np.full(1, seed, np.uint64) * _SEED
     i = 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
@@ -64,20 +70,19 @@ def hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool =
         piece = raw[lo:hi]
         if lower:
             piece = LOWER[piece]
-        s, e = starts[i:j] - lo, ends[i:j] - lo
-        lens = e - s
-        if hi - lo > 2 * PIECE:  # one huge word
-            out[i] = xxhash.xxh64_intdigest(piece.tobytes(), 7)
-        else:
-            # position within the word gives the power; bytes outside words add nothing
-            at = np.arange(hi - lo) - np.repeat(s, np.diff(np.append(s, hi - lo)))
-            top = int(np.minimum(at, LONG).max()) + 1 if len(at) else 1
-            powers = np.cumprod(np.full(top, _BASE, np.uint64))
-            vals = (piece.astype(np.uint64) + np.uint64(1)) * powers[np.minimum(at, top - 1)]
-            vals[at >= np.repeat(lens, np.diff(np.append(s, hi - lo)))] = 0
-            out[i:j] = mix(np.add.reduceat(vals, s) + lens.astype(np.uint64))
-            for k in np.flatnonzero(lens > LONG):
-                out[i + k] = xxhash.xxh64_intdigest(piece[s[k] : e[k]].tobytes(), 7)
+        s, lens = starts[i:j] - lo, ends[i:j] - starts[i:j]
+        room = np.concatenate([piece, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(piece) + 1,), "<u8", room.data, strides=(1,))
+        h = mix(lens.astype(np.uint64) * _BASE + begin)
+        h = mix(h ^ (eight[s] & _FIRST[np.minimum(lens, 8)]))
+        at, k = np.flatnonzero(lens > 8), 8
+        while len(at) and k < LONG:
+            h[at] = mix((h[at] + _BASE) ^ (eight[s[at] + k] & _FIRST[np.minimum(lens[at] - k, 8)]))
+            k += 8
+            at = at[lens[at] > k]
+        for w in np.flatnonzero(lens > LONG).tolist():
+            h[w] = xxhash.xxh64_intdigest(piece[s[w] : s[w] + lens[w]].tobytes(), 7 + seed)
+        out[i:j] = h
         i = j
     return out
 

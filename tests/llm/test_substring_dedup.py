@@ -1,14 +1,17 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import docs
 
 from pepweave.llm import substring_dedup
 from pepweave.llm import words as W
+from pepweave.llm.common import text_bytes
 
 
 def brute(rows, n=35):
@@ -49,6 +52,42 @@ def test_awkward_tables(spark):
     assert sorted((str(r.doc_id), r.n_removed) for r in got) == [("1", 40), ("1", 40), ("2", 0), ("None", 40)]
 
 
+def test_words_of_one_weak_hash_stay_apart(spark):
+    # both words agree in every polynomial of their bytes modulo 2**64 with one common multiplier
+    one, other = "fbeaabaacaaabgdaababaaaaaa", "aaacbabdaaacaaafcabaaaaaaa"
+    rest = [f"w{k}" for k in range(40)]
+    got = substring_dedup.removals(docs(spark, [(k, " ".join([*rest[:20], w, *rest[20:]])) for k, w in enumerate((one, other))]), width=10).collect()
+    assert [(r.n_words, r.n_removed) for r in got] == [(41, 0)] * 2
+
+
+@pytest.mark.parametrize("identity", [7, None])
+def test_many_copies_of_one_row(spark, identity):
+    text = " ".join(f"w{k}" for k in range(100))
+    n = 30_000
+    df = spark.range(0, n, 1, 16).selectExpr(f"cast({'null' if identity is None else identity} as long) as doc_id", f"'{text}' as text")
+    began = time.time()
+    got = substring_dedup.removals(df, width=16)
+    assert [(r.n_words, r.n_removed, r["count"]) for r in got.groupBy("n_words", "n_removed").count().collect()] == [(100, 100, n)]
+    assert time.time() - began < 60
+
+
+def test_seeds_and_lengths():
+    rng = random.Random(3)
+    words = list({"".join(rng.choice("ab\u00e9\u65e5") for _ in range(rng.randint(1, 60))) for _ in range(5000)})
+    raw, offsets = text_bytes(pa.array([" ".join(words)]))
+    starts, ends, _ = W.bounds(raw, offsets, W.NOT_BLANK)
+    a, b = W.hashes(raw, starts, ends), W.hashes(raw, starts, ends, seed=1)
+    assert len(set(a.tolist())) == len(set(b.tolist())) == len(words) and not (a == b).any()
+    alone = [W.hashes(*W_one(w))[0] for w in words[:50]]
+    assert alone == a[:50].tolist()
+
+
+def W_one(word):
+    raw, offsets = text_bytes(pa.array([word]))
+    starts, ends, _ = W.bounds(raw, offsets, W.NOT_BLANK)
+    return raw, starts, ends
+
+
 def test_grams_and_sliding_min():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2**63, 200).astype(np.uint64)
