@@ -12,8 +12,12 @@ STRIDE-th place of every document of its partition (other places each pass, so t
 and returns its weights; the weights are averaged by the places seen, summed up in tasks, so the driver receives a few rows whatever the number of tasks.
 A document's score is the sum of log P(word | both sides) over all its words (score_words; score stops at the classes).
 
-Defined results: null and blank texts have no words, score 0 and a null mean; repeated rows are scored alike; without
-any words the weights stay as they began; an empty table gives an empty result.
+Weights are averaged over tasks, so with other partitions of the documents the last digits of scores differ; counts and
+vocabulary don't.
+
+Defined results: null and blank texts have no words, score 0 and a null mean; texts of any length are scored whole;
+repeated rows are scored alike, ids may repeat or be null; without any words the weights stay as they began; an empty
+table gives an empty result; further columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from pepweave.llm.common import cut, text_bytes, total
 GROUPS, MEMBERS, BUCKETS = 32, 32, 64
 SIDE, EMBED, HIDDEN = 2, 12, 24
 #: ROUNDS passes over every STRIDE-th place: as many rounds as the stride, so each place is a target once.
-ROUNDS, STRIDE, BATCH, RATE = 2, 2, 1024, 0.15
+ROUNDS, STRIDE, BATCH, RATE = 2, 2, 2048, 0.2
 #: Text bytes hashed at once, and places scored at once.
 SLICE, CHUNK = 4 << 20, 1 << 15
 EDGE = 0
@@ -128,6 +132,13 @@ def context(line: np.ndarray, where: np.ndarray, side: int) -> np.ndarray:
     return line[where[:, None] + np.array([*range(-side, 0), *range(1, side + 1)])]
 
 
+def exponentials(logits: np.ndarray, weights: np.ndarray, constant: np.ndarray) -> np.ndarray:
+    """exp of logits (in place less their greatest, where hidden units within -1..1 could make them too large)."""
+    if float(np.abs(weights).sum(axis=0).max() + np.abs(constant).max()) > 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    return np.exp(logits)
+
+
 def forward(shape: Shape, flat: np.ndarray, around: np.ndarray, target: np.ndarray, backward: bool = False):
     """log P of each target, and the gradient of their mean if asked for."""
     emb, w1, b1, wg, bg, wm, bm = shape.split(flat)
@@ -136,53 +147,48 @@ def forward(shape: Shape, flat: np.ndarray, around: np.ndarray, target: np.ndarr
     hidden = np.tanh(x @ w1 + b1)
     group, member = target // shape.members, target % shape.members
     lg = hidden @ wg + bg
-    lg -= lg.max(axis=1, keepdims=True)
-    pg = np.exp(lg)
+    pg = exponentials(lg, wg, bg)
     sg = pg.sum(axis=1, keepdims=True)
     out = lg[np.arange(n), group] - np.log(sg[:, 0])
     order = np.argsort(group.astype(np.int16), kind="stable")
     cuts = np.searchsorted(group[order], np.arange(shape.groups + 1)).tolist()
     # rows of a group lie together from here on
-    sorted_hidden, sorted_member, steps, sorted_out = hidden[order], member[order], np.arange(n), np.empty(n, hidden.dtype)
-    grad = np.zeros_like(flat) if backward else None
-    dh = np.zeros_like(hidden) if backward else None
-    if backward:
-        demb, dw1, db1, dwg, dbg, dwm, dbm = shape.split(grad)
-        pg /= sg
-        pg[np.arange(n), group] -= 1
-        pg /= n
-        dwg += hidden.T @ pg
-        dbg += pg.sum(axis=0)
-        dh += pg @ wg.T
-        sorted_dh = np.empty_like(hidden)
-    for g in range(shape.groups):
-        i, j = cuts[g], cuts[g + 1]
-        if i == j:
-            continue
-        h, of, at = sorted_hidden[i:j], sorted_member[i:j], steps[: j - i]
-        lm = h @ wm[g] + bm[g]
-        lm -= lm.max(axis=1, keepdims=True)
-        pm = np.exp(lm)
-        sm = pm.sum(axis=1, keepdims=True)
-        sorted_out[i:j] = lm[at, of] - np.log(sm[:, 0])
-        if backward:
-            pm /= sm
-            pm[at, of] -= 1
-            pm /= n
-            dwm[g] += h.T @ pm
-            dbm[g] += pm.sum(axis=0)
-            sorted_dh[i:j] = pm @ wm[g].T
-    out[order] += sorted_out
-    if backward:
-        dh[order] += sorted_dh
-        dz = dh * (1 - hidden * hidden)
-        dw1 += x.T @ dz
-        db1 += dz.sum(axis=0)
-        dx = (dz @ w1.T).reshape(-1, shape.embed)
-        at = around.reshape(-1, 1) * shape.embed + np.arange(shape.embed)
-        demb += np.bincount(at.ravel(), dx.ravel(), demb.size).reshape(demb.shape)
-        return out, grad
-    return out
+    met = [(g, cuts[g], cuts[g + 1]) for g in range(shape.groups) if cuts[g] < cuts[g + 1]]
+    h, of, at = hidden[order], member[order], np.arange(n)
+    lm = np.empty((n, shape.members), hidden.dtype)
+    for g, i, j in met:
+        np.matmul(h[i:j], wm[g], out=lm[i:j])
+        lm[i:j] += bm[g]
+    pm = exponentials(lm, wm.transpose(1, 0, 2).reshape(shape.hidden, -1), bm)
+    sm = pm.sum(axis=1, keepdims=True)
+    out[order] += lm[at, of] - np.log(sm[:, 0])
+    if not backward:
+        return out
+    grad = np.zeros_like(flat)
+    demb, dw1, db1, dwg, dbg, dwm, dbm = shape.split(grad)
+    pg *= 1 / (n * sg)
+    pg[at, group] -= 1 / n
+    dwg += hidden.T @ pg
+    dbg += pg.sum(axis=0)
+    pm *= 1 / (n * sm)
+    pm[at, of] -= 1 / n
+    dbm[[g for g, _, _ in met]] = np.add.reduceat(pm, [i for _, i, _ in met], axis=0)
+    back = np.empty_like(h)
+    for g, i, j in met:
+        dwm[g] += h[i:j].T @ pm[i:j]
+        np.matmul(pm[i:j], wm[g].T, out=back[i:j])
+    dh = pg @ wg.T
+    dh[order] += back
+    dz = dh * (1 - hidden * hidden)
+    dw1 += x.T @ dz
+    db1 += dz.sum(axis=0)
+    dx = (dz @ w1.T).reshape(-1, shape.embed)
+    place = around.ravel().astype(np.int16 if shape.classes < 1 << 15 else np.int32)
+    order = np.argsort(place, kind="stable")  # rows of a class lie together and are added up
+    place = place[order]
+    begins = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    demb[place[begins]] = np.add.reduceat(dx[order], begins, axis=0)
+    return out, grad
 
 
 def texts_as_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -240,8 +246,8 @@ def targets(first: np.ndarray, stride: int, turn: int) -> np.ndarray:
     return np.flatnonzero(inside % stride == (turn * 7) % stride)
 
 
-def train(docs: DataFrame, shape: Shape | None = None, buckets: int = BUCKETS, rounds: int = ROUNDS, stride: int = STRIDE, counts: DataFrame | None = None) -> Model:
-    """A model of all documents. counts: their word_counts, if taken already."""
+def train(docs: DataFrame, shape: Shape | None = None, buckets: int = BUCKETS, rounds: int = ROUNDS, stride: int = STRIDE, counts: DataFrame | None = None, batch: int = BATCH) -> Model:
+    """A model of all documents. counts: their word_counts, if taken already; batch: places of a step."""
     shape = shape or Shape()
     model = Model(shape, buckets, vocabulary(word_counts(docs) if counts is None else counts, shape.classes - 1 - buckets), shape.start())
     spark = docs.sparkSession
@@ -252,12 +258,12 @@ def train(docs: DataFrame, shape: Shape | None = None, buckets: int = BUCKETS, r
             begun = shared.value
             flat, squares, seen = begun.flat.copy(), np.full(shape.size, 1e-3, np.float32), 0
             rng = np.random.default_rng(TaskContext.get().partitionId() + 1_000_003 * turn)
-            for batch in batches:
-                for _, classes, first in texts_as_classes(batch.column(0), begun.known, buckets):
+            for texts in batches:
+                for _, classes, first in texts_as_classes(texts.column(0), begun.known, buckets):
                     line, where = padded(classes, first, shape.side)
                     places = rng.permutation(targets(first, stride, turn))
-                    for k in range(0, len(places), BATCH):
-                        some = places[k : k + BATCH]
+                    for k in range(0, len(places), batch):
+                        some = places[k : k + batch]
                         _, grad = forward(shape, flat, context(line, where[some], shape.side), classes[some], backward=True)
                         squares += grad * grad
                         flat -= RATE * grad / np.sqrt(squares)

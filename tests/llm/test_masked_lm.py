@@ -56,7 +56,7 @@ def corpus(n=200, seed=1):
 def test_scores_equal_brute_force_and_training_helps(spark):
     rows = [*corpus(), (900, None), (901, " \n"), (902, "One TWO\tthree " * 30_000), (903, "é")]
     df = docs(spark, rows, score="clash", n_words="clash")
-    model = M.train(df, SMALL, buckets=4, rounds=2, stride=2)
+    model = M.train(df, SMALL, buckets=4, rounds=2, stride=2, batch=256)
     words = Counter(w.lower() for _, t in rows for w in (t or "").split())
     top = {w for w, _ in words.most_common(7)}
     assert {one_hash(w) for w in top} <= set(model.known.tolist())
