@@ -1,21 +1,24 @@
 """Toxicity by weak supervision.
 
-1.  Voters. Words and word stems that labelled toxic documents use far more often are mined from a bounded sample of the
-    labelled rows (MINED) and chosen greedily by the toxic documents that they add; with a general lexicon they make one
-    voter each. Pattern voters judge how many hits a text has for its length, shouting and symbol noise. Voters say toxic
-    (1), clean (-1) or nothing (0).
+1.  Voters. Words and word stems that toxic documents use far more often are counted over all labelled training rows, and
+    chosen greedily, on a bounded sample of these rows (MINED), by the toxic documents that they add; with a general
+    lexicon they make one voter each. Pattern voters judge how many hits a text has for its length, shouting and symbol
+    noise. Voters say toxic (1), clean (-1) or nothing (0).
 2.  Label model. Each voter's accuracy (its votes' probabilities given the class) and the class rate are estimated by EM
-    over all documents; rows with a known label keep it. Correlations of voters given the class, from the same pass,
-    discount voters that repeat each other. A pass returns sums of a fixed size, added up in tasks.
-3.  Classifier. A logistic regression is trained on the posterior labels of a bounded sample of rows (FITTED), and its
-    scale is set on labelled rows.
+    over all documents. Labels give EM its first estimate and no more. Correlations of voters given the class, from the
+    same pass, discount voters that repeat each other. A pass returns sums of a fixed size, added up in tasks.
+3.  Classifier. A logistic regression is trained on the posterior labels, and on nothing else, of a bounded sample of rows
+    (FITTED). Its output is then put on the scale of probabilities: two numbers, slope and constant of its logit, are
+    fitted on at most FITTED labelled training rows.
 
 Labels come from training rows only: rows whose crc32 of the doc_id as text leaves 1 modulo 3 are held out. Scores read
 the text and nothing else.
 
-Defined results: null and blank texts are scored as texts without hits; a null doc_id isn't held out and has no label;
+Defined results: null and blank texts are scored as texts without hits; texts of any length are measured whole; a null
+doc_id isn't held out and has no label; rows that repeat an id share its label, and equal texts have equal scores;
 conflicting labels of an id count as toxic; labels other than 0 and 1 are ignored; without labels of both classes every
-score is the class rate, 0 if there is none; an empty table gives an empty result.
+score is the class rate, 0 if there is none; an empty table gives an empty result; further columns, whatever their names,
+are passed by in ``reject`` and left out by ``score``.
 """
 
 from __future__ import annotations
@@ -34,11 +37,13 @@ from pyspark.sql import functions as F
 from pepweave.llm import words as W
 from pepweave.llm.common import cut, text_bytes, total
 
-#: Labelled documents that terms are mined from, candidate terms, chosen terms; rows that the classifier is fitted on.
+#: Labelled documents that terms are chosen on, candidate terms, chosen terms; rows that the classifier is fitted on.
 MINED, CANDIDATES, TERMS, FITTED = 6000, 3000, 48, 20_000
 #: A term must be in so many toxic documents, and so many times as frequent in them.
 SUPPORT, LIFT = 4, 8.0
 STEMS = range(3, 13)
+#: Letters of a word that may be a term as a whole; terms that a task holds at once.
+WORD, HELD = 48, 100_000
 #: Text bytes measured at once.
 SLICE = 2 << 20
 #: From this score on a document counts as toxic.
@@ -64,11 +69,12 @@ def terms_of(text: str) -> Counter:
     """Full words ("=word") and proper stems ("word+") of a text, by number of occurrences."""
     out: Counter = Counter()
     for w, n in Counter(_LETTERS.findall(text.lower())).items():
-        w = w[:24]
-        out[f"={w}"] += n
+        if len(w) <= WORD:
+            out[f"={w}"] += n
         for k in STEMS:
-            if k < len(w):
-                out[f"{w[:k]}+"] += n
+            if k >= len(w):
+                break
+            out[f"{w[:k]}+"] += n
     return out
 
 
@@ -79,32 +85,38 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 
 def mine(docs: DataFrame, train: DataFrame) -> list[str]:
-    """Terms, chosen on a bounded sample of labelled documents."""
-    chosen = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MINED)
-    sample = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text", "y"), "labelled")
+    """Terms, counted over all labelled documents and chosen on a bounded sample of them."""
+    told = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(train, "doc_id"), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, list[int]] = {}
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *[pa.array([c[j] for c in seen.values()], pa.int64()) for j in range(4)]], names=["term", "d0", "d1", "n0", "n1"])
+
         for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                part = batch.slice(k, 64)
-                seen: dict[str, list[int]] = {}
-                for text, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for t, n in terms_of(text or "").items():
-                        c = seen.setdefault(t, [0, 0, 0, 0])
-                        c[y] += 1
-                        c[2 + y] += n
-                if seen:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(seen)), *[pa.array([c[j] for c in seen.values()], pa.int64()) for j in range(4)]], names=["term", "d0", "d1", "n0", "n1"])
-
-    counts = sample.mapInArrow(count, "term string, d0 long, d1 long, n0 long, n1 long").groupBy("term").agg(*[F.sum(c).alias(c) for c in ("d0", "d1", "n0", "n1")])
+            for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
+                for t, n in terms_of(text.as_py() or "").items():
+                    c = seen.get(t)
+                    if c is None:
+                        c = seen[t] = [0, 0, 0, 0]
+                    c[y] += 1
+                    c[2 + y] += n
+                if len(seen) > HELD:
+                    yield out()
+                    seen.clear()
+        yield out()
+
+    counts = told.select("text", "y").mapInArrow(count, "term string, d0 long, d1 long, n0 long, n1 long").groupBy("term").agg(*[F.sum(c).alias(c) for c in ("d0", "d1", "n0", "n1")])
     n_words = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))
-    size = {r.y: r.n for r in sample.groupBy("y").agg(F.sum(n_words).alias("n")).collect()}
+    size = {r.y: r.n for r in told.groupBy("y").agg(F.sum(n_words).alias("n")).collect()}
     if not size.get(0) or not size.get(1):
         return []
     lift = ((F.col("n1") + 0.5) / size[1]) / ((F.col("n0") + 0.5) / size[0])
     good = counts.where((F.col("d1") >= SUPPORT) & (lift >= LIFT)).orderBy((F.col("d1") - F.col("d0") * 0.5).desc(), F.length("term").desc(), "term").limit(CANDIDATES)
     candidates = [r.term for r in good.select("term").collect()]
     at = {t: k for k, t in enumerate(candidates)}
+    sample = told.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(MINED).select("text", "y")
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,6 +236,10 @@ class LabelModel:
         ratio = np.log(self.table[:, 1]) - np.log(self.table[:, 0])
         return np.log(self.prior / (1 - self.prior)) + (ratio[np.arange(v.shape[1]), v + 1] * self.weight).sum(axis=1)
 
+    def posterior(self, v: np.ndarray) -> np.ndarray:
+        """P(toxic) of rows with votes v."""
+        return 1 / (1 + np.exp(-np.clip(self.logit(v), -30, 30)))
+
 
 def sums(v: np.ndarray, p: np.ndarray) -> np.ndarray:
     """What EM needs of votes v with P(toxic) p: for each class its size, votes by value, and products of votes."""
@@ -322,12 +338,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame | None]:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                y = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
                 v = votes(unpack(batch.column(0), n_terms))
                 if model is None:
+                    y = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
                     v, p = v[~np.isnan(y)], y[~np.isnan(y)]
                 else:
-                    p = np.where(np.isnan(y), 1 / (1 + np.exp(-np.clip(model.logit(v), -30, 30))), y)
+                    p = model.posterior(v)
                 yield pa.RecordBatch.from_arrays([pa.array([sums(v, p).tobytes()], pa.binary())], names=["v"])
 
         return total(joined.select("x", "y").mapInArrow(work, "v binary"), size)
@@ -335,18 +351,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame | None]:
     model = maximise(expect(None), n)
     for _ in range(ROUNDS):
         model = maximise(expect(model), n)
-    # bounded samples: any rows for the classifier, labelled ones for its scale
     order = F.xxhash64("doc_id", "x")
-    some = joined.orderBy(order).limit(FITTED).select("x", "y").toArrow()
-    sure = joined.where(F.col("y").isNotNull()).orderBy(order).limit(FITTED).select("x", "y").toArrow()
+    some = rows.orderBy(order).limit(FITTED).select("x").toArrow()
     x = unpack(some.column("x").combine_chunks(), n_terms)
-    y = some.column("y").to_numpy().astype(float)
-    p = 1 / (1 + np.exp(-np.clip(model.logit(votes(x)), -30, 30)))
     out = Model(terms, rate=rate)
-    out.weights = logistic(features(x), np.where(np.isnan(y), p, 0.5 * p + 0.5 * y))
+    out.weights = logistic(features(x), model.posterior(votes(x)))
+    sure = joined.where(F.col("y").isNotNull()).orderBy(order).limit(FITTED).select("x", "y").toArrow()
     x, y = unpack(sure.column("x").combine_chunks(), n_terms), sure.column("y").to_numpy().astype(float)
-    z = features(x) @ out.weights[:-1] + out.weights[-1]
-    out.scale = tuple(logistic(z[:, None], y, ridge=1e-3))
+    out.scale = tuple(logistic((features(x) @ out.weights[:-1] + out.weights[-1])[:, None], y, ridge=1e-3))
     return out, rows
 
 

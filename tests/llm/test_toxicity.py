@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -69,3 +70,45 @@ def test_label_model_discounts_copies():
     model = toxicity.maximise(toxicity.sums(v, y.astype(float)), 4)
     assert model.weight[0] < 0.4 < 0.9 < model.weight[3]
     assert abs(model.table[3, 1, 2] - 0.8) < 0.05
+
+
+def test_a_pass_of_em_equals_plain_loops():
+    rng = np.random.default_rng(5)
+    v = rng.integers(-1, 2, (300, 5)).astype(np.int8)
+    p = rng.random(300)
+    model = toxicity.maximise(toxicity.sums(v[:120], p[:120]) + toxicity.sums(v[120:], p[120:]), 5)
+    for c, q in ((0, 1 - p), (1, p)):
+        for k in range(5):
+            for s in (-1, 0, 1):
+                want = (sum(q[r] for r in range(300) if v[r, k] == s) + 0.5) / (sum(q) + 1.5)
+                assert abs(model.table[k, c, s + 1] - want) < 1e-12
+    assert abs(model.prior - sum(p) / 300) < 1e-12
+    rho = np.zeros((5, 5))
+    for q in (1 - p, p):
+        for a in range(5):
+            for b in range(5):
+                mean = lambda f: sum(w * f(r) for w, r in zip(q, v.astype(float))) / sum(q)
+                cov = lambda i, j: mean(lambda r: r[i] * r[j]) - mean(lambda r: r[i]) * mean(lambda r: r[j])
+                rho[a, b] += abs(cov(a, b) / (cov(a, a) * cov(b, b)) ** 0.5) / 2
+    rho[rho < 0.1] = 0
+    np.fill_diagonal(rho, 1)
+    assert np.allclose(model.weight, 1 / rho.sum(axis=1))
+    for r in range(20):
+        odds = math.log(model.prior / (1 - model.prior)) + sum(model.weight[k] * math.log(model.table[k, 1, v[r, k] + 1] / model.table[k, 0, v[r, k] + 1]) for k in range(5))
+        assert abs(model.posterior(v[r : r + 1])[0] - 1 / (1 + math.exp(-odds))) < 1e-12
+
+
+def test_terms_of_long_words():
+    long = "q" * 30
+    assert toxicity.terms_of(f"{long} x")[f"={long}"] == 1
+    assert f"={'q' * 49}" not in toxicity.terms_of("q" * 49) and toxicity.terms_of("q" * 49)["qqqqqqqqqqqq+"] == 1
+
+
+def test_rows_that_repeat(spark):
+    rows, labels = corpus(300)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.score(docs(spark, [*rows, *rows[:50]]), table).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append(r.score)
+    assert len(got) == 350 and all(len(by[i]) == 2 and by[i][0] == by[i][1] for i, _ in rows[:50])
