@@ -105,6 +105,14 @@ def grams(words: np.ndarray, k: int, factor: int = 0xD6E8FEB86659FD93) -> np.nda
         power, size = power * power % 2**64, 2 * size
 
 
+def grams_at(words: np.ndarray, places: np.ndarray, k: int, factor: int = 0xD6E8FEB86659FD93) -> np.ndarray:
+    """What grams() has at these places."""
+    out = words[places].copy()
+    for j in range(1, k):
+        out = out * np.uint64(factor) + words[places + j]
+    return mix(out)
+
+
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     """The least of each w consecutive values."""
     have, out = 1, x

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pyarrow as pa
 import pytest
@@ -80,10 +81,22 @@ def test_repeated_rows_stay_rows(spark):
         assert len({(r.n_words, r.n_hit) for r in got if r.doc_id in (2, None)}) == 1
 
 
-def test_empty_tables(spark):
-    got = decontaminate.verdicts(docs(spark, [(1, "a b")]), bench(spark, [])).collect()
+@pytest.mark.parametrize("block_bytes", [1 << 20, 1])
+def test_repeated_items_and_short_items_that_occur_often(spark, block_bytes):
+    rows = [(1, "the cat " * 400_000), (2, "no such words"), (3, None), (4, "The"), (None, "a the")]
+    items = [(k, "the") for k in range(30)] + [(7, "the"), (40, "cat the cat"), (41, None)]
+    got = decontaminate.verdicts(docs(spark, rows), bench(spark, items), block_bytes)
+    began = time.time()
+    by = by_id(catalog.contamination(got))
+    assert {d: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for d, r in by.items()} == brute(rows, items)
+    assert block_bytes == 1 or time.time() - began < 10
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 1])
+def test_empty_tables(spark, block_bytes):
+    got = decontaminate.verdicts(docs(spark, [(1, "a b")]), bench(spark, []), block_bytes).collect()
     assert [(r.n_words, r.n_hit, r.contaminated) for r in got] == [(2, 0, False)]
-    assert decontaminate.verdicts(docs(spark, []), bench(spark, [(1, "a")])).count() == 0
+    assert decontaminate.verdicts(docs(spark, []), bench(spark, [(1, "a")]), block_bytes).count() == 0
 
 
 def test_word_hashes():
