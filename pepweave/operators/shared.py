@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of our own only where it is unset, as in local tests."""
+    """spark.checkpoint.dir; a folder of our own only where it is unset and all tasks run on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="pepweave-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

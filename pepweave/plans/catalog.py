@@ -1,23 +1,29 @@
-"""Registered queries and their SQL twins. Every query runs over its whole tables."""
+"""Registered queries and their SQL twins. Every query but toy_graph_paths reads tables, and all of what it reads."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pepweave.functions import fasta, peptides
 from pepweave.operators import batches, budgets, compare, graph, intervals, render
+from pepweave.operators.ranges import overlap_join
+from pepweave.operators.shared import cut, shared_dir
 from pepweave.operators.traverse import traverse
 from pepweave.plans import runs, standins
 from pepweave.plans.standins import LOWER, UPPER, table
+from pepweave.sources import fasta as fasta_files
 from pepweave.sources import inputs
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 _RANGES = [(500, 600), (900, 1000), (4000, 5000)]
 _BUDGET_LIST = [1, 0, 255]
-_EVENT_RANGES = [(0.0, 10.0), (5.0, 20.0), (15.0, 80.0), (-5.0, 0.0)]
+#: Quantities, and a budget list that depends on the order, for orders as graphs.
+_SUMS = [(30, 40), (60, 80), (120, 150)]
 
 
 def query(sql: str | None):
@@ -186,16 +192,17 @@ def set_diff_equal_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.multiset_diff(found, found).unionByName(compare.multiset_diff(found, found.where("source <> 'src3' OR source IS NULL")))
 
 
-@query(f"""
-WITH q(range_id, lo, hi) AS (VALUES {", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(_EVENT_RANGES))})
-SELECT CAST(range_id AS INTEGER) AS range_id, event_type, count(*) AS n FROM events JOIN q ON value <= hi AND value + 5.0 >= lo GROUP BY ALL
+@query("""
+WITH q AS (SELECT p_brand, p_size - 3.0 AS lo, p_size + p_partkey % 7 AS hi FROM part)
+SELECT p_brand, event_type, count(*) AS n FROM events JOIN q ON value <= hi AND value + 5.0 >= lo WHERE p_brand IN ('Brand#1', 'Brand#2') GROUP BY ALL
 """)
 def range_query_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as closed intervals [value, value + 5] that meet fixed ranges."""
-    fixed = F.array(*[F.struct(F.lit(k).alias("range_id"), F.lit(a).alias("lo"), F.lit(b).alias("hi")) for k, (a, b) in enumerate(_EVENT_RANGES)])
-    meets = F.filter(fixed, lambda r: (F.col("value") <= r["hi"]) & (F.col("value") + 5.0 >= r["lo"]))
-    rows = table(spark, sf_dir, "events").select("event_type", F.explode(meets).alias("r"))
-    return rows.groupBy(F.col("r.range_id").alias("range_id"), "event_type").agg(F.count("*").alias("n"))
+    """Events as closed intervals [value, value + 5] that meet intervals of a table, by an interval join."""
+    asked = table(spark, sf_dir, "part").where(F.col("p_brand").isin("Brand#1", "Brand#2")).select("p_brand", (F.col("p_size") - 3.0).alias("lo"), (F.col("p_size") + F.col("p_partkey") % 7).cast("double").alias("hi"))
+    rows = table(spark, sf_dir, "events").select("event_type", F.col("value").alias("from"), (F.col("value") + 5.0).alias("to"))
+    # equal events and equal ranges meet once, with their numbers
+    rows, asked = rows.groupBy("event_type", "from", "to").agg(F.count("*").alias("k")), asked.groupBy("p_brand", "lo", "hi").agg(F.count("*").alias("m"))
+    return overlap_join(rows, asked, ("from", "to", "lo", "hi"), 5.0).groupBy("p_brand", "event_type").agg(F.sum(F.col("k") * F.col("m")).alias("n"))
 
 
 @query(f"""
@@ -237,37 +244,73 @@ def branch_join_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("run_prefix", *[F.col(f"{k}.{c}").alias(f"{c}_{k}") for k in names for c in ("n", "chars")])
 
 
-_LINES = ["4000,5000", " 500 , 600 ", "lower,upper", "", "7", "1.5,2", "-3,+8,9", "12,abc"]
+def _written(lines: DataFrame, what: str) -> str:
+    """The path of text files in the shared folder with these lines (value)."""
+    path = f"{shared_dir(lines.sparkSession)}/pepweave/{what}-{uuid.uuid4().hex}"
+    lines.select("value").write.text(path)
+    return path
 
 
-@query("SELECT CAST(a AS BIGINT) * 1000000000 AS lower, CAST(b AS BIGINT) * 1000000000 AS upper FROM (VALUES (4000, 5000), (500, 600), (-3, 8)) v(a, b)")
+@query("""
+SELECT CAST(o_custkey AS BIGINT) * 1000000000 AS lower, (CAST(o_custkey AS BIGINT) + o_orderkey % 50) * 1000000000 AS upper FROM orders WHERE o_orderkey % 7 NOT IN (1, 2, 3)
+""")
 def parse_query_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole-number queries out of lines of which some are none."""
-    return inputs.queries(spark.createDataFrame([(x,) for x in _LINES], "value string"))
+    """Whole-number queries read from files whose lines are good, short, fractional, headings or blank."""
+    low, high = F.col("o_custkey").cast("string"), (F.col("o_custkey") + F.col("o_orderkey") % 50).cast("string")
+    kind = F.col("o_orderkey") % 7
+    line = F.when(kind == 1, F.concat(low, F.lit(".5,"), high)).when(kind == 2, F.lit("lower,upper")).when(kind == 3, low).when(kind == 4, F.concat(F.lit("  +"), low, F.lit(" , "), high, F.lit(" ,x"))).otherwise(F.concat_ws(",", low, high))
+    path = _written(table(spark, sf_dir, "orders").select(line.alias("value")), "queries")
+    return inputs.read_queries(spark, path).select("lower", "upper")
 
 
-@query("SELECT * FROM (VALUES (CAST(500123456789 AS BIGINT), CAST(600000000000 AS BIGINT)), (CAST(-1999999999 AS BIGINT), CAST(500000000 AS BIGINT))) v(lower, upper)")
+@query("""
+SELECT CAST(p_partkey AS BIGINT) * 1000000000 + p_size * 10000000 + 123456 AS lower, -(CAST(p_size AS BIGINT) * 1000000000 + 500000000) AS upper FROM part
+""")
 def parse_decimal_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decimal queries, truncated to fixed point."""
-    return inputs.queries(spark.createDataFrame([("500.1234567899,600",), ("-1.9999999999,.5,extra",)], "value string"), "decimal_strict")
+    """Decimal queries read from files, cut to fixed point."""
+    lower = F.format_string("%d.%02d0123456789", "p_partkey", "p_size")
+    path = _written(table(spark, sf_dir, "part").select(F.concat(lower, F.lit(", -"), F.col("p_size").cast("string"), F.lit(".5,extra")).alias("value")), "decimals")
+    return inputs.read_queries(spark, path, "decimal_strict").select("lower", "upper")
 
 
-@query("SELECT * FROM (VALUES ('P1'), ('P2'), ('P2'), ('P3')) v(acc)")
+@query("""
+SELECT s_name AS acc, 'plain' AS kind FROM supplier WHERE s_nationkey % 5 <> 0 UNION ALL SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'a,' || s_name ELSE s_name END, 'headed' FROM supplier WHERE s_nationkey % 4 <> 0
+""")
 def accession_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accessions out of lines: trimmed, blanks gone, repeats kept."""
-    return inputs.accessions(spark.createDataFrame([(x,) for x in ("P1", " P2 ,x", "", " ", "P2", "P3,")], "value string"))
+    """Accessions read from files: trimmed, blanks gone, repeats kept; by column from files with a header, nulls and quoted commas."""
+    suppliers = table(spark, sf_dir, "supplier")
+    plain = _written(suppliers.select(F.when(F.col("s_nationkey") % 5 == 0, "").otherwise(F.concat(F.lit(" "), F.col("s_name"), F.lit(" ,x"))).alias("value")), "accessions")
+    headed = f"{shared_dir(spark)}/pepweave/headed-{uuid.uuid4().hex}"
+    name = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("a,"), F.col("s_name"))).otherwise(F.col("s_name"))
+    suppliers.select(F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).alias("first"), F.when(F.col("s_nationkey") % 4 != 0, name).alias("acc")).write.csv(headed, header=True)
+    return inputs.read_accessions(spark, plain).withColumn("kind", F.lit("plain")).unionByName(inputs.read_accessions(spark, headed, 1, header=True).withColumn("kind", F.lit("headed")))
 
 
-@query("SELECT acc, CAST(bin AS INTEGER) AS bin, CAST(max_vars AS INTEGER) AS max_vars FROM (VALUES ('P1', 0, 3), ('P1', 1, 255), ('P2', 0, 0), ('P2', 1, 1)) v(acc, bin, max_vars)")
+@query("SELECT s_name AS acc, CAST(b AS INTEGER) AS bin, CAST((s_suppkey + 100 * b) % 256 AS INTEGER) AS max_vars FROM supplier, (SELECT unnest(range(0, 3)) AS b)")
 def limits_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Budgets out of a ragged table."""
-    return inputs.limits(spark.createDataFrame([(x,) for x in ("#bins,2", "bins,5,9", "P1,3,255", "P2,0,1,1")], "value string"))
+    """Budgets written as a ragged table and read back from its files."""
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("acc"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("bin"), "s_suppkey")
+    path = f"{shared_dir(spark)}/pepweave/limits-{uuid.uuid4().hex}"
+    inputs.write_limits(rows.select("acc", "bin", ((F.col("s_suppkey") + 100 * F.col("bin")) % 256).alias("max_vars")), path)
+    return inputs.read_limits(spark, path)
 
 
-@query("SELECT input_file, query_file, CAST(a AS INTEGER) AS max_vars, CAST(b AS INTEGER) AS max_cleavages, run_prefix FROM (VALUES ('a.csv', 'q.csv', 3, 2, '15'), ('b.csv', 'q.csv', 0, 1, 'x')) v(input_file, query_file, a, b, run_prefix)")
+@query("SELECT n_name || '.csv' AS input_file, 'q.csv' AS query_file, n_nationkey AS max_vars, n_regionkey AS max_cleavages, 'run' || n_nationkey AS run_prefix FROM nation")
 def run_sheet_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed runs out of text cells."""
-    return inputs.run_sheet(spark.createDataFrame([("a.csv", " q.csv", "3", "2", "15"), ("b.csv", "q.csv", " 0 ", "1", "x")], "input_file string, query_file string, max_vars string, max_cleavages string, run_prefix string"))
+    """Typed runs read from a sheet's file."""
+    path = f"{shared_dir(spark)}/pepweave/sheet-{uuid.uuid4().hex}"
+    key = F.col("n_nationkey").cast("string")
+    sheet = table(spark, sf_dir, "nation").select(F.concat("n_name", F.lit(".csv")).alias("input_file"), F.lit("q.csv").alias("query_file"), key.alias("max_vars"), F.col("n_regionkey").cast("string").alias("max_cleavages"), F.concat(F.lit("run"), key).alias("run_prefix"))
+    sheet.write.csv(path, header=True)
+    return inputs.read_run_sheet(spark, path)
+
+
+@query(f"WITH {_DIGEST} SELECT 'pg|TODO|D' || doc_id || '(1:' || length(protein) || ',mssclvg:0,)' AS header, protein AS seq FROM p WHERE protein <> ''")
+def fasta_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written to FASTA files and read back from them."""
+    path = f"{shared_dir(spark)}/pepweave/fasta-{uuid.uuid4().hex}"
+    fasta_files.write_fasta(fasta_render_wrap60(spark, sf_dir), path)
+    return fasta_files.read_fasta(spark, path)
 
 
 def toy(spark: SparkSession) -> graph.Graphs:
@@ -286,16 +329,71 @@ def toy_graph_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.headers(render.peptides(traverse(g, asked).paths, g.graphs)).select("query_id", "seq", "w", "vc", "mssclvg", "header")
 
 
-@query("SELECT * FROM (VALUES ('node_0: [0,50]'), ('node_1: [0,0] | [20,20]'), ('node_2: [0,0]'), ('node_3: [0,0]')) v(line)")
+_ORDERS = """
+nl AS (
+  SELECT l_orderkey AS g, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus) AS BIGINT) AS k, count(*) OVER (PARTITION BY l_orderkey) AS n,
+    CAST(l_quantity AS BIGINT) AS w, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS vc, l_returnflag || l_linestatus AS seq FROM lineitem
+)"""
+#: What may still come after a line: sums over the lines that can follow it.
+_STILL = """
+st AS (SELECT g, k, CAST(0 AS BIGINT) AS s FROM nl UNION SELECT nl.g, nl.k - d, st.s + nl.w FROM st JOIN nl ON nl.g = st.g AND nl.k = st.k, (VALUES (1), (2)) v(d) WHERE nl.k - d >= 1)"""
+
+
+@query(f"""
+WITH RECURSIVE {_ORDERS}, {_STILL},
+nd AS (SELECT g, k, n + 1 AS e, w, vc, (SELECT list(s) FROM st WHERE st.g = nl.g AND st.k = nl.k) AS ss FROM nl UNION ALL SELECT DISTINCT g, n + 1, n + 1, 0, 0, [0] FROM nl),
+tr AS (
+  SELECT 0 AS level, g, k, e, w AS a, vc, len(list_filter(ss, lambda s: w + s >= 60 AND w + s <= 80)) > 0 AS ov FROM nd WHERE k < e
+  UNION ALL SELECT tr.level + 1, nd.g, nd.k, nd.e, tr.a + nd.w, tr.vc + nd.vc, len(list_filter(nd.ss, lambda s: tr.a + nd.w + s >= 60 AND tr.a + nd.w + s <= 80)) > 0
+  FROM tr JOIN nd ON nd.g = tr.g AND (nd.k = tr.e OR nd.k IN (tr.k + 1, tr.k + 2)) WHERE tr.ov AND tr.vc <= 1 AND tr.k < tr.e
+)
+SELECT level, g AS graph_id, count(*) AS attempted, count(*) FILTER (WHERE ov) AS overlapping, count(*) FILTER (WHERE ov AND vc <= 1) AS accepted FROM tr GROUP BY ALL
+""")
+def order_interval_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions of the enumeration with intervals of what is still to come, on orders as graphs: attempted, overlapping and accepted steps."""
+    g = intervals.summarise(standins.order_graphs(spark, sf_dir), cap=1024)
+    asked = spark.createDataFrame([(0, 60, 80, 1)], "query_id long, lower long, upper long, max_vars int")
+    count = lambda c: F.sum(F.col(c).cast("long")).alias
+    return traverse(g, asked, trace=True).trace.groupBy("level", "graph_id").agg(F.count("*").alias("attempted"), count("overlap")("overlapping"), count("accepted")("accepted"))
+
+
+@query(f"""
+WITH RECURSIVE {_ORDERS},
+q(query_id, lower, upper) AS (VALUES {", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(_SUMS))}),
+qb AS (SELECT *, least(CASE WHEN upper // 50 - 1 < 0 THEN 2 ELSE upper // 50 - 1 END, 2) AS bin FROM q),
+pt AS (
+  SELECT g, k, n, w AS a, vc, 0 AS mc, seq FROM nl
+  UNION ALL SELECT nl.g, nl.k, nl.n, pt.a + nl.w, pt.vc + nl.vc, pt.mc + CASE WHEN nl.k = pt.k + 1 THEN 1 ELSE 0 END, pt.seq || nl.seq FROM pt JOIN nl ON nl.g = pt.g AND nl.k IN (pt.k + 1, pt.k + 2) WHERE pt.a + nl.w <= 150
+)
+SELECT CAST(query_id AS BIGINT) AS query_id, g AS graph_id, count(*) AS n, CAST(sum(a) AS BIGINT) AS w, CAST(sum(vc) AS BIGINT) AS vc, CAST(sum(mc) AS BIGINT) AS mc, min(seq) AS seq
+FROM pt JOIN qb ON a BETWEEN lower AND upper WHERE (g + bin) % 4 = 3 OR vc <= (g + bin) % 4 GROUP BY query_id, g
+""")
+def order_budget_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of orders as graphs, with intervals, under budgets that differ by order and by the mass bin of the query."""
+    g = standins.order_graphs(spark, sf_dir)
+    limits = g.graphs.select(F.col("accessions")[0].alias("acc"), "graph_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("bin"))
+    stored = (F.col("graph_id") + F.col("bin")) % 4
+    limits = limits.select("acc", "bin", F.when(stored == 3, budgets.UNLIMITED).otherwise(stored).cast("int").alias("max_vars"))
+    asked = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(_SUMS)], "query_id long, lower long, upper long").withColumn("bin", budgets.bin_of(F.col("upper"), 3, 150))
+    found = traverse(intervals.summarise(g), asked, limits=limits).paths
+    return found.groupBy("query_id", "graph_id").agg(F.count("*").alias("n"), F.sum("a").alias("w"), F.sum("vc").cast("long").alias("vc"), F.sum("mc").cast("long").alias("mc"), F.min("seq").alias("seq"))
+
+
+@query(f"""
+WITH RECURSIVE {_ORDERS}, {_STILL}
+SELECT g AS graph_id, CAST(k AS BIGINT) AS node_id, 'node_' || k || ': ' || string_agg('[' || s || ',' || s || ']', ' | ' ORDER BY s) AS line FROM st GROUP BY g, k
+UNION ALL SELECT DISTINCT g, CAST(n + 1 AS BIGINT), 'node_' || (n + 1) || ': [0,0]' FROM nl
+UNION ALL SELECT g, CAST(0 AS BIGINT), 'node_0: ' || string_agg('[' || s || ',' || s || ']', ' | ' ORDER BY s) FROM (SELECT DISTINCT nl.g, nl.w + st.s AS s FROM nl JOIN st ON st.g = nl.g AND st.k = nl.k) GROUP BY g
+""")
 def interval_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Intervals as text."""
-    return intervals.dump(toy(spark).nodes).select("line")
+    """Intervals of every node of orders as graphs, as text."""
+    return intervals.dump(intervals.summarise(standins.order_graphs(spark, sf_dir), cap=1024).nodes)
 
 
-@query("SELECT '' AS side, '' AS seq, CAST(0 AS BIGINT) AS n WHERE false")
+@query(f"WITH {_DIGEST}, {_forms(5)}, {_paths(5, 'vc <= 1 AND mssclvg <= 1')} SELECT DISTINCT '=' AS side, seq, CAST(1 AS BIGINT) AS n FROM pak")
 def compare_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enumeration with intervals against the one without, over all documents: no difference."""
-    return runs.compare_readers(standins.graphs(spark, sf_dir), standins.ranges(spark, (LOWER, UPPER)).drop("max_vars"), runs.Run(1, 1, "readers"))
+    """Enumeration with intervals against the one without, over all documents: what both found, and no difference."""
+    return runs.compare_readers(standins.graphs(spark, sf_dir), standins.ranges(spark, (LOWER, UPPER)).drop("max_vars"), runs.Run(1, 1, "readers"), agreed=True)
 
 
 @query(f"""
@@ -305,6 +403,8 @@ SELECT 'sources' AS run_prefix, 'canonical' AS "left", 'five' AS "right", '>' AS
 UNION ALL SELECT 'sources', 'five', 'seven', '<', seq, 1 FROM (FROM x EXCEPT FROM y) UNION ALL SELECT 'sources', 'five', 'seven', '>', seq, 1 FROM (FROM y EXCEPT FROM x)
 """)
 def compare_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Peptide sets of three variant sources, compared in two pairs."""
-    branches = {"canonical": standins.graphs(spark, sf_dir, variants=False), "five": standins.graphs(spark, sf_dir), "seven": standins.graphs(spark, sf_dir, every=7)}
+    """Peptide sets of graphs without variants and with those of two sources of a variant table, compared in two pairs."""
+    rows, variants = standins.variant_table(spark, sf_dir, {"five": 5, "seven": 7})
+    rows, variants = cut(rows, "proteins"), cut(variants, "variants")
+    branches = {"canonical": graph.from_proteins(rows, variants=False), **{s: graph.from_variants(rows, variants, s) for s in ("five", "seven")}}
     return runs.compare_sources(branches, standins.ranges(spark, (LOWER, UPPER)).drop("max_vars"), runs.Run(3, 2, "sources"), [("canonical", "five"), ("five", "seven")])

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from pepweave.functions import fasta, peptides
 from pepweave.operators import graph
-from pepweave.operators.shared import spread
+from pepweave.operators.shared import cut, spread
 
 #: The flagship's range in whole dalton, and missed cleavages allowed.
 LOWER, UPPER, MISSED = 500, 600, 2
@@ -47,11 +47,24 @@ def runs(spark: SparkSession, sf_dir: str, lower: int = LOWER, upper: int = UPPE
 
 
 def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Peptides of the flagship's range with their place: doc_id, source, lang, spos, epos, mssclvg, seq, header."""
-    cut = proteins(spark, sf_dir).select("doc_id", F.posexplode(peptides.digest(F.col("protein"))).alias("i", "f"))
-    ahead = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    place = cut.select("doc_id", "i", (F.coalesce(F.sum(F.length("f")).over(ahead), F.lit(0)) + 1).cast("int").alias("spos"))
-    found = runs(spark, sf_dir).join(place, ["doc_id", "i"]).withColumn("epos", F.col("spos") + F.length("seq") - 1)
+    """Peptides of the flagship's range with their place: doc_id, source, lang, spos, epos, mssclvg, seq, header.
+
+    Each document is digested once; positions are a running sum, and the fragments that follow come by the same window.
+    """
+    longest = (UPPER * peptides.SCALE - peptides.WATER) // min(peptides.RESIDUES.values())
+    cut = proteins(spark, sf_dir).select("doc_id", "source", "lang", F.posexplode(peptides.digest(F.col("protein"))).alias("i", "f"))
+    cut = cut.withColumns({"size": F.length("f"), "m": F.when(F.length("f") <= longest, peptides.mass(F.col("f")))})
+    by_doc = Window.partitionBy("doc_id").orderBy("i")
+    ahead = by_doc.rowsBetween(Window.unboundedPreceding, -1)
+    follow = [F.lead(F.when(F.col("m").isNotNull(), F.struct("f", "m")), k).over(by_doc).alias(f"z{k}") for k in range(1, MISSED + 1)]
+    rows = cut.select("doc_id", "source", "lang", F.struct("f", "m").alias("z0"), (F.coalesce(F.sum("size").over(ahead), F.lit(0)) + 1).cast("int").alias("spos"), *follow).where("z0.m is not null")
+    steps = range(MISSED + 1)
+    forms = F.array(*[
+        F.struct(F.lit(k).alias("mssclvg"), sum([F.col(f"z{j}.m") for j in range(k + 1)], F.lit(peptides.WATER)).alias("mass"), F.concat(*[F.col(f"z{j}.f") for j in range(k + 1)]).alias("seq")) for k in steps
+    ])
+    fits = F.filter(forms, lambda r: r["mass"].between(LOWER * peptides.SCALE, UPPER * peptides.SCALE))
+    found = rows.select("doc_id", "source", "lang", "spos", F.explode(fits).alias("r")).select("doc_id", "source", "lang", "spos", "r.mssclvg", "r.seq")
+    found = found.withColumn("epos", F.col("spos") + F.length("seq") - 1)
     acc = F.concat(F.lit("D"), F.col("doc_id").cast("string"))
     return found.select("doc_id", "source", "lang", "spos", "epos", "mssclvg", "seq", fasta.header(acc, F.col("spos"), F.col("epos"), F.col("mssclvg"), F.array().cast("array<string>")).alias("header"))
 
@@ -62,6 +75,44 @@ def graphs(spark: SparkSession, sf_dir: str, variants: bool = True, every: int =
     return graph.from_proteins(rows, variants, every)
 
 
+def variant_table(spark: SparkSession, sf_dir: str, sources: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """Proteins (graph_id, acc, protein) of the documents, and their variants: graph_id, pos, replacement, source.
+
+    A source that names n has a variant at the first residue of every n-th fragment: A, or G where there was an A.
+    """
+    rows = proteins(spark, sf_dir).select(F.col("doc_id").alias("graph_id"), F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("acc"), "protein")
+    frags = rows.select("graph_id", F.posexplode(peptides.digest(F.col("protein"))).alias("i", "f"))
+    ahead = Window.partitionBy("graph_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    places = frags.select("graph_id", "i", (F.coalesce(F.sum(F.length("f")).over(ahead), F.lit(0)) + 1).cast("int").alias("pos"), F.when(F.col("f").startswith("A"), "G").otherwise("A").alias("replacement"))
+    named = F.filter(F.array(*[F.struct(F.lit(s).alias("source"), F.lit(n).alias("n")) for s, n in sources.items()]), lambda x: F.col("i") % x["n"] == 0)
+    return rows, places.select("graph_id", "pos", "replacement", F.explode(named).alias("s")).select("graph_id", "pos", "replacement", "s.source")
+
+
+def order_graphs(spark: SparkSession, sf_dir: str) -> graph.Graphs:
+    """Orders as small graphs: lines are nodes that weigh their quantity; a line leads to the next two lines and to the end.
+
+    A step into a returned line counts one variant; a step to the very next line is a missed cleavage.
+    """
+    by_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("graph_id"), F.row_number().over(by_order).cast("long").alias("k"), F.count("*").over(Window.partitionBy("l_orderkey")).alias("n"),
+        F.col("l_quantity").cast("long").alias("w"), F.concat("l_returnflag", "l_linestatus").alias("seq"), F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("vc"),
+    )
+    lines = cut(lines, "lines")
+    acc = F.concat(F.lit("O"), F.col("graph_id").cast("string"))
+    graphs = lines.where("k = 1").select("graph_id", F.array(acc).alias("accessions"), (F.col("n") + 2).alias("n_nodes"), F.lit(None).cast("long").alias("n_edges"), F.lit(None).cast("int").alias("n_pdb"))
+    none, zero = F.lit(None), F.lit(0).cast("long")
+    ends = graphs.select("graph_id", F.explode(F.array(zero, F.col("n_nodes") - 1)).alias("node_id"), F.lit("").alias("seq"), none.cast("int").alias("pos"), F.lit(0).alias("iso_idx"), none.cast("int").alias("iso_pos"), zero.alias("w"))
+    inner = lines.select("graph_id", F.col("k").alias("node_id"), "seq", (2 * F.col("k") - 1).cast("int").alias("pos"), F.lit(0).alias("iso_idx"), none.cast("int").alias("iso_pos"), "w")
+    nodes = inner.unionByName(ends).withColumn("pdbs", none.cast(f"array<{graph.INTERVAL}>"))
+    before = F.filter(F.array(zero, F.col("k") - 2, F.col("k") - 1), lambda x: x >= 0)
+    into = lines.select("graph_id", "vc", F.col("k").alias("dst"), F.explode(F.array_distinct(before)).alias("src"))
+    into = into.select("graph_id", "src", "dst", ((F.col("src") > 0) & (F.col("dst") - F.col("src") == 1)).alias("cleaved"), F.when(F.col("vc") > 0, "R").otherwise("").alias("qual"), "vc")
+    out = lines.select("graph_id", F.col("k").alias("src"), (F.col("n") + 1).alias("dst"), F.lit(False).alias("cleaved"), F.lit("").alias("qual"), F.lit(0).alias("vc"))
+    edges = into.unionByName(out).select("graph_id", F.expr(f"src * {graph.MOST_NODES}L + dst").alias("edge_id"), "src", "dst", "cleaved", "qual", "vc")
+    return graph.Graphs(graphs, nodes, edges)
+
+
 def ranges(spark: SparkSession, *bounds: tuple[int, int], max_vars: int | None = None) -> DataFrame:
     """query_id, lower, upper, max_vars of bounds in whole dalton."""
     rows = [(k, a * peptides.SCALE, b * peptides.SCALE, max_vars) for k, (a, b) in enumerate(bounds)]

@@ -41,10 +41,11 @@ def accessions(lines: DataFrame, column: int = 0) -> DataFrame:
 
 
 def read_accessions(spark: SparkSession, path: str, column: int = 0, header: bool = False) -> DataFrame:
-    """Accessions of a file."""
-    if header:
-        return spark.read.csv(path, header=True, inferSchema=False).select(F.concat_ws(",", "*").alias("value")).transform(accessions, column)
-    return accessions(spark.read.text(path), column)
+    """Accessions of a CSV file, by the place of their column; rows without it are left out."""
+    raw = spark.read.csv(path, header=header, inferSchema=False, mode="PERMISSIVE")
+    if column >= len(raw.columns):
+        return raw.select(F.lit(None).cast("string").alias("acc")).where("acc is not null")
+    return raw.select(F.trim(F.col(f"`{raw.columns[column]}`")).alias("acc")).where("acc <> ''")
 
 
 def queries(lines: DataFrame, mode: str = "int_skip_invalid") -> DataFrame:
@@ -65,16 +66,16 @@ def queries(lines: DataFrame, mode: str = "int_skip_invalid") -> DataFrame:
 
 
 def read_queries(spark: SparkSession, path: str, mode: str = "int_skip_invalid") -> DataFrame:
-    """Queries of a file with query_id, by their order in it."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("query_id", "value"))
-    if mode == "int_skip_invalid":
-        return queries(lines.select("value"), mode).withColumn("query_id", F.monotonically_increasing_id()).select("query_id", "lower", "upper")
-    return queries(lines.where("trim(value) <> ''").select("value"), mode).withColumn("query_id", F.monotonically_increasing_id()).select("query_id", "lower", "upper")
+    """Queries of text files with a query_id of their own, ascending within a part of a file."""
+    lines = spark.read.text(path)
+    if mode == "decimal_strict":
+        lines = lines.where("trim(value) <> ''")
+    return queries(lines, mode).withColumn("query_id", F.monotonically_increasing_id()).select("query_id", "lower", "upper")
 
 
 def write_queries(found: DataFrame, path: str) -> None:
-    """Queries in whole dalton with the header lower,upper."""
-    found.select((F.col("lower") / SCALE).cast("long").alias("lower"), (F.col("upper") / SCALE).cast("long").alias("upper")).coalesce(1).write.csv(path, header=True)
+    """Queries in whole dalton, each file with the header lower,upper."""
+    found.select((F.col("lower") / SCALE).cast("long").alias("lower"), (F.col("upper") / SCALE).cast("long").alias("upper")).write.csv(path, header=True)
 
 
 def limits(lines: DataFrame) -> DataFrame:
@@ -103,6 +104,13 @@ def limits_lines(table: DataFrame) -> DataFrame:
     return table.groupBy("acc").agg(row.alias("v")).select(F.concat_ws(",", "acc", "v").alias("value"))
 
 
+def write_limits(table: DataFrame, path: str) -> None:
+    """Budgets (acc, bin, max_vars) as a ragged table: its two head lines, then a line for each accession."""
+    n = table.agg(F.coalesce(F.max("bin") + 1, F.lit(0)).alias("n"))
+    head = n.select(F.explode(F.array(F.format_string("#bins,%d", "n"), F.concat_ws(",", F.lit("bins"), F.sequence(F.lit(1), F.greatest("n", F.lit(1))).cast("array<string>")))).alias("value"))
+    head.unionByName(limits_lines(table)).write.text(path)
+
+
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
     """acc, entry of flat protein text: entries end with a line "//"; the first accession of the AC line names them."""
     entries = spark.read.option("lineSep", "\n//\n").text(path).where("trim(value) <> ''")
