@@ -36,7 +36,7 @@ WIDTH, BLOCK = 27, 20
 #: Text bytes hashed at once.
 SLICE = 8 << 20
 #: Buckets of documents in a shuffle partition; a worker holds the starts of one.
-BUCKETS = 8
+BUCKETS = 2
 _SECOND = 0xC2B2AE3D27D4EB4F
 
 
