@@ -6,15 +6,17 @@
     A tile keeps the least and greatest of each count. Two fingerprints that differ in r bits differ by at most r in
     their counts (and by at most r in the sum over bytes), so tile pairs further apart than the radius are skipped;
     inside a pair the same test skips blocks.
-4.  What is left is compared exactly: exclusive-or and bit counts in numpy. A tile pair gives a spanning forest of its
-    links (at most as many links as it has fingerprints), never all pairs of a group.
+4.  What is left is compared exactly: exclusive-or and bit counts in numpy. Tiles go out by square of 2**SQUARE by
+    2**SQUARE neighbours, so a tile is sent once for all its pairs in a square. A tile pair gives a spanning forest of
+    its links (at most as many links as it has fingerprints), never all pairs of a group.
 5.  Links become components by contraction (see components).
 
 Only tile boundaries are matched against each other by a join; fingerprints and links never reach the driver.
 
-Defined results: null and blank texts have fingerprint zero and are linked like any other; a null doc_id takes part but
-is never the smallest id unless all ids of a component are null; rows that repeat a doc_id are separate rows, and dedup()
-keeps one row of each component whatever their ids; an empty table gives an empty result.
+Defined results: null and blank texts have fingerprint zero and are linked like any other; texts of any length are read
+whole; a null doc_id takes part but is never the smallest id unless all ids of a component are null; rows that repeat a
+doc_id are separate rows, and dedup() keeps one row of each component whatever their ids; an empty table gives an empty
+result; further columns, whatever their names, are passed by in dedup() and left out by cluster().
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ from pepweave.llm.components import components
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints in a tile, and in a block inside a tile.
 TILE, BLOCK = 4096, 256
+#: Neighbouring tiles of a square, as a power of two.
+SQUARE = 3
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
@@ -168,18 +172,17 @@ def forest(x: np.ndarray, y: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarr
 def links(distinct: DataFrame, radius: int = RADIUS, size: int = TILE) -> DataFrame:
     """distinct: fp. Links a, b that connect the same fingerprints as all links within the radius do."""
     tiled = cut(tiles(distinct, size), "tiles")
-    first = tiled.select(F.col("tile").alias("a"), F.col("fps").alias("fps_a"))
-    second = tiled.select(F.col("tile").alias("b"), F.col("fps").alias("fps_b"))
-    paired = tile_pairs(tiled, radius).join(first, "a").join(second, "b").select("a", "b", "fps_a", "fps_b")
+    square = [F.shiftright(c, SQUARE).alias(f"s{c}") for c in ("a", "b")]
+    pairs = cut(tile_pairs(tiled, radius).select(*square, "a", "b"), "pairs")
+    asked = pairs.select("sa", "sb", F.explode(F.array("a", "b")).alias("tile")).distinct()
+    sent = asked.join(tiled.select("tile", "fps"), "tile")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, x, y in zip(*[c.to_pylist() for c in batch.columns]):
-                x = np.frombuffer(x, np.int64)
-                one, two = forest(x, x if a == b else np.frombuffer(y, np.int64), radius)
-                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], names=["a", "b"])
+    def compare(held: pa.Table, wanted: pa.Table) -> pa.Table:
+        fps = {t: np.frombuffer(v, np.int64) for t, v in zip(held.column("tile").to_pylist(), held.column("fps").to_pylist())}
+        found = [forest(fps[a], fps[a] if a == b else fps[b], radius) for a, b in zip(wanted.column("a").to_pylist(), wanted.column("b").to_pylist())]
+        return pa.table({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([y for _, y in found])})
 
-    return paired.mapInArrow(work, "a long, b long")
+    return sent.groupBy("sa", "sb").cogroup(pairs.groupBy("sa", "sb")).applyInArrow(compare, "a long, b long")
 
 
 def components_of(prints: DataFrame, order: Column, radius: int, size: int) -> DataFrame:
