@@ -175,14 +175,14 @@ def links(distinct: DataFrame, radius: int = RADIUS, size: int = TILE) -> DataFr
     square = [F.shiftright(c, SQUARE).alias(f"s{c}") for c in ("a", "b")]
     pairs = cut(tile_pairs(tiled, radius).select(*square, "a", "b"), "pairs")
     asked = pairs.select("sa", "sb", F.explode(F.array("a", "b")).alias("tile")).distinct()
-    sent = asked.join(tiled.select("tile", "fps"), "tile")
+    sent = asked.join(tiled.select("tile", "fps"), "tile").select(F.col("sa").alias("ta"), F.col("sb").alias("tb"), "tile", "fps")
 
     def compare(held: pa.Table, wanted: pa.Table) -> pa.Table:
         fps = {t: np.frombuffer(v, np.int64) for t, v in zip(held.column("tile").to_pylist(), held.column("fps").to_pylist())}
         found = [forest(fps[a], fps[a] if a == b else fps[b], radius) for a, b in zip(wanted.column("a").to_pylist(), wanted.column("b").to_pylist())]
         return pa.table({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([y for _, y in found])})
 
-    return sent.groupBy("sa", "sb").cogroup(pairs.groupBy("sa", "sb")).applyInArrow(compare, "a long, b long")
+    return sent.groupBy("ta", "tb").cogroup(pairs.groupBy("sa", "sb")).applyInArrow(compare, "a long, b long")
 
 
 def components_of(prints: DataFrame, order: Column, radius: int, size: int) -> DataFrame:
