@@ -1,9 +1,9 @@
 """Toxicity by weak supervision.
 
-1.  Voters. Words and word stems that toxic documents use far more often are counted over all labelled training rows, and
-    chosen greedily, on a bounded sample of these rows (MINED), by the toxic documents that they add; with a general
-    lexicon they make one voter each. Pattern voters judge how many hits a text has for its length, shouting and symbol
-    noise. Voters say toxic (1), clean (-1) or nothing (0).
+1.  Voters. Words and word stems that toxic documents use far more often are mined from a bounded sample of the labelled
+    training rows (MINED) and chosen greedily by the toxic documents that they add; with a general lexicon they make one
+    voter each. Pattern voters judge how many hits a text has for its length, shouting and symbol noise. Voters say toxic
+    (1), clean (-1) or nothing (0).
 2.  Label model. Each voter's accuracy (its votes' probabilities given the class) and the class rate are estimated by EM
     over all documents. Labels give EM its first estimate and no more. Correlations of voters given the class, from the
     same pass, discount voters that repeat each other. A pass returns sums of a fixed size, added up in tasks.
@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from pepweave.llm import words as W
 from pepweave.llm.common import cut, text_bytes, total
 
-#: Labelled documents that terms are chosen on, candidate terms, chosen terms; rows that the classifier is fitted on.
-MINED, CANDIDATES, TERMS, FITTED = 6000, 3000, 48, 20_000
+#: Labelled documents that terms are mined from, candidate terms, chosen terms; rows that the classifier is fitted on.
+MINED, CANDIDATES, TERMS, FITTED = 8000, 3000, 48, 20_000
 #: A term must be in so many toxic documents, and so many times as frequent in them.
 SUPPORT, LIFT = 4, 8.0
 STEMS = range(3, 13)
@@ -85,8 +85,9 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 
 def mine(docs: DataFrame, train: DataFrame) -> list[str]:
-    """Terms, counted over all labelled documents and chosen on a bounded sample of them."""
-    told = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(train, "doc_id"), "labelled")
+    """Terms, chosen on a bounded sample of labelled documents."""
+    chosen = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MINED)
+    told = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id"), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = {}
@@ -116,6 +117,7 @@ def mine(docs: DataFrame, train: DataFrame) -> list[str]:
     good = counts.where((F.col("d1") >= SUPPORT) & (lift >= LIFT)).orderBy((F.col("d1") - F.col("d0") * 0.5).desc(), F.length("term").desc(), "term").limit(CANDIDATES)
     candidates = [r.term for r in good.select("term").collect()]
     at = {t: k for k, t in enumerate(candidates)}
+    # at most MINED ids, though ids may repeat
     sample = told.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(MINED).select("text", "y")
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
