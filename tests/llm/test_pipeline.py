@@ -5,6 +5,7 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import sentencepiece
 from helpers import SCHEMA
+from pyspark.sql import functions as F
 from test_decontaminate import brute as contamination
 from test_simhash import brute as near
 
@@ -40,3 +41,24 @@ def test_stages_keep_the_columns_and_take_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
         assert docs.columns == SCHEMA.names and docs.count() == 0
+
+
+def test_stages_take_repeated_and_null_ids(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist()]
+    word = lambda k: " ".join(f"term{k}x{j}" for j in range(60))
+    taken = max(items, key=lambda x: len(x[1] or ""))[1]
+    rows = [(1, word(1)), (1, word(2)), (None, word(3)), (None, word(4)), (None, word(4)), (5, word(5)), (5, word(5) + " "), (5, word(5).upper()), (6, word(4).replace(" ", "  ")), (7, taken), (7, word(7)), (8, None), (None, ""), (9, "long " * 30_000)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).withColumn("key_one", F.lit(1)).withColumn("own_id", F.lit("x"))
+    assert toxicity.score(df, labels).where("predicted = 1").count() == 0
+    out = df
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = spark.createDataFrame(stage(spark, out, SF).collect(), df.schema)
+        assert out.columns == df.columns
+    got = sorted((str(r.doc_id), " ".join((r.text or "").split())[:12]) for r in out.collect())
+    bad = contamination([(k, t) for k, (_, t) in enumerate(rows)], items)
+    assert bad[9][-1]
+    want = [("1", word(1)), ("1", word(2)), ("None", word(3)), ("6", word(4)), ("5", word(5)), ("7", word(7)), ("8", ""), ("9", "long " * 30_000)]
+    assert [(i, t.lower()) for i, t in got] == sorted((i, t.strip()[:12]) for i, t in want)
+    last = corpus_pipeline.STAGES[-1][1](spark, out.withColumn("n_tokens", F.lit("clash")), SF)
+    assert last.count() == len(want) and last.columns.count("n_tokens") == 1
