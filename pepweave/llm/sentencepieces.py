@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Bytes of segments and number of pairs that a worker remembers at most; longer segments (in code points) are not kept.
-REMEMBERED, PAIRS, LONG = 224 << 20, 1_000_000, 64
+REMEMBERED, PAIRS, LONG = 112 << 20, 500_000, 64
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 

@@ -43,7 +43,7 @@ MINED, CANDIDATES, TERMS, FITTED = 8000, 3000, 48, 20_000
 SUPPORT, LIFT = 4, 8.0
 STEMS = range(3, 13)
 #: Letters of a word that may be a term as a whole; terms that a task holds at once.
-WORD, HELD = 48, 100_000
+WORD, HELD = 48, 20_000
 #: Text bytes measured at once.
 SLICE = 2 << 20
 #: From this score on a document counts as toxic.
