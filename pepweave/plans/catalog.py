@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -406,5 +407,5 @@ def compare_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Peptide sets of graphs without variants and with those of two sources of a variant table, compared in two pairs."""
     rows, variants = standins.variant_table(spark, sf_dir, {"five": 5, "seven": 7})
     rows, variants = cut(rows, "proteins"), cut(variants, "variants")
-    branches = {"canonical": graph.from_proteins(rows, variants=False), **{s: graph.from_variants(rows, variants, s) for s in ("five", "seven")}}
+    branches = {"canonical": partial(graph.from_proteins, rows, variants=False), **{s: partial(graph.from_variants, rows, variants, s) for s in ("five", "seven")}}
     return runs.compare_sources(branches, standins.ranges(spark, (LOWER, UPPER)).drop("max_vars"), runs.Run(3, 2, "sources"), [("canonical", "five"), ("five", "seven")])
