@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pepweave.functions.peptides import SCALE
-from pepweave.operators import compare
+from pepweave.operators import batches, budgets, compare
 from pepweave.operators.graph import Graphs
 from pepweave.plans.runs import Run, read_peptides
 from pepweave.sources import inputs
@@ -21,6 +21,24 @@ def progress_lines(queries: DataFrame) -> DataFrame:
     return queries.select(F.concat(F.lit("Processed Query "), F.col("query_id").cast("string"), F.lit(" with: "), whole("lower"), F.lit(":"), whole("upper")).alias("value"))
 
 
+def build_input(spark: SparkSession, accessions: str, queries: str, flat: str, max_vars: int, out: str, column: int = 0, header: bool = False, batch: int = 100) -> dict[str, str]:
+    """All that a run reads, from a list of accessions, mass queries and flat protein text: the paths of what is written.
+
+    queries: whole dalton, one head line a file; limits: the same budget for every accession in one bin; entries: the flat
+    entries of the listed accessions; asked: a text for each batch of accessions, as one would ask a service for them. An
+    accession that is listed twice has one entry and one budget.
+    """
+    paths = {name: f"{out}/{name}" for name in ("queries", "limits", "entries", "asked")}
+    listed = inputs.read_accessions(spark, accessions, column, header)
+    unique = listed.distinct()
+    inputs.write_queries(inputs.read_queries(spark, queries), paths["queries"])
+    inputs.write_limits(budgets.constant_limits(unique, 1, max_vars), paths["limits"])
+    found = inputs.read_flat(spark, flat).join(unique, "acc", "left_semi")
+    found.select(F.concat("entry", F.lit("\n//")).alias("value")).write.text(paths["entries"])
+    batches.any_of(batches.batches(listed, "acc", batch)).select(F.col("query").alias("value")).write.text(paths["asked"])
+    return paths
+
+
 def execute(spark: SparkSession, sheet: str, branches: Callable[[str], dict[str, Graphs]], pairs: list[tuple[str, str]], out: str) -> DataFrame:
     """Every run of a sheet: peptides of each branch and the differences of the pairs, published by run_prefix below out.
 

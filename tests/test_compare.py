@@ -1,9 +1,11 @@
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from pepweave.operators import batches, budgets, compare
+from pepweave.operators.ranges import overlap_join
 from pepweave.plans import catalog, runs
 
 
@@ -79,3 +81,14 @@ def test_compared_runs(spark):
     rows = runs.compare_sources({"all": g, "less": less}, asked, runs.Run(None, 2, "x"), [("all", "less"), ("all", "all")]).collect()
     assert [(r.left, r.right, r.side, r.seq) for r in rows] == [("all", "less", "<", "CR")]
     assert Counter(r.seq for r in runs.read_peptides(g, asked, runs.Run(0, 0, "x")).collect()) == {"AK": 1}
+
+
+def test_overlap_join_equals_brute_force(spark):
+    rng = random.Random(4)
+    some = lambda n: [(k, rng.choice("ab"), lo, None if rng.random() < 0.05 else lo + rng.randint(-2, 40)) for k in range(n) for lo in [rng.randint(-50, 50)]]
+    left, right = some(80), some(60)
+    want = sorted((a[0], b[0]) for a in left for b in right if a[1] == b[1] and None not in (a[3], b[3]) and a[2] <= a[3] and b[2] <= b[3] and a[2] <= b[3] and b[2] <= a[3])
+    one, two = spark.createDataFrame(left, "i int, k string, lo int, hi int"), spark.createDataFrame(right, "j int, k string, lower int, upper int")
+    for width in (1, 7, 1000):
+        got = overlap_join(one, two, ("lo", "hi", "lower", "upper"), width, ["k"])
+        assert sorted((r.i, r.j) for r in got.collect()) == want

@@ -113,3 +113,29 @@ def test_stream_of_queries(spark, tmp_path):
     run()
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r.batch, r.seq) for r in got) == [(0, "AK"), (0, "CR"), (1, "AKCR")]
+
+
+def test_accessions_by_place(spark, tmp_path):
+    path = put(tmp_path / "h.csv", 'id,acc\n,P2\n1,"a,b"\n2,\n"x,y",P3\n')
+    assert [r.acc for r in inputs.read_accessions(spark, path, 1, header=True).collect()] == ["P2", "a,b", "P3"]
+    assert inputs.read_accessions(spark, path, 7, header=True).count() == 0
+
+
+def test_results_by_query_and_other_formats(spark, tmp_path):
+    rows = spark.createDataFrame([(0, ">a\nAK"), (1, ">b\nCR")], "query_id long, value string")
+    fasta.write_fasta(rows, str(tmp_path / "out"))
+    assert sorted(tuple(r) for r in fasta.read_fasta(spark, str(tmp_path / "out")).select("query_id", "header", "seq").collect()) == [(0, "a", "AK"), (1, "b", "CR")]
+    node = {"seq": "A", "pos": None, "iso_idx": 0, "iso_pos": 3, "w": 5, "end_off": 0, "pdbs": []}
+    data = binary_graph.encode({"accessions": ["P"], "n_pdb": 0, "nodes": [node], "edges": []})
+    (tmp_path / "graphs").mkdir()
+    put(tmp_path / "graphs" / "a.bpcsr", data)
+    put(tmp_path / "graphs" / "b.twice", data + data)
+    with pytest.raises(Exception, match="no reader"):
+        binary_graph.read_graphs(spark, str(tmp_path / "graphs"))
+    with pytest.raises(Exception, match="no reader"):
+        binary_graph.read_graphs(spark, f"{tmp_path}/graphs/*")
+    binary_graph.FORMATS[".twice"] = binary_graph.decode
+    try:
+        assert binary_graph.read_graphs(spark, str(tmp_path / "graphs")).graphs.count() == 3
+    finally:
+        del binary_graph.FORMATS[".twice"]

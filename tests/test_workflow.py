@@ -6,6 +6,7 @@ from pepweave.functions.peptides import RESIDUES, SCALE
 from pepweave.operators import graph
 from pepweave.operators.traverse import traverse
 from pepweave.plans import workflow
+from pepweave.sources import inputs
 
 
 def mass(seq):
@@ -55,3 +56,26 @@ def test_a_sheet_of_runs(spark, tmp_path):
 def test_progress(spark):
     rows = workflow.progress_lines(spark.createDataFrame([(0, 500 * SCALE, 600 * SCALE)], "query_id long, lower long, upper long")).collect()
     assert [r.value for r in rows] == ["Processed Query 0 with: 500:600"]
+
+
+def test_build_input(spark, tmp_path):
+    (tmp_path / "acc.csv").write_text("id,acc\n1,Q9\n2,P1\n,P1\n3,\n4,X7\n")
+    (tmp_path / "q.csv").write_text("500,600\nbad\n4000, 5000\n")
+    (tmp_path / "f.txt").write_text("ID   A\nAC   P1; Z;\nSQ   AK\n//\nID   B\nAC   R2;\n//\nID   C\nAC   Q9;\n//\n")
+    paths = workflow.build_input(spark, f"{tmp_path}/acc.csv", f"{tmp_path}/q.csv", f"{tmp_path}/f.txt", 3, f"{tmp_path}/out", 1, True, batch=3)
+    assert sorted(tuple(r)[1:] for r in inputs.read_queries(spark, paths["queries"]).collect()) == [(500 * SCALE, 600 * SCALE), (4000 * SCALE, 5000 * SCALE)]
+    assert sorted(tuple(r) for r in inputs.read_limits(spark, paths["limits"]).collect()) == [("P1", 0, 3), ("Q9", 0, 3), ("X7", 0, 3)]
+    assert sorted(r.acc for r in inputs.read_flat(spark, paths["entries"]).collect()) == ["P1", "Q9"]
+    assert sorted(r.value for r in spark.read.text(paths["asked"]).collect()) == ["accession:(P1 OR P1 OR Q9)", "accession:(X7)"]
+
+
+def test_budgets_by_accession_steer_the_enumeration(spark):
+    g = graph.from_variants(proteins(spark), table(spark))
+    asked = spark.createDataFrame([(0, 0, 10**15, 0), (1, 0, 10**15, 1)], "query_id long, lower long, upper long, bin int")
+    limits = spark.createDataFrame([("P1", 0, 0), ("P1", 1, 255), ("P2", 0, 1), ("P2", 1, 1), ("P3", 0, 0), ("P3", 1, 1)], "acc string, bin int, max_vars int")
+    found = traverse(g, asked, limits=limits).paths.collect()
+    most = {(q, i): max((r.vc for r in found if (r.query_id, r.graph_id) == (q, i)), default=None) for q in (0, 1) for i in (1, 2, 3)}
+    assert most == {(0, 1): 0, (0, 2): None, (0, 3): 0, (1, 1): 2, (1, 2): None, (1, 3): 1}
+    with pytest.raises(Exception, match="no budget for P3"):
+        traverse(g, asked, limits=limits.where("acc <> 'P3'"))
+    assert len(traverse(g, asked, limits=limits.where("acc <> 'P3'"), missing="unlimited").paths.collect()) >= len(found)
