@@ -4,9 +4,11 @@ A window is WINDOW consecutive words. Words covered by a window that starts anyw
 
 1.  Sketch. Every window has an anchor, the least hash of its GRAM-word runs; equal windows have equal anchors at equal
     offsets, so the count of an anchor's places is never below that of any of its windows. Each batch counts its anchors
-    into sparse cells; the cells are merged by block of the sketch, in a stream, into one bitmap of cells counted twice
-    or more. The bitmap has a fixed size (2 x 2**WIDTH bits), so what is broadcast doesn't grow with the data: with more
-    data than it was made for it only rules out fewer windows, and never loses one.
+    into sparse cells of a count-min sketch of two rows, which the blocks of the sketch merge as streams. A block has
+    2**32 cells and there are more blocks the more files are read, so a cell holds far less than one anchor at any size.
+    Cells that were counted twice or more are then laid onto a bitmap of SPARE bits for each of them, which is broadcast:
+    its size goes with what repeats, up to 2 x 2**WIDTH bits (128 MB). Beyond that the bitmap fills up and rules out fewer
+    windows; it never loses one.
 2.  Exact pass. Windows whose anchor may repeat are grouped exactly by a 128-bit hash. Within a batch equal windows are
     found at once and leave it as one row, so a window that a third of all documents share sends one row a batch; the
     rows are then sorted by hash and read as a stream that holds one row, whatever the size of a group.
@@ -19,6 +21,7 @@ a text are two documents, whose windows repeat; a null doc_id is an id like any
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -31,8 +34,10 @@ from pepweave.llm import words as W
 from pepweave.llm.common import cut, keys, text_bytes
 
 WINDOW, GRAM = 35, 8
-#: Cells of each of the two rows of the sketch, as a power of two, and cells of a block that is merged at once.
-WIDTH, BLOCK = 27, 20
+#: Bits of each of the two rows of the bitmap at most, as a power of two, and bits for each cell that repeats.
+WIDTH, SPARE = 29, 8
+#: Input partitions for each block of the sketch; blocks at least; cells that the merging of a block holds before it adds them up.
+PARTS, BLOCKS, HELD = 2, 64, 1 << 22
 #: Text bytes hashed at once.
 SLICE = 8 << 20
 #: Buckets of documents in a shuffle partition; a worker holds the starts of one.
@@ -60,14 +65,24 @@ def _anchors(hashed: np.ndarray, whole: np.ndarray, window: int, gram: int) -> t
     return least, runs[(runs == most) & (most > 0)]
 
 
-def _cells(anchors: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << width) - 1)
-    return anchors & mask, (anchors >> np.uint64(64 - width)) | np.uint64(1 << width)
+def _rows(anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the anchors in the two rows, as fractions of 2**64: independent, and even although anchors are least hashes."""
+    even = W.mix(anchors)
+    return even, (even << np.uint64(32)) | (even >> np.uint64(32))
+
+
+def _added(cells: np.ndarray, counts: np.ndarray, more: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct cells with their counts up to 2, after one more count of each cell in more."""
+    cells, at = np.unique(np.concatenate([cells, *more]), return_inverse=True)
+    counts = np.bincount(at, np.concatenate([counts, np.ones(len(at) - len(counts))]), len(cells))
+    return cells, np.minimum(counts, 2).astype(np.uint8)
 
 
 def sketch(keyed: DataFrame, window: int, gram: int, width: int) -> np.ndarray:
-    """Bits of the cells that were counted twice or more; keyed has a column text."""
-    block = min(BLOCK, width)
+    """The bitmap of cells that were counted twice or more, one row of bits after the other; keyed has a column text."""
+    parts = max(BLOCKS, -(-keyed.rdd.getNumPartitions() // PARTS))
+    power = min((parts - 1).bit_length(), width - 3)  # blocks of a row, as a power of two; each has whole bytes of the bitmap
+    low = np.uint64(0xFFFFFFFF)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,42 +92,64 @@ def sketch(keyed: DataFrame, window: int, gram: int, width: int) -> np.ndarray:
                     continue
                 values, counts = np.unique(_anchors(hashed, whole, window, gram)[1], return_counts=True)
                 values = np.repeat(values, np.minimum(counts, 2))
-                cells = np.sort(np.concatenate(_cells(values, width)))
-                blocks = (cells >> np.uint64(block)).astype(np.int64)
+                cells = np.sort(np.concatenate([(x >> np.uint64(32 - power)) + np.uint64(row << (32 + power)) for row, x in enumerate(_rows(values))]))
+                blocks = (cells >> np.uint64(32)).astype(np.int64)
                 cuts = np.flatnonzero(np.diff(blocks)) + 1
-                cells = (cells & np.uint64((1 << block) - 1)).astype("<u4")
-                yield pa.RecordBatch.from_arrays([pa.array(blocks[np.concatenate([[0], cuts])], pa.int32()), pa.array([c.tobytes() for c in np.split(cells, cuts)], pa.binary())], names=["block", "cells"])
+                cells = (cells & low).astype("<u4")
+                yield pa.RecordBatch.from_arrays([pa.array(blocks[np.concatenate([[0], cuts])], pa.int64()), pa.array([c.tobytes() for c in np.split(cells, cuts)], pa.binary())], names=["block", "cells"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, counts = None, None
+        now, more, size = None, [], 0
+        none = np.zeros(0, "<u4"), np.zeros(0, np.uint8)
+        held = none
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(counts >= 2).tobytes()], pa.binary())], names=["block", "bits"])
+        def out() -> Iterator[pa.RecordBatch]:
+            cells, counts = _added(*held, more)
+            twice = cells[counts > 1]
+            if len(twice):
+                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([len(twice)], pa.int64()), pa.array([twice.tobytes()], pa.binary())], names=["block", "n", "cells"])
 
         for batch in batches:
-            for b, cells in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if b != now:
+            for block, cells in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if block != now:
                     if now is not None:
-                        yield out()
-                    now, counts = b, np.zeros(1 << block, np.uint8)
-                cells, n = np.unique(np.frombuffer(cells.as_buffer(), "<u4"), return_counts=True)
-                counts[cells] = np.minimum(counts[cells] + np.minimum(n, 2), 2)
+                        yield from out()
+                    now, more, size, held = block, [], 0, none
+                more.append(np.frombuffer(cells.as_buffer(), "<u4"))
+                size += len(more[-1])
+                if size > HELD:
+                    held, more, size = _added(*held, more), [], 0
         if now is not None:
-            yield out()
+            yield from out()
+
+    merged = keyed.select("text").mapInArrow(count, "block long, cells binary").repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block long, n long, cells binary")
+    merged = cut(merged, "sketch")
+    repeated = (merged.agg(F.sum("n")).first()[0] or 0) / 2
+    # bits of a row in one block: whole bytes
+    bits = 8 * min(max(1, math.ceil(repeated * SPARE / 8 / (1 << power))), 1 << (width - power - 3))
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, cells in zip(batch.column(0).to_pylist(), batch.column(2)):
+                # the first 32 bits of the place, as in _maybe
+                inner = block & ((1 << power) - 1)
+                place = (np.frombuffer(cells.as_buffer(), "<u4").astype(np.uint64) >> np.uint64(power)) + np.uint64(inner << (32 - power))
+                set_ = np.zeros(bits, np.uint8)
+                set_[(place * np.uint64(bits << power) >> np.uint64(32)) - np.uint64(inner * bits)] = 1
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([np.packbits(set_).tobytes()], pa.binary())], names=["block", "bits"])
 
-    parts = keyed.select("text").mapInArrow(count, "block int, cells binary")
-    parts = parts.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, bits binary")
-    bits = np.zeros((2 << width) // 8, np.uint8)
-    size = (1 << block) // 8
-    for r in parts.toLocalIterator():
-        bits[r.block * size : (r.block + 1) * size] = np.frombuffer(r.bits, np.uint8)
-    return bits
+    whole = np.zeros((2 * bits << power) // 8, np.uint8)
+    for r in merged.mapInArrow(lay, "block long, bits binary").toLocalIterator():
+        whole[r.block * bits // 8 : (r.block + 1) * bits // 8] = np.frombuffer(r.bits, np.uint8)
+    return whole
 
 
-def _maybe(bits: np.ndarray, anchors: np.ndarray, width: int) -> np.ndarray:
+def _maybe(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
     """Mask of the anchors that may have two places."""
     out = np.ones(len(anchors), bool)
-    for cells in _cells(anchors, width):
+    size = 4 * len(bits)  # bits of a row
+    for row, x in enumerate(_rows(anchors)):
+        cells = ((x >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)) + np.uint64(row * size)
         out &= (bits[cells >> np.uint64(3)] >> (np.uint8(7) - (cells & np.uint64(7)).astype(np.uint8))) & 1 == 1
     return out
 
@@ -130,7 +167,7 @@ def repeated_starts(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, wi
                 continue
             least, _ = _anchors(hashed, whole, window, gram)
             turn = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-            maybe = np.repeat(_maybe(bits.value, least[turn], width), np.diff(np.append(turn, len(least)))) & whole
+            maybe = np.repeat(_maybe(bits.value, least[turn]), np.diff(np.append(turn, len(least)))) & whole
             at = np.flatnonzero(maybe)
             if not len(at):
                 continue
