@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import decontaminate, exact_dedup, line_dedup, masked_lm, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
+from pepweave.llm import decontaminate, exact_dedup, line_dedup, masked_lm, packing, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
 from pepweave.llm.common import documents, scratch, table
 
 
@@ -82,6 +82,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_store": op2_token_store,
@@ -93,6 +98,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_masked_lm": op9_masked_lm,
     "op10_simhash": op10_simhash,
+    "op11_packing": op11_packing,
 }
 
 ORACLES = {

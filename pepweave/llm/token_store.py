@@ -147,7 +147,6 @@ class Encoder:
         return out
 
     def _slice(self, raw: np.ndarray, offsets: np.ndarray, end: bool) -> tuple[np.ndarray, np.ndarray]:
-        n_rows = len(offsets) - 1
         begins = cuts(raw)
         begins[offsets[1:-1][offsets[1:-1] > 0] - 1] &= raw[offsets[1:-1][offsets[1:-1] > 0] - 1] != 0x20  # a space that ends its text
         whole = raw.tobytes()
@@ -157,6 +156,11 @@ class Encoder:
         starts = np.flatnonzero(begins)
         first = np.searchsorted(starts, offsets)
         ends = np.append(starts[1:], len(raw)) if len(starts) else starts
+        return self._gather(whole, raw, starts, ends, first, end)
+
+    def _gather(self, whole: bytes, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, end: bool) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the chunks in a row and how many each text has; first: the first chunk of each text, and one more."""
+        n_rows = len(first) - 1
         group, sample = _groups(raw, starts, ends)
         found = self._ids([whole[i:j] for i, j in zip(starts[sample].tolist(), ends[sample].tolist())])
         lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
