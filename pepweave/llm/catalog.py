@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import decontaminate, exact_dedup, line_dedup, masked_lm, packing, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
+from pepweave.llm import conversations, decontaminate, exact_dedup, line_dedup, masked_lm, packing, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
 from pepweave.llm.common import documents, scratch, table
 
 
@@ -87,6 +87,11 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repair of damaged conversations."""
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_store": op2_token_store,
@@ -99,6 +104,7 @@ QUERIES = {
     "op9_masked_lm": op9_masked_lm,
     "op10_simhash": op10_simhash,
     "op11_packing": op11_packing,
+    "op12_conversations": op12_conversations,
 }
 
 ORACLES = {
