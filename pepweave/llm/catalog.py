@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pepweave.llm import conversations, decontaminate, exact_dedup, line_dedup, masked_lm, packing, secret_scan, sentencepieces, simhash, substring_dedup, token_store, toxicity
+from pepweave.llm import conversations, decontaminate, exact_dedup, line_dedup, masked_lm, packing, secret_scan, sentencepieces, simhash, spelling, substring_dedup, token_store, toxicity
 from pepweave.llm.common import documents, scratch, table
 
 
@@ -92,6 +92,11 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_store": op2_token_store,
@@ -105,6 +110,7 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_packing": op11_packing,
     "op12_conversations": op12_conversations,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES = {
