@@ -81,6 +81,33 @@ def test_long_chains_take_time_in_proportion(line):
         assert [text[s["start"] : s["end"]] for s in found] == ["q7Rt9xWzLm2PvB4n"]
 
 
+def test_literals_and_sums_of_any_size():
+    long = "Zq7" * 2000 + "aB3$x" * 400
+    assert named(f'db_pwd = "{long}"') == [long]
+    assert named(f'K = "{long}"\nL = K\ndb_pwd = L + "x"') == [long, "x"]
+    parts = [f"q{k}Rz" for k in range(70)]
+    assert named("db_pwd = " + " + ".join(f'"{p}"' for p in parts)) == parts
+    assert named("db_pwd = " + " + ".join(f"k{k}" for k in range(70)) + "\n") == []
+    assert named("\n".join(f'k{k} = "{p}"' for k, p in enumerate(parts)) + "\ndb_pwd = " + " + ".join(f"k{k}" for k in range(70))) == parts
+    assert named(f'db_pwd: dict[{"a, " * 200}b] = "{parts[0] + long[-20:]}"') == [parts[0] + long[-20:]]
+    name = "aB3cD5eF7gH9" * 10
+    assert named(f'db_pwd = "${name}{name}"') == [] and named(f'db_pwd = "${name}-{name}"') == [f"${name}-{name}"]
+
+
+def test_a_sum_is_read_when_it_is_first_met():
+    value = "q7Rt" + "9xWz" + "Lm2P" + "vB4n"
+    assert named(f'K = "{value}"\ndb_pwd = K + ""\nK = "changeme"') == [value]
+    assert named(f'if connect(pwd=K):\n  K = "{value}"') == [value]
+    assert named(f'a = "{value}" + a\nb = a + a\nc = b + b + a\ndb_pwd = c + c') == [value]
+
+
+@pytest.mark.parametrize("line", ["p=p+ ", "a=", 'pwd="b=" + ', "pwd = k + "])
+def test_a_hundred_kilobytes_take_no_second(line):
+    began = time.process_time()
+    secret_scan.find('k = "q7Rt9xWzLm2PvB4n"\n' + line * (100_000 // len(line)))
+    assert time.process_time() - began < 2
+
+
 def test_repeated_rows(spark):
     rows = [(1, ROWS[2][1]), (1, ROWS[2][1]), (None, ROWS[2][1])]
     got = secret_scan.scan(docs(spark, rows)).collect()
