@@ -12,7 +12,8 @@ bounded table. With literals=True, as the library does by default, an added toke
 that token: it is a chunk of its own, and the text ends before it and begins after it. Without, it is plain text.
 
 Defined results: a null text is empty and holds the end id alone; null doc_ids come first; rows that repeat a doc_id are
-ordered by their text, and rows that repeat both are stored each; texts of any length are encoded whole; an empty table
+ordered by their text (by its first 64 characters, where
+they are so many that parts divide them), and rows that repeat both are stored each; texts of any length are encoded whole; an empty table
 gives an empty store; further columns, whatever their names, are left out.
 """
 
@@ -254,7 +255,9 @@ def encoder(path: str | None, literals: bool) -> Encoder:
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, compression: str = "snappy", literals: bool = False) -> None:
     """Encode docs and write the store. literals: added tokens in texts are tokens, as the library has it. Ids are bit-packed already; zstd makes files smaller for more CPU time."""
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # an id may be that of many rows: these are dealt by how their texts begin and, if that is equal, by where they were read
+    dealt = dealt.withColumns({"begin": F.substring("text", 1, 64), "read": F.monotonically_increasing_id()})
+    dealt = dealt.repartitionByRange("doc_id", "begin", "read").sortWithinPartitions("doc_id", "begin", "text", "read").select("doc_id", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here makes cycles, and millions of strings are slow to visit
