@@ -44,6 +44,13 @@ TOKENS = "part int, row long, doc_id long, n long, whole long, rest int, whole_a
 PIECES = "part int, row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
 _COLUMNS = pa.schema([(n, pa.int32() if n == "part" else pa.int64()) for n in _NAMES])
+#: Kinds of bytes (other, letter, digit, sign, apostrophe), and pairs of kinds that are cut apart.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 3
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_KIND[[*range(0x30, 0x3A)]] = 2
+_KIND[0x27] = 4
+_CUT = np.array([[0, 0, 0, 0, 0], [0, 0, 1, 1, 1], [0, 1, 1, 1, 1], [0, 1, 1, 0, 0], [0, 0, 1, 0, 0]], bool)
 #: Ranks stay below this.
 _RANKS = 1 << 44
 
@@ -78,8 +85,32 @@ class WordEncoder(Encoder):
         return list(map(out.__getitem__, chunks))
 
     def _slice(self, raw: np.ndarray, offsets: np.ndarray, end: bool) -> tuple[np.ndarray, np.ndarray]:
-        starts, ends, first = W.bounds(raw, offsets, W.NOT_BLANK)
-        return self._gather(raw.tobytes(), raw, starts, ends, first, end)
+        whole, inside = raw.tobytes(), W.NOT_BLANK[raw]
+        begins = cuts(raw)
+        begins[1:] |= ~inside[:-1]
+        begins[offsets[:-1][offsets[:-1] < len(raw)]] = True
+        if self.literals is not None:
+            for s, e in self.literal_spans(whole, offsets):
+                begins[s + 1 : e] = False
+                begins[s] = True
+                begins[e : e + 1] = True
+        begins &= inside
+        starts = np.flatnonzero(begins)
+        ends = np.flatnonzero(inside & np.append((begins | ~inside)[1:], True)) + 1 if len(raw) else starts
+        lower = W.LOWER[raw]  # the library lower-cases, too; a literal has no capitals
+        return self._gather(lower.tobytes(), lower, starts, ends, np.searchsorted(starts, offsets), end)
+
+
+def cuts(raw: np.ndarray) -> np.ndarray:
+    """Mask of bytes at which the pre-tokenizer surely begins a piece within a word: around digits, and between letters and signs.
+
+    All in ASCII; a letter after an apostrophe may belong to it.
+    """
+    kind = _KIND[raw]
+    out = np.zeros(len(raw), bool)
+    if len(raw):
+        out[1:] = _CUT[kind[:-1], kind[1:]]
+    return out
 
 
 @lru_cache(maxsize=1)
