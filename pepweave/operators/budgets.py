@@ -37,7 +37,13 @@ def constant_limits(accessions: DataFrame, n_bins: int, max_vars: int) -> DataFr
 
 
 def with_budget(rows: DataFrame, limits: DataFrame, missing: str = "raise") -> DataFrame:
-    """rows (acc, bin, ...) with max_vars of their accession and bin. missing: raise, unlimited or zero."""
-    known = limits.select("acc", "bin", F.col("max_vars").alias("stored"), F.lit(True).alias("known"))
+    """rows (acc, bin, ...) with max_vars of their accession and bin. missing: raise, unlimited or zero.
+
+    An accession may be listed repeatedly with one budget; different ones are an error.
+    """
+    stored = F.coalesce("max_vars", F.lit(UNLIMITED))
+    known = limits.groupBy("acc", "bin").agg(F.min(stored).alias("stored"), F.max(stored).alias("other"), F.lit(True).alias("known"))
+    torn = F.raise_error(F.concat(F.lit("different budgets for "), F.col("acc"))).cast("int")
     fault = {"raise": F.raise_error(F.concat(F.lit("no budget for "), F.col("acc"))).cast("int"), "unlimited": F.lit(None).cast("int"), "zero": F.lit(0)}[missing]
-    return rows.join(known, ["acc", "bin"], "left").withColumn("max_vars", F.when(F.col("known"), budget(F.col("stored"))).otherwise(fault)).drop("stored", "known")
+    found = F.when(F.col("stored") != F.col("other"), torn).when(F.col("known"), budget(F.col("stored"))).otherwise(fault)
+    return rows.join(known, ["acc", "bin"], "left").withColumn("max_vars", found).drop("stored", "other", "known")

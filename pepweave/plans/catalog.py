@@ -1,4 +1,4 @@
-"""Registered queries and their SQL twins. Every query but toy_graph_paths reads tables, and all of what it reads."""
+"""Registered queries and their SQL twins. Every query reads tables, whole."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from pepweave.functions import fasta, peptides
 from pepweave.operators import batches, budgets, compare, graph, intervals, render
-from pepweave.operators.ranges import overlap_join
+from pepweave.operators.ranges import interval_join
 from pepweave.operators.shared import cut, shared_dir
 from pepweave.operators.traverse import traverse
 from pepweave.plans import runs, standins
@@ -195,15 +195,32 @@ def set_diff_equal_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH q AS (SELECT p_brand, p_size - 3.0 AS lo, p_size + p_partkey % 7 AS hi FROM part)
-SELECT p_brand, event_type, count(*) AS n FROM events JOIN q ON value <= hi AND value + 5.0 >= lo WHERE p_brand IN ('Brand#1', 'Brand#2') GROUP BY ALL
+SELECT p_brand, event_type, count(*) AS n FROM events JOIN q ON value <= hi AND value + 5.0 >= lo GROUP BY ALL
 """)
 def range_query_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as closed intervals [value, value + 5] that meet intervals of a table, by an interval join."""
-    asked = table(spark, sf_dir, "part").where(F.col("p_brand").isin("Brand#1", "Brand#2")).select("p_brand", (F.col("p_size") - 3.0).alias("lo"), (F.col("p_size") + F.col("p_partkey") % 7).cast("double").alias("hi"))
+    asked = table(spark, sf_dir, "part").select("p_brand", (F.col("p_size") - 3.0).alias("lo"), (F.col("p_size") + F.col("p_partkey") % 7).cast("double").alias("hi"))
     rows = table(spark, sf_dir, "events").select("event_type", F.col("value").alias("from"), (F.col("value") + 5.0).alias("to"))
     # equal events and equal ranges meet once, with their numbers
     rows, asked = rows.groupBy("event_type", "from", "to").agg(F.count("*").alias("k")), asked.groupBy("p_brand", "lo", "hi").agg(F.count("*").alias("m"))
-    return overlap_join(rows, asked, ("from", "to", "lo", "hi"), 5.0).groupBy("p_brand", "event_type").agg(F.sum(F.col("k") * F.col("m")).alias("n"))
+    return interval_join(rows, asked, ("from", "to", "lo", "hi")).groupBy("p_brand", "event_type").agg(F.sum(F.col("k") * F.col("m")).alias("n"))
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, (o_orderkey * 7919) % 10000000 AS a, (o_orderkey * 7919) % 10000000 + CAST(power(10, o_orderkey % 7) AS BIGINT) AS b FROM orders),
+c AS (SELECT c_custkey, (c_custkey * 104729) % 10000000 AS lo, (c_custkey * 104729) % 10000000 + CAST(power(10, c_custkey % 7) AS BIGINT) AS hi FROM customer)
+SELECT o_orderkey % 7 AS order_digits, c_custkey % 7 AS customer_digits, count(*) AS n, CAST(sum(least(b, hi) - greatest(a, lo)) AS BIGINT) AS shared FROM o JOIN c ON a <= hi AND lo <= b GROUP BY ALL
+""")
+def interval_join_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals of lengths from 1 to a million on both sides: how many pairs meet, and how much they share, by lengths."""
+
+    def spans(name: str, key: str, factor: int, lo: str, hi: str) -> DataFrame:
+        begin = F.col(key) * factor % 10_000_000
+        return table(spark, sf_dir, name).select((F.col(key) % 7).alias(f"{lo}_digits"), begin.alias(lo), (begin + F.pow(F.lit(10.0), F.col(key) % 7).cast("long")).alias(hi))
+
+    met = interval_join(spans("orders", "o_orderkey", 7919, "a", "b"), spans("customer", "c_custkey", 104729, "lo", "hi"), ("a", "b", "lo", "hi"))
+    shared = F.least("b", "hi") - F.greatest("a", "lo")
+    return met.groupBy(F.col("a_digits").alias("order_digits"), F.col("lo_digits").alias("customer_digits")).agg(F.count("*").alias("n"), F.sum(shared).alias("shared"))
 
 
 @query(f"""
@@ -253,13 +270,18 @@ def _written(lines: DataFrame, what: str) -> str:
 
 
 @query("""
-SELECT CAST(o_custkey AS BIGINT) * 1000000000 AS lower, (CAST(o_custkey AS BIGINT) + o_orderkey % 50) * 1000000000 AS upper FROM orders WHERE o_orderkey % 7 NOT IN (1, 2, 3)
+SELECT CAST(o_custkey AS BIGINT) * 1000000000 AS lower, (CAST(o_custkey AS BIGINT) + o_orderkey % 50) * 1000000000 AS upper FROM orders WHERE o_orderkey % 9 NOT IN (1, 2, 3, 8)
 """)
 def parse_query_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole-number queries read from files whose lines are good, short, fractional, headings or blank."""
+    """Whole-number queries read from files whose lines are good, padded, quoted, short, fractional, headings or blank."""
     low, high = F.col("o_custkey").cast("string"), (F.col("o_custkey") + F.col("o_orderkey") % 50).cast("string")
-    kind = F.col("o_orderkey") % 7
-    line = F.when(kind == 1, F.concat(low, F.lit(".5,"), high)).when(kind == 2, F.lit("lower,upper")).when(kind == 3, low).when(kind == 4, F.concat(F.lit("  +"), low, F.lit(" , "), high, F.lit(" ,x"))).otherwise(F.concat_ws(",", low, high))
+    forms = {
+        1: F.concat(low, F.lit(".5,"), high), 2: F.lit("lower,upper"), 3: low, 4: F.concat(F.lit("  +"), low, F.lit(" , "), high, F.lit(" ,x")), 5: F.concat(F.lit('"'), low, F.lit('","'), high, F.lit('"')),
+        6: F.concat(F.lit("\t"), low, F.lit(",\t"), high, F.lit("\t")), 7: F.concat(low, F.lit(',"'), high, F.lit('\t","a, b"')), 8: F.concat(F.lit('"'), low, F.lit(","), high, F.lit('"')),
+    }
+    line = F.concat_ws(",", low, high)
+    for kind, form in forms.items():
+        line = F.when(F.col("o_orderkey") % 9 == kind, form).otherwise(line)
     path = _written(table(spark, sf_dir, "orders").select(line.alias("value")), "queries")
     return inputs.read_queries(spark, path).select("lower", "upper")
 
@@ -276,24 +298,35 @@ def parse_decimal_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT s_name AS acc, 'plain' AS kind FROM supplier WHERE s_nationkey % 5 <> 0 UNION ALL SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'a,' || s_name ELSE s_name END, 'headed' FROM supplier WHERE s_nationkey % 4 <> 0
+UNION ALL SELECT CASE s_suppkey % 4 WHEN 2 THEN 'x "' || s_name || '", y' ELSE s_name END, 'ragged' FROM supplier WHERE s_suppkey % 4 <> 0
 """)
 def accession_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accessions read from files: trimmed, blanks gone, repeats kept; by column from files with a header, nulls and quoted commas."""
+    """Accessions read from files: stripped, blanks gone, repeats kept; by column from files with a header, nulls and quoted commas, and from ragged ones."""
     suppliers = table(spark, sf_dir, "supplier")
-    plain = _written(suppliers.select(F.when(F.col("s_nationkey") % 5 == 0, "").otherwise(F.concat(F.lit(" "), F.col("s_name"), F.lit(" ,x"))).alias("value")), "accessions")
+    plain = _written(suppliers.select(F.when(F.col("s_nationkey") % 5 == 0, "\t").otherwise(F.concat(F.lit(" \t"), F.col("s_name"), F.lit("\t ,x"))).alias("value")), "accessions")
     headed = f"{shared_dir(spark)}/pepweave/headed-{uuid.uuid4().hex}"
     name = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("a,"), F.col("s_name"))).otherwise(F.col("s_name"))
     suppliers.select(F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).alias("first"), F.when(F.col("s_nationkey") % 4 != 0, name).alias("acc")).write.csv(headed, header=True)
-    return inputs.read_accessions(spark, plain).withColumn("kind", F.lit("plain")).unionByName(inputs.read_accessions(spark, headed, 1, header=True).withColumn("kind", F.lit("headed")))
+    kind, name = F.col("s_suppkey") % 4, F.col("s_name")
+    line = F.when(kind == 0, name).when(kind == 1, F.concat(F.lit("k,\t"), name)).when(kind == 2, F.concat(F.lit('"k","x ""'), name, F.lit('"", y"'))).otherwise(F.concat(F.lit("k,"), name, F.lit(",more,fields")))
+    ragged = _written(suppliers.orderBy("s_suppkey").select(line.alias("value")), "ragged")
+    found = {"plain": inputs.read_accessions(spark, plain), "headed": inputs.read_accessions(spark, headed, 1, header=True), "ragged": inputs.read_accessions(spark, ragged, 1)}
+    one, two, three = (df.withColumn("kind", F.lit(k)) for k, df in found.items())
+    return one.unionByName(two).unionByName(three)
 
 
-@query("SELECT s_name AS acc, CAST(b AS INTEGER) AS bin, CAST((s_suppkey + 100 * b) % 256 AS INTEGER) AS max_vars FROM supplier, (SELECT unnest(range(0, 3)) AS b)")
+@query("""
+SELECT s_name AS acc, CAST(b AS INTEGER) AS bin, CAST(nullif((s_suppkey + 100 * b) % 256, 255) AS INTEGER) AS max_vars FROM supplier, (SELECT unnest(range(0, 3)) AS b) WHERE s_suppkey % 2 = 0 OR b < 2
+""")
 def limits_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Budgets written as a ragged table and read back from its files."""
-    rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("acc"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("bin"), "s_suppkey")
+    """Budgets written as ragged tables of three and of two bins, one of which lists its accessions twice, read back together and looked up."""
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("acc"), F.explode(F.sequence(F.lit(0), F.when(F.col("s_suppkey") % 2 == 0, 2).otherwise(1))).alias("bin"), "s_suppkey")
+    rows = rows.withColumn("max_vars", (F.col("s_suppkey") + 100 * F.col("bin")) % 256)
     path = f"{shared_dir(spark)}/pepweave/limits-{uuid.uuid4().hex}"
-    inputs.write_limits(rows.select("acc", "bin", ((F.col("s_suppkey") + 100 * F.col("bin")) % 256).alias("max_vars")), path)
-    return inputs.read_limits(spark, path)
+    for n, part in (("three", rows.where("s_suppkey % 2 = 0")), ("two", rows.where("s_suppkey % 2 = 1"))):
+        inputs.write_limits(part.select("acc", "bin", "max_vars").coalesce(1), f"{path}/{n}")
+    found = inputs.read_limits(spark, f"{path}/*")
+    return budgets.with_budget(rows.select("acc", "bin"), found.unionAll(found.where("max_vars % 2 = 0")))
 
 
 @query("SELECT n_name || '.csv' AS input_file, 'q.csv' AS query_file, n_nationkey AS max_vars, n_regionkey AS max_cleavages, 'run' || n_nationkey AS run_prefix FROM nation")
@@ -322,12 +355,19 @@ def toy(spark: SparkSession) -> graph.Graphs:
     return graph.Graphs(spark.createDataFrame([(1, ["P1"], 4, 5, 2)], graph.GRAPHS), spark.createDataFrame(nodes, graph.NODES), spark.createDataFrame(edges, graph.EDGES))
 
 
-@query("SELECT CAST(q AS BIGINT) AS query_id, seq, CAST(w AS BIGINT) AS w, CAST(vc AS INTEGER) AS vc, CAST(mc AS INTEGER) AS mssclvg, header FROM (VALUES (0, 'AK', 10, 0, 0, '>pg|TODO|P1(1:2,mssclvg:0,)'), (0, 'AKCR', 30, 0, 1, '>pg|TODO|P1(1:4,mssclvg:1,)'), (0, 'CR', 20, 1, 0, '>pg|TODO|P1(3:4,mssclvg:0,v)'), (1, 'AK', 10, 0, 0, '>pg|TODO|P1(1:2,mssclvg:0,)'), (1, 'AKCR', 30, 0, 1, '>pg|TODO|P1(1:4,mssclvg:1,)'), (2, 'AKCR', 30, 0, 1, '>pg|TODO|P1(1:4,mssclvg:1,)')) v(q, seq, w, vc, mc, header)")
+@query("""
+SELECT s_suppkey AS graph_id, CAST(q AS BIGINT) AS query_id, seq, CAST(w AS BIGINT) AS w, CAST(vc AS INTEGER) AS vc, CAST(mc AS INTEGER) AS mssclvg, '>pg|TODO|' || s_name || tail AS header
+FROM supplier, (VALUES (0, 'AK', 10, 0, 0, '(1:2,mssclvg:0,)'), (0, 'AKCR', 30, 0, 1, '(1:4,mssclvg:1,)'), (0, 'CR', 20, 1, 0, '(3:4,mssclvg:0,v)'), (1, 'AK', 10, 0, 0, '(1:2,mssclvg:0,)'),
+  (1, 'AKCR', 30, 0, 1, '(1:4,mssclvg:1,)'), (2, 'AKCR', 30, 0, 1, '(1:4,mssclvg:1,)')) v(q, seq, w, vc, mc, tail)
+""")
 def toy_graph_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A toy graph with intervals under three queries and budgets."""
-    g = toy(spark)
+    """A toy graph with intervals for each supplier, under three queries and budgets."""
+    own = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("graph_id"), "s_name")
+    one = toy(spark)
+    each = [own.join(F.broadcast(df.drop("graph_id"))).select("s_name", "graph_id", *df.drop("graph_id").columns) for df in (one.graphs, one.nodes, one.edges)]
+    g = graph.Graphs(each[0].withColumn("accessions", F.array("s_name")).drop("s_name"), each[1].drop("s_name"), each[2].drop("s_name"))
     asked = spark.createDataFrame([(0, 10, 30, 1), (1, 10, 30, 0), (2, 30, 30, None)], "query_id long, lower long, upper long, max_vars int")
-    return render.headers(render.peptides(traverse(g, asked).paths, g.graphs)).select("query_id", "seq", "w", "vc", "mssclvg", "header")
+    return render.headers(render.peptides(traverse(g, asked).paths, g.graphs)).select("graph_id", "query_id", "seq", "w", "vc", "mssclvg", "header")
 
 
 _ORDERS = """

@@ -1,4 +1,7 @@
-"""Small text inputs: run sheet, accessions, mass queries, limits, flat protein text. Each reads text lines and parses them as columns."""
+"""Small text inputs: run sheet, accessions, mass queries, limits. Each reads text lines and parses them as columns.
+
+Fields are those of a CSV reader: they may be quoted, rows may be ragged, and white space of any kind around a field goes.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pepweave.functions.numbers import fixed, whole
+from pepweave.functions.numbers import fixed, strip, whole
 from pepweave.functions.peptides import SCALE
 
 RUN_SHEET = T.StructType(
@@ -34,18 +37,25 @@ def run_sheet(raw: DataFrame) -> DataFrame:
     return raw.select(*[number(f.name) if isinstance(f.dataType, T.IntegerType) else F.trim(F.col(f.name)).alias(f.name) for f in RUN_SHEET])
 
 
+def _wide(n: int) -> str:
+    return ", ".join(f"c{k} string" for k in range(n))
+
+
+def fields(line: Column, n: int) -> list[Column]:
+    """The first n fields of a CSV line, stripped; null beyond its last one."""
+    row = F.from_csv(line, _wide(n), {"escape": '"'})
+    return [strip(row[f"c{k}"]) for k in range(n)]
+
+
 def accessions(lines: DataFrame, column: int = 0) -> DataFrame:
-    """acc of text lines (value): one comma-separated field, trimmed; blanks go, repeats and order stay."""
-    acc = F.trim(F.try_element_at(F.split("value", ","), F.lit(column + 1)))
-    return lines.select(acc.alias("acc")).where("acc <> ''")
+    """acc of CSV lines (value): one field, stripped; blanks go, repeats and order stay, rows without the field are left out."""
+    return lines.select(fields(F.col("value"), column + 1)[column].alias("acc")).where("acc <> ''")
 
 
 def read_accessions(spark: SparkSession, path: str, column: int = 0, header: bool = False) -> DataFrame:
-    """Accessions of a CSV file, by the place of their column; rows without it are left out."""
-    raw = spark.read.csv(path, header=header, inferSchema=False, mode="PERMISSIVE")
-    if column >= len(raw.columns):
-        return raw.select(F.lit(None).cast("string").alias("acc")).where("acc is not null")
-    return raw.select(F.trim(F.col(f"`{raw.columns[column]}`")).alias("acc")).where("acc <> ''")
+    """Accessions of CSV files, by the place of their column; header: each file's first row is none of them."""
+    raw = spark.read.csv(path, schema=_wide(column + 1), header=header, escape='"', mode="PERMISSIVE", enforceSchema=True)
+    return raw.select(strip(F.col(f"c{column}")).alias("acc")).where("acc <> ''")
 
 
 def queries(lines: DataFrame, mode: str = "int_skip_invalid") -> DataFrame:
@@ -54,8 +64,7 @@ def queries(lines: DataFrame, mode: str = "int_skip_invalid") -> DataFrame:
     int_skip_invalid reads whole numbers and drops other lines; decimal_strict reads decimals, truncates beyond the ninth
     place, and stops at any line that is no query.
     """
-    parts = F.split("value", ",")
-    ends = [F.try_element_at(parts, F.lit(k)) for k in (1, 2)]
+    ends = fields(F.col("value"), 2)
     if mode == "int_skip_invalid":
         lower, upper = (whole(e) * F.lit(SCALE) for e in ends)
         return lines.select("value", lower.alias("lower"), upper.alias("upper")).where("lower is not null and upper is not null").drop("value")
@@ -79,23 +88,24 @@ def write_queries(found: DataFrame, path: str) -> None:
 
 
 def limits(lines: DataFrame) -> DataFrame:
-    """acc, bin, max_vars of a ragged table: "#bins,n", "bins,...", then an accession and n budgets a line.
+    """acc, bin, max_vars of ragged tables: "#bins,n", "bins,...", then an accession and n budgets a line.
 
-    A row with another number of budgets is an error, but for one surplus repeat of the last, which some writers add.
+    Lines of several tables are told apart by a column file; each has its own head. A row with another number of budgets,
+    or of a table without a head, is an error, but for one surplus repeat of the last, which some writers add.
     """
-    parts = lines.select(F.split("value", ",").alias("p")).where("trim(p[0]) not in ('', '#bins', 'bins')")
-    n = lines.where("value like '#bins,%'").select(whole(F.element_at(F.split("value", ","), 2)).cast("int").alias("n"))
-    rows = parts.join(F.broadcast(n.limit(1)))
+    rows = lines.select(F.col("file") if "file" in lines.columns else F.lit("").alias("file"), F.transform(F.split("value", ","), strip).alias("p"))
+    heads = rows.where("p[0] = '#bins'").groupBy("file").agg(F.max(whole(F.try_element_at("p", F.lit(2)))).cast("int").alias("n"))
+    rows = rows.where("p[0] not in ('', '#bins', 'bins')").join(heads, "file", "left")
     count = F.size("p") - 1
-    surplus = (count == F.col("n") + 1) & (F.element_at("p", -1) == F.element_at("p", -2))
+    surplus = (count == F.col("n") + 1) & (F.element_at("p", -1) == F.try_element_at("p", F.lit(-2)))
     fault = F.raise_error(F.concat(F.lit("limits: wrong number of budgets for "), F.col("p")[0])).cast("int")
     size = F.when((count == F.col("n")) | surplus, F.col("n")).otherwise(fault)
-    return rows.select(F.trim(F.col("p")[0]).alias("acc"), F.posexplode(F.slice("p", F.lit(2), size)).alias("bin", "v")).select("acc", "bin", whole(F.col("v")).cast("int").alias("max_vars"))
+    return rows.select(F.col("p")[0].alias("acc"), F.posexplode(F.slice("p", F.lit(2), size)).alias("bin", "v")).select("acc", "bin", whole(F.col("v")).cast("int").alias("max_vars"))
 
 
 def read_limits(spark: SparkSession, path: str) -> DataFrame:
-    """Budgets of a file."""
-    return limits(spark.read.text(path))
+    """Budgets of files, each with its own number of bins."""
+    return limits(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")))
 
 
 def limits_lines(table: DataFrame) -> DataFrame:

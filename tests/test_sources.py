@@ -53,6 +53,31 @@ def test_limits(spark, tmp_path):
     assert budgets.constant_limits(accs, 2, 5).count() == 2
 
 
+def test_ragged_padded_and_quoted_rows(spark, tmp_path):
+    path = put(tmp_path / "r.csv", 'P1\nP2,x\nP4,a,b\n\tP3\t,\u00a0y \n"Q ""1""","z, w"\n')
+    read = lambda k: [r.acc for r in inputs.read_accessions(spark, path, k).collect()]
+    assert read(0) == ["P1", "P2", "P4", "P3", 'Q "1"'] and read(1) == ["x", "a", "y", "z, w"] and read(2) == ["b"] and read(3) == []
+    lines = spark.read.text(path)
+    assert [r.acc for r in inputs.accessions(lines, 1).collect()] == ["x", "a", "y", "z, w"]
+    path = put(tmp_path / "q.csv", '4000,\t5000\n"4001","5000"\n4002,5000\n"4003,5000"\n')
+    assert [r.lower // 10**9 for r in inputs.read_queries(spark, path).orderBy("query_id").collect()] == [4000, 4001, 4002]
+
+
+def test_limits_of_several_files(spark, tmp_path):
+    (tmp_path / "l").mkdir()
+    put(tmp_path / "l" / "a.csv", "#bins,1\nbins,3\nP1,3\nP1,3\n")
+    put(tmp_path / "l" / "b.csv", "#bins,3\nbins,3,3,3\n\tP2 ,1,2,255\n")
+    got = inputs.read_limits(spark, str(tmp_path / "l"))
+    assert sorted(tuple(r) for r in got.collect()) == [("P1", 0, 3), ("P1", 0, 3), ("P2", 0, 1), ("P2", 1, 2), ("P2", 2, 255)]
+    rows = spark.createDataFrame([("P1", 0), ("P2", 2)], "acc string, bin int")
+    assert sorted(tuple(r) for r in budgets.with_budget(rows, got).collect()) == [("P1", 0, 3), ("P2", 2, None)]
+    torn = got.unionAll(spark.createDataFrame([("P1", 0, 4)], "acc string, bin int, max_vars int"))
+    with pytest.raises(Exception, match="different budgets for P1"):
+        budgets.with_budget(rows, torn).collect()
+    with pytest.raises(Exception, match="P7"):
+        inputs.read_limits(spark, put(tmp_path / "c.csv", "P7,1\n")).collect()
+
+
 def test_flat_text(spark, tmp_path):
     path = put(tmp_path / "f.txt", "ID   X\nAC   P12345; Q1;\nSQ\n//\nID   Y\nAC   Q9\n//\n")
     assert [r.acc for r in inputs.read_flat(spark, path).collect()] == ["P12345", "Q9"]
