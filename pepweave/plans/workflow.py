@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pepweave.functions.peptides import SCALE
@@ -15,6 +15,12 @@ from pepweave.sources import inputs
 from pepweave.sources.fasta import write_run
 
 
+def observed(found: DataFrame, name: str = "answered") -> tuple[DataFrame, Observation]:
+    """Peptides that are counted while they are written: rows, graphs and weights that a job has gone through, without a job of their own."""
+    seen = Observation(name)
+    return found.observe(seen, F.count("*").alias("paths"), F.min("w").alias("least"), F.max("w").alias("most"), F.max("mssclvg").alias("missed")), seen
+
+
 def progress_lines(queries: DataFrame) -> DataFrame:
     """value: a line for each query that was answered, in dalton."""
     whole = lambda c: (F.col(c) / SCALE).cast("long").cast("string")
