@@ -113,7 +113,7 @@ def order_graphs(spark: SparkSession, sf_dir: str) -> graph.Graphs:
     return graph.Graphs(graphs, nodes, edges)
 
 
-def ranges(spark: SparkSession, *bounds: tuple[int, int], max_vars: int | None = None) -> DataFrame:
-    """query_id, lower, upper, max_vars of bounds in whole dalton."""
-    rows = [(k, a * peptides.SCALE, b * peptides.SCALE, max_vars) for k, (a, b) in enumerate(bounds)]
-    return spark.createDataFrame(rows, "query_id long, lower long, upper long, max_vars int")
+def ranges(spark: SparkSession, *bounds: tuple[int, int], max_vars: int | None = None, scale: int = peptides.SCALE) -> DataFrame:
+    """query_id, lower, upper, max_vars of bounds in whole dalton (or of another scale)."""
+    row = lambda k, a, b: F.struct(F.lit(k).cast("long").alias("query_id"), F.lit(a * scale).cast("long").alias("lower"), F.lit(b * scale).cast("long").alias("upper"), F.lit(max_vars).cast("int").alias("max_vars"))
+    return spark.range(1).select(F.inline(F.array(*[row(k, a, b) for k, (a, b) in enumerate(bounds)])))
