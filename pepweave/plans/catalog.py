@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pepweave.functions import fasta, peptides
-from pepweave.operators import batches, budgets, compare, graph, intervals, render
+from pepweave.operators import batches, budgets, builder, compare, graph, intervals, render
 from pepweave.operators.ranges import interval_join
 from pepweave.operators.shared import cut, shared_dir
-from pepweave.operators.traverse import traverse
-from pepweave.plans import runs, standins
+from pepweave.operators.traverse import count_paths, traverse
+from pepweave.plans import runs, standins, workflow
 from pepweave.plans.standins import LOWER, UPPER, table
+from pepweave.sources import entries, graph_files, inputs
 from pepweave.sources import fasta as fasta_files
-from pepweave.sources import inputs
+from pepweave.streaming import feed
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -449,3 +450,157 @@ def compare_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, variants = cut(rows, "proteins"), cut(variants, "variants")
     branches = {"canonical": partial(graph.from_proteins, rows, variants=False), **{s: partial(graph.from_variants, rows, variants, s) for s in ("five", "seven")}}
     return runs.compare_sources(branches, standins.ranges(spark, (LOWER, UPPER)).drop("max_vars"), runs.Run(3, 2, "sources"), [("canonical", "five"), ("five", "seven")])
+
+
+#: Variants that make and remove cut sites (see standins.site_variants), and what their graphs' edges are.
+_SITES = f"""
+re AS (SELECT doc_id, CAST(pos AS INTEGER) AS pos, substr(protein, pos, 1) AS aa, length(protein) AS n FROM (SELECT doc_id, protein, unnest(range(1, length(protein) + 1)) AS pos FROM p)),
+sv AS (
+  SELECT doc_id, pos, aa, CASE aa WHEN 'K' THEN 'T' ELSE 'K' END AS repl, 'ebi' AS source, n FROM re WHERE pos % 11 = 4
+  UNION ALL SELECT doc_id, pos, aa, CASE aa WHEN 'P' THEN 'A' ELSE 'P' END, 'uniprot', n FROM re WHERE pos % 11 = 5 UNION ALL SELECT doc_id, pos, aa, '', 'uniprot', n FROM re WHERE pos % 23 = 9
+)"""
+_SITE_PATHS = f"""
+nf AS (SELECT doc_id, pos, 0 AS v, aa, n FROM re UNION ALL SELECT doc_id, pos, 1, repl, n FROM sv WHERE repl <> ''),
+nx AS (FROM nf UNION ALL SELECT doc_id, 0, 0, '', length(protein) FROM p UNION ALL SELECT doc_id, length(protein) + 1, 0, '', length(protein) FROM p),
+dl AS (SELECT doc_id, pos FROM sv WHERE repl = ''),
+me AS (
+  SELECT a.doc_id, a.pos AS p1, a.v AS v1, a.aa AS la, b.pos AS p2, b.v AS v2, b.aa AS ra, b.v AS vc FROM nx a JOIN nx b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1
+  UNION ALL SELECT a.doc_id, a.pos, a.v, a.aa, b.pos, b.v, b.aa, b.v + 1 FROM nx a JOIN dl ON dl.doc_id = a.doc_id AND dl.pos = a.pos + 1 JOIN nx b ON b.doc_id = a.doc_id AND b.pos = a.pos + 2
+), mt AS (SELECT *, la IN ('K', 'R') AND ra NOT IN ('P', '') AS site FROM me),
+wt AS (SELECT aa, CAST({peptides.mass_sql("aa")} AS BIGINT) AS w FROM (SELECT unnest(string_split('{peptides.LETTERS}', '')) AS aa)),
+be AS (SELECT doc_id, p2 AS pos, v2 AS v, any_value(ra) AS aa, min(vc + v1) AS vc FROM mt WHERE ra <> '' AND (la = '' OR site) GROUP BY 1, 2, 3),
+fi AS (SELECT doc_id, p1 AS pos, v1 AS v, min(vc) AS vc FROM mt WHERE la <> '' AND (ra = '' OR site) GROUP BY 1, 2, 3),
+sp AS (SELECT mt.*, w FROM mt JOIN wt ON wt.aa = ra WHERE la <> ''),
+pt AS (
+  SELECT doc_id, pos, v, w AS a, vc, 0 AS mc, aa AS seq FROM be JOIN wt USING (aa) WHERE vc <= 1
+  UNION ALL SELECT sp.doc_id, sp.p2, sp.v2, pt.a + sp.w, pt.vc + sp.vc, pt.mc + CASE WHEN site THEN 1 ELSE 0 END, pt.seq || sp.ra
+  FROM pt JOIN sp ON sp.doc_id = pt.doc_id AND sp.p1 = pt.pos AND sp.v1 = pt.v WHERE pt.a + sp.w <= {_U} AND pt.vc + sp.vc <= 1 AND pt.mc + CASE WHEN site THEN 1 ELSE 0 END <= 2
+)"""
+
+
+@query(f"""
+WITH RECURSIVE {_DIGEST.split("fl AS")[0].rstrip().rstrip(",")}, {_SITES}, {_SITE_PATHS}
+SELECT seq, a AS w, CAST(pt.vc + fi.vc AS INTEGER) AS vc, CAST(mc AS INTEGER) AS mssclvg, count(*) AS n FROM pt JOIN fi USING (doc_id, pos, v) WHERE a BETWEEN {_L} AND {_U} AND pt.vc + fi.vc <= 1 GROUP BY ALL
+""")
+def variant_site_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of graphs of single residues, in which variants make and remove cut sites, contracted to branches: a bag, counted."""
+    g = builder.contract(builder.from_residues(*standins.site_variants(spark, sf_dir)))
+    found = traverse(g, standins.ranges(spark, (LOWER, UPPER), max_vars=1), max_missed=2).paths
+    return found.groupBy("seq", F.col("a").alias("w"), "vc", F.col("mc").alias("mssclvg")).agg(F.count("*").alias("n"))
+
+
+@query(f"""
+WITH {_DIGEST.split("fl AS")[0].rstrip().rstrip(",")}, {_SITES}
+SELECT 'D' || doc_id AS acc, source, pos, pos AS until, aa AS original, repl AS replacement FROM sv UNION ALL SELECT 'D' || doc_id, 'sequence', 1, CAST(length(protein) AS INTEGER), protein, NULL FROM p
+""")
+def feature_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proteins and variants of the documents written as flat text entries and read back from their features and sequences."""
+    path = f"{shared_dir(spark)}/pepweave/entries-{uuid.uuid4().hex}"
+    entries.write_entries(*standins.site_variants(spark, sf_dir), path)
+    found = entries.read_entries(spark, path)
+    whole = entries.proteins(found).select("acc", F.lit("sequence").alias("source"), F.lit(1).alias("pos"), F.length("protein").alias("until"), F.col("protein").alias("original"), F.lit(None).cast("string").alias("replacement"))
+    return entries.variants(found).select("acc", "source", "pos", "until", "original", "replacement").unionByName(whole)
+
+
+@query(f"""
+WITH RECURSIVE {_ORDERS},
+st AS (
+  SELECT g, k, 0 AS c, CAST(0 AS BIGINT) AS s FROM nl
+  UNION SELECT nl.g, nl.k - d, st.c + CASE d WHEN 1 THEN 1 ELSE 0 END, st.s + nl.w FROM st JOIN nl ON nl.g = st.g AND nl.k = st.k, (VALUES (1), (2)) v(d) WHERE nl.k - d >= 1 AND st.c + CASE d WHEN 1 THEN 1 ELSE 0 END <= 1
+),
+nd AS (SELECT g, k, n + 1 AS e, w, vc, (SELECT list({{'c': c, 's': s}}) FROM st WHERE st.g = nl.g AND st.k = nl.k) AS ss FROM nl UNION ALL SELECT DISTINCT g, n + 1, n + 1, 0, 0, [{{'c': 0, 's': 0}}] FROM nl),
+tr AS (
+  SELECT 0 AS level, g, k, e, w AS a, vc, 0 AS mc, len(list_filter(ss, lambda x: x.c <= 1 AND w + x.s >= 60 AND w + x.s <= 80)) > 0 AS ov FROM nd WHERE k < e
+  UNION ALL SELECT tr.level + 1, nd.g, nd.k, nd.e, tr.a + nd.w, tr.vc + nd.vc, tr.mc + CASE WHEN nd.k = tr.k + 1 AND nd.k < nd.e THEN 1 ELSE 0 END,
+    len(list_filter(nd.ss, lambda x: x.c <= greatest(1 - tr.mc - CASE WHEN nd.k = tr.k + 1 AND nd.k < nd.e THEN 1 ELSE 0 END, 0) AND tr.a + nd.w + x.s >= 60 AND tr.a + nd.w + x.s <= 80)) > 0
+  FROM tr JOIN nd ON nd.g = tr.g AND (nd.k = tr.e OR nd.k IN (tr.k + 1, tr.k + 2)) WHERE tr.ov AND tr.vc <= 1 AND tr.mc <= 1 AND tr.k < tr.e
+)
+SELECT level, g AS graph_id, count(*) AS attempted, count(*) FILTER (WHERE ov) AS overlapping, count(*) FILTER (WHERE ov AND vc <= 1 AND mc <= 1) AS accepted FROM tr GROUP BY ALL
+""")
+def order_cleavage_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions of the enumeration with intervals of what is still to come under the missed cleavages that are left."""
+    g = intervals.summarise(standins.order_graphs(spark, sf_dir), cap=1024, missed=1)
+    count = lambda c: F.sum(F.col(c).cast("long")).alias
+    trace = traverse(g, standins.ranges(spark, (60, 80), max_vars=1, scale=1), max_missed=1, trace=True).trace
+    return trace.groupBy("level", "graph_id").agg(F.count("*").alias("attempted"), count("overlap")("overlapping"), count("accepted")("accepted"))
+
+
+@query(f"""
+WITH RECURSIVE {_ORDERS}, nd AS (SELECT g, k, n + 1 AS e, w, vc FROM nl UNION ALL SELECT DISTINCT g, n + 1, n + 1, 0, 0 FROM nl),
+tr AS (
+  SELECT 0 AS level, g, k, e, w AS a, vc, w <= 120 AS ov FROM nd WHERE k < e
+  UNION ALL SELECT tr.level + 1, nd.g, nd.k, nd.e, tr.a + nd.w, tr.vc + nd.vc, tr.a + nd.w <= 120 AND (nd.k < nd.e OR tr.a + nd.w >= 60)
+  FROM tr JOIN nd ON nd.g = tr.g AND (nd.k = tr.e OR nd.k IN (tr.k + 1, tr.k + 2)) WHERE tr.ov AND tr.vc <= 1 AND tr.k < tr.e
+)
+SELECT level, g AS graph_id, CAST(0 AS BIGINT) AS query_id, count(*) AS attempted, count(*) FILTER (WHERE ov AND vc <= 1) AS kept, count(*) FILTER (WHERE ov AND vc <= 1 AND k = e) AS ended FROM tr GROUP BY ALL
+""")
+def order_path_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial paths of each level, graph and query, predicted without their enumeration."""
+    return count_paths(standins.order_graphs(spark, sf_dir), standins.ranges(spark, (60, 120), max_vars=1, scale=1))
+
+
+_ORDER_PATHS = f"""
+WITH RECURSIVE {_ORDERS},
+pt AS (
+  SELECT g, k, n, w AS a, vc, 0 AS mc, seq FROM nl
+  UNION ALL SELECT nl.g, nl.k, nl.n, pt.a + nl.w, pt.vc + nl.vc, pt.mc + CASE WHEN nl.k = pt.k + 1 THEN 1 ELSE 0 END, pt.seq || nl.seq FROM pt JOIN nl ON nl.g = pt.g AND nl.k IN (pt.k + 1, pt.k + 2) WHERE pt.a + nl.w <= 150
+)"""
+
+
+@query(f"{_ORDER_PATHS} SELECT 'O' || g AS acc, count(*) AS n, CAST(sum(a) AS BIGINT) AS w, CAST(sum(vc) AS BIGINT) AS vc, CAST(sum(mc) AS BIGINT) AS mc, min(seq) AS seq FROM pt WHERE a BETWEEN 60 AND 80 AND vc <= 1 GROUP BY g")
+def graph_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as graphs, with intervals, written to indexed binary files, read back by block and enumerated."""
+    path = f"{shared_dir(spark)}/pepweave/graphs-{uuid.uuid4().hex}"
+    graph_files.write_graphs(intervals.summarise(standins.order_graphs(spark, sf_dir)), path)
+    g = graph_files.read_indexed(spark, path)
+    found = render.peptides(traverse(g, standins.ranges(spark, (60, 80), max_vars=1, scale=1)).paths, g.graphs)
+    total = lambda c, name: F.sum(c).cast("long").alias(name)
+    return found.groupBy("acc").agg(F.count("*").alias("n"), total("w", "w"), total("vc", "vc"), total("mssclvg", "mc"), F.min("seq").alias("seq"))
+
+
+@query(f"{_ORDER_PATHS}, q(a0, b0) AS (VALUES {', '.join(f'({a}, {b})' for a, b in _SUMS)}) SELECT CAST(a0 AS BIGINT) AS lower, CAST(b0 AS BIGINT) AS upper, count(*) AS n, count(DISTINCT g) AS graphs, min(seq) AS seq FROM pt JOIN q ON a BETWEEN a0 AND b0 WHERE vc <= 1 GROUP BY ALL")
+def streamed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query files of a stream answered against orders as graphs, from the table that the stream appends to."""
+    top = f"{shared_dir(spark)}/pepweave/stream-{uuid.uuid4().hex}"
+    g = standins.order_graphs(spark, sf_dir)
+    g = graph.Graphs(g.graphs, g.nodes.withColumn("w", F.col("w") * peptides.SCALE), g.edges)
+    lines = spark.range(1).select(F.explode(F.array(*[F.lit(f"{a},{b}") for a, b in _SUMS])).alias("value"))
+    lines.coalesce(1).write.text(f"{top}/in")
+    feed.answer_queries(spark, g, f"{top}/in", f"{top}/out", f"{top}/state", max_vars=1).awaitTermination()
+    whole = lambda c: (F.col(c) / peptides.SCALE).cast("long")
+    return spark.read.parquet(f"{top}/out").groupBy(whole("from").alias("lower"), whole("to").alias("upper")).agg(F.count("*").alias("n"), F.countDistinct("graph_id").alias("graphs"), F.min("seq").alias("seq"))
+
+
+@query("""
+SELECT 'limits' AS kind, s_name || ',3' AS value FROM supplier UNION ALL SELECT 'limits', '#bins,1' UNION ALL SELECT 'limits', 'bins,1' UNION ALL SELECT 'queries', n_nationkey || ',' || (n_nationkey + 100) FROM nation WHERE n_nationkey % 3 <> 0
+UNION ALL SELECT 'entries', s_name FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT 'asked', 'accession:(' || string_agg(s_name, ' OR ' ORDER BY s_name) || ')' FROM (SELECT *, (row_number() OVER (ORDER BY s_name) - 1) // 100 AS b FROM supplier) GROUP BY b
+""")
+def build_input_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of a run's input, built from accessions, queries and entries of files, and read again line by line."""
+    top = f"{shared_dir(spark)}/pepweave/input-{uuid.uuid4().hex}"
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("acc"), F.lit("AK").alias("protein"), "s_suppkey")
+    listed = _written(suppliers.select(F.concat(F.lit('"x",'), "acc").alias("value")), "listed")
+    key = F.col("n_nationkey")
+    asked = _written(table(spark, sf_dir, "nation").select(F.when(key % 3 == 0, "lower,upper").otherwise(F.concat_ws(",", key.cast("string"), (key + 100).cast("string"))).alias("value")), "asked")
+    none = suppliers.limit(0).select("acc", F.lit(1).alias("pos"), F.lit(1).alias("until"), F.lit("").alias("original"), F.lit("").alias("replacement"), F.lit("").alias("source"))
+    entries.write_entries(suppliers.where("s_suppkey % 2 = 0").unionByName(suppliers.limit(1).withColumn("acc", F.lit("other"))), none, f"{top}/flat")
+    paths = workflow.build_input(spark, listed, asked, f"{top}/flat", 3, f"{top}/out", column=1)
+    lines = {k: spark.read.text(paths[k]) for k in ("limits", "asked")} | {"queries": spark.read.text(paths["queries"]).where("value <> 'lower,upper'"), "entries": entries.read_entries(spark, paths["entries"]).select(F.col("acc").alias("value"))}
+    out = [df.select(F.lit(k).alias("kind"), "value") for k, df in lines.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@query(f"WITH {_DIGEST} SELECT CAST(doc_id % 3 AS INTEGER) AS query_id, substr(header, 2) AS header, seq, count(*) AS n FROM oc GROUP BY ALL")
+def results_by_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written in folders by query and read back with the query that they answer."""
+    path = f"{shared_dir(spark)}/pepweave/results-{uuid.uuid4().hex}"
+    found = standins.occurrences(spark, sf_dir).select((F.col("doc_id") % 3).alias("query_id"), F.rtrim(F.concat("header", F.lit("\n"), fasta.wrap(F.col("seq"))), F.lit("\n")).alias("value"))
+    fasta_files.write_fasta(found, path)
+    return fasta_files.read_fasta(spark, path).groupBy("query_id", "header", "seq").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_DIGEST}, s AS (SELECT seq, 1 AS s FROM oc WHERE source = 'src3') {_DIFF}")
+def digest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same differences by digests: equal sides move digests only, and one source's absence is found."""
+    found = cut(standins.runs(spark, sf_dir).select("seq", "source"), "compared")
+    return compare.digest_diff(found, found).unionByName(compare.digest_diff(found, found.where("source <> 'src3' OR source IS NULL")))

@@ -88,6 +88,25 @@ def variant_table(spark: SparkSession, sf_dir: str, sources: dict[str, int]) ->
     return rows, places.select("graph_id", "pos", "replacement", F.explode(named).alias("s")).select("graph_id", "pos", "replacement", "s.source")
 
 
+def site_variants(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Proteins of the documents and variants of single residues that make and remove cut sites: graph_id, acc, pos, until, original, replacement, source.
+
+    Of eleven places, the fourth is K (T where there was a K, source ebi) and the fifth P (A where there was a P, source
+    uniprot); the ninth of 23 is removed (uniprot).
+    """
+    rows = proteins(spark, sf_dir).select(F.col("doc_id").alias("graph_id"), F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("acc"), "protein")
+    rows = cut(rows, "proteins")
+    each = rows.where("protein <> ''").select("graph_id", "acc", F.posexplode(F.split("protein", "")).alias("i", "original")).withColumn("pos", F.col("i") + 1)
+    swap = lambda to, other: F.when(F.col("original") == to, other).otherwise(to)
+    forms = F.array(
+        F.when(F.col("pos") % 11 == 4, F.struct(swap("K", "T").alias("replacement"), F.lit("ebi").alias("source"))),
+        F.when(F.col("pos") % 11 == 5, F.struct(swap("P", "A").alias("replacement"), F.lit("uniprot").alias("source"))),
+        F.when(F.col("pos") % 23 == 9, F.struct(F.lit("").alias("replacement"), F.lit("uniprot").alias("source"))),
+    )
+    found = each.select("graph_id", "acc", "pos", F.col("pos").alias("until"), "original", F.explode(F.filter(forms, lambda x: x.isNotNull())).alias("f"))
+    return rows, found.select("graph_id", "acc", "pos", "until", "original", "f.replacement", "f.source")
+
+
 def order_graphs(spark: SparkSession, sf_dir: str) -> graph.Graphs:
     """Orders as small graphs: lines are nodes that weigh their quantity; a line leads to the next two lines and to the end.
 
