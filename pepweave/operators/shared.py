@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Scopes that are open in this process, each a list of the folders that were written in it.
+_scopes: list[list[str]] = []
+_lock = threading.Lock()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a folder of our own only where it is unset and all tasks run on this machine."""
@@ -19,13 +26,42 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, what: str) -> str:
+    """A new folder's path below the shared folder; open scopes remove it when they end."""
+    path = f"{shared_dir(spark)}/pepweave/{what}-{uuid.uuid4().hex}"
+    with _lock:
+        for scope in _scopes:
+            scope.append(path)
+    return path
+
+
 def cut(df: DataFrame, what: str) -> DataFrame:
     """Write df and read it back: lineage ends there and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/pepweave/{what}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """A scope for a result that is written inside it: intermediate tables that were written meanwhile are removed at its end.
+
+    What is returned out of a scope must not read them. Scopes may lie in each other; jobs of other threads that run
+    meanwhile count to all open scopes, so one scope is for all that runs side by side.
+    """
+    own: list[str] = []
+    with _lock:
+        _scopes.append(own)
+    try:
+        yield
+    finally:
+        with _lock:
+            _scopes[:] = [s for s in _scopes if s is not own]
+        for path in own:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df on as many partitions as there are cores, if its scan gives fewer; larger tables stay as they are read."""
     cores = df.sparkSession.sparkContext.defaultParallelism

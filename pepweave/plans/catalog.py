@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql.window import Window
 from pepweave.functions import fasta, peptides
 from pepweave.operators import batches, budgets, builder, compare, graph, intervals, render
 from pepweave.operators.ranges import interval_join
-from pepweave.operators.shared import cut, shared_dir
+from pepweave.operators.shared import cut, fresh_path
 from pepweave.operators.traverse import count_paths, traverse
 from pepweave.plans import runs, standins, workflow
 from pepweave.plans.standins import LOWER, UPPER, table
@@ -265,7 +264,7 @@ def branch_join_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written(lines: DataFrame, what: str) -> str:
     """The path of text files in the shared folder with these lines (value)."""
-    path = f"{shared_dir(lines.sparkSession)}/pepweave/{what}-{uuid.uuid4().hex}"
+    path = fresh_path(lines.sparkSession, what)
     lines.select("value").write.text(path)
     return path
 
@@ -305,7 +304,7 @@ def accession_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accessions read from files: stripped, blanks gone, repeats kept; by column from files with a header, nulls and quoted commas, and from ragged ones."""
     suppliers = table(spark, sf_dir, "supplier")
     plain = _written(suppliers.select(F.when(F.col("s_nationkey") % 5 == 0, "\t").otherwise(F.concat(F.lit(" \t"), F.col("s_name"), F.lit("\t ,x"))).alias("value")), "accessions")
-    headed = f"{shared_dir(spark)}/pepweave/headed-{uuid.uuid4().hex}"
+    headed = fresh_path(spark, "headed")
     name = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("a,"), F.col("s_name"))).otherwise(F.col("s_name"))
     suppliers.select(F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).alias("first"), F.when(F.col("s_nationkey") % 4 != 0, name).alias("acc")).write.csv(headed, header=True)
     kind, name = F.col("s_suppkey") % 4, F.col("s_name")
@@ -323,7 +322,7 @@ def limits_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Budgets written as ragged tables of three and of two bins, one of which lists its accessions twice, read back together and looked up."""
     rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("acc"), F.explode(F.sequence(F.lit(0), F.when(F.col("s_suppkey") % 2 == 0, 2).otherwise(1))).alias("bin"), "s_suppkey")
     rows = rows.withColumn("max_vars", (F.col("s_suppkey") + 100 * F.col("bin")) % 256)
-    path = f"{shared_dir(spark)}/pepweave/limits-{uuid.uuid4().hex}"
+    path = fresh_path(spark, "limits")
     for n, part in (("three", rows.where("s_suppkey % 2 = 0")), ("two", rows.where("s_suppkey % 2 = 1"))):
         inputs.write_limits(part.select("acc", "bin", "max_vars").coalesce(1), f"{path}/{n}")
     found = inputs.read_limits(spark, f"{path}/*")
@@ -333,7 +332,7 @@ def limits_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT n_name || '.csv' AS input_file, 'q.csv' AS query_file, n_nationkey AS max_vars, n_regionkey AS max_cleavages, 'run' || n_nationkey AS run_prefix FROM nation")
 def run_sheet_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed runs read from a sheet's file."""
-    path = f"{shared_dir(spark)}/pepweave/sheet-{uuid.uuid4().hex}"
+    path = fresh_path(spark, "sheet")
     key = F.col("n_nationkey").cast("string")
     sheet = table(spark, sf_dir, "nation").select(F.concat("n_name", F.lit(".csv")).alias("input_file"), F.lit("q.csv").alias("query_file"), key.alias("max_vars"), F.col("n_regionkey").cast("string").alias("max_cleavages"), F.concat(F.lit("run"), key).alias("run_prefix"))
     sheet.write.csv(path, header=True)
@@ -343,7 +342,7 @@ def run_sheet_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_DIGEST} SELECT 'pg|TODO|D' || doc_id || '(1:' || length(protein) || ',mssclvg:0,)' AS header, protein AS seq FROM p WHERE protein <> ''")
 def fasta_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written to FASTA files and read back from them."""
-    path = f"{shared_dir(spark)}/pepweave/fasta-{uuid.uuid4().hex}"
+    path = fresh_path(spark, "fasta")
     fasta_files.write_fasta(fasta_render_wrap60(spark, sf_dir), path)
     return fasta_files.read_fasta(spark, path)
 
@@ -495,7 +494,7 @@ SELECT 'D' || doc_id AS acc, source, pos, pos AS until, aa AS original, repl AS
 """)
 def feature_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proteins and variants of the documents written as flat text entries and read back from their features and sequences."""
-    path = f"{shared_dir(spark)}/pepweave/entries-{uuid.uuid4().hex}"
+    path = fresh_path(spark, "entries")
     entries.write_entries(*standins.site_variants(spark, sf_dir), path)
     found = entries.read_entries(spark, path)
     whole = entries.proteins(found).select("acc", F.lit("sequence").alias("source"), F.lit(1).alias("pos"), F.length("protein").alias("until"), F.col("protein").alias("original"), F.lit(None).cast("string").alias("replacement"))
@@ -550,7 +549,7 @@ pt AS (
 @query(f"{_ORDER_PATHS} SELECT 'O' || g AS acc, count(*) AS n, CAST(sum(a) AS BIGINT) AS w, CAST(sum(vc) AS BIGINT) AS vc, CAST(sum(mc) AS BIGINT) AS mc, min(seq) AS seq FROM pt WHERE a BETWEEN 60 AND 80 AND vc <= 1 GROUP BY g")
 def graph_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as graphs, with intervals, written to indexed binary files, read back by block and enumerated."""
-    path = f"{shared_dir(spark)}/pepweave/graphs-{uuid.uuid4().hex}"
+    path = fresh_path(spark, "graphs")
     graph_files.write_graphs(intervals.summarise(standins.order_graphs(spark, sf_dir)), path)
     g = graph_files.read_indexed(spark, path)
     found = render.peptides(traverse(g, standins.ranges(spark, (60, 80), max_vars=1, scale=1)).paths, g.graphs)
@@ -561,7 +560,7 @@ def graph_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{_ORDER_PATHS}, q(a0, b0) AS (VALUES {', '.join(f'({a}, {b})' for a, b in _SUMS)}) SELECT CAST(a0 AS BIGINT) AS lower, CAST(b0 AS BIGINT) AS upper, count(*) AS n, count(DISTINCT g) AS graphs, min(seq) AS seq FROM pt JOIN q ON a BETWEEN a0 AND b0 WHERE vc <= 1 GROUP BY ALL")
 def streamed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query files of a stream answered against orders as graphs, from the table that the stream appends to."""
-    top = f"{shared_dir(spark)}/pepweave/stream-{uuid.uuid4().hex}"
+    top = fresh_path(spark, "stream")
     g = standins.order_graphs(spark, sf_dir)
     g = graph.Graphs(g.graphs, g.nodes.withColumn("w", F.col("w") * peptides.SCALE), g.edges)
     lines = spark.range(1).select(F.explode(F.array(*[F.lit(f"{a},{b}") for a, b in _SUMS])).alias("value"))
@@ -577,7 +576,7 @@ UNION ALL SELECT 'entries', s_name FROM supplier WHERE s_suppkey % 2 = 0 UNION A
 """)
 def build_input_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All files of a run's input, built from accessions, queries and entries of files, and read again line by line."""
-    top = f"{shared_dir(spark)}/pepweave/input-{uuid.uuid4().hex}"
+    top = fresh_path(spark, "input")
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("acc"), F.lit("AK").alias("protein"), "s_suppkey")
     listed = _written(suppliers.select(F.concat(F.lit('"x",'), "acc").alias("value")), "listed")
     key = F.col("n_nationkey")
@@ -593,7 +592,7 @@ def build_input_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_DIGEST} SELECT CAST(doc_id % 3 AS INTEGER) AS query_id, substr(header, 2) AS header, seq, count(*) AS n FROM oc GROUP BY ALL")
 def results_by_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written in folders by query and read back with the query that they answer."""
-    path = f"{shared_dir(spark)}/pepweave/results-{uuid.uuid4().hex}"
+    path = fresh_path(spark, "results")
     found = standins.occurrences(spark, sf_dir).select((F.col("doc_id") % 3).alias("query_id"), F.rtrim(F.concat("header", F.lit("\n"), fasta.wrap(F.col("seq"))), F.lit("\n")).alias("value"))
     fasta_files.write_fasta(found, path)
     return fasta_files.read_fasta(spark, path).groupBy("query_id", "header", "seq").agg(F.count("*").alias("n"))

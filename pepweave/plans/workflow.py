@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pepweave.functions.peptides import SCALE
 from pepweave.operators import batches, budgets, compare
 from pepweave.operators.graph import Graphs
+from pepweave.operators.shared import temporary
 from pepweave.plans.runs import Run, read_peptides
 from pepweave.sources import inputs
 from pepweave.sources.fasta import write_run
@@ -53,15 +54,21 @@ def execute(spark: SparkSession, sheet: str, branches: Callable[[str], dict[str,
     """
     told = []
     for row in inputs.read_run_sheet(spark, sheet).collect():
-        run = Run(None if row.max_vars == 255 else row.max_vars, row.max_cleavages, row.run_prefix)
-        queries = inputs.read_queries(spark, row.query_file)
-        found = {name: read_peptides(g, queries, run) for name, g in branches(row.input_file).items()}
-        for name, df in found.items():
-            sequences = df.select(F.lit(run.run_prefix).alias("run_prefix"), "seq", "header")
-            write_run(sequences, f"{out}/peptides/{name}/{run.run_prefix}")
-        for left, right in pairs:
-            diff = compare.multiset_diff(found[left].select("seq").distinct(), found[right].select("seq").distinct())
-            path = f"{out}/diff/{left}-{right}/{run.run_prefix}"
-            write_run(diff.withColumn("run_prefix", F.lit(run.run_prefix)), path)
-            told.append((run.run_prefix, left, right, spark.read.schema("side string, seq string, n long, run_prefix string").parquet(path).count()))
+        with temporary(spark):  # what a run writes on its way goes when its results are published
+            told += _execute(spark, row, branches, pairs, out)
     return spark.createDataFrame(told, "run_prefix string, left string, right string, n long")
+
+
+def _execute(spark: SparkSession, row, branches: Callable[[str], dict[str, Graphs]], pairs: list[tuple[str, str]], out: str) -> list[tuple]:
+    run, told = Run(None if row.max_vars == 255 else row.max_vars, row.max_cleavages, row.run_prefix), []
+    queries = inputs.read_queries(spark, row.query_file)
+    found = {name: read_peptides(g, queries, run) for name, g in branches(row.input_file).items()}
+    for name, df in found.items():
+        sequences = df.select(F.lit(run.run_prefix).alias("run_prefix"), "seq", "header")
+        write_run(sequences, f"{out}/peptides/{name}/{run.run_prefix}")
+    for left, right in pairs:
+        diff = compare.multiset_diff(found[left].select("seq").distinct(), found[right].select("seq").distinct())
+        path = f"{out}/diff/{left}-{right}/{run.run_prefix}"
+        write_run(diff.withColumn("run_prefix", F.lit(run.run_prefix)), path)
+        told.append((run.run_prefix, left, right, spark.read.schema("side string, seq string, n long, run_prefix string").parquet(path).count()))
+    return told

@@ -90,12 +90,16 @@ def write_queries(found: DataFrame, path: str) -> None:
 def limits(lines: DataFrame) -> DataFrame:
     """acc, bin, max_vars of ragged tables: "#bins,n", "bins,...", then an accession and n budgets a line.
 
-    Lines of several tables are told apart by a column file; each has its own head. A row with another number of budgets,
-    or of a table without a head, is an error, but for one surplus repeat of the last, which some writers add.
+    Lines of several files are told apart by a column file; each may have its own head, and a file without one is part of
+    the one table of its folder. A row with another number of budgets, or of a table without a head, is an error, but for
+    one surplus repeat of the last, which some writers add.
     """
     rows = lines.select(F.col("file") if "file" in lines.columns else F.lit("").alias("file"), F.transform(F.split("value", ","), strip).alias("p"))
-    heads = rows.where("p[0] = '#bins'").groupBy("file").agg(F.max(whole(F.try_element_at("p", F.lit(2)))).cast("int").alias("n"))
-    rows = rows.where("p[0] not in ('', '#bins', 'bins')").join(heads, "file", "left")
+    rows = rows.withColumn("folder", F.regexp_replace("file", "/[^/]*$", ""))
+    heads = rows.where("p[0] = '#bins'").select("file", "folder", whole(F.try_element_at("p", F.lit(2))).cast("int").alias("n"))
+    own = heads.groupBy("file").agg(F.max("n").alias("own"))
+    shared = heads.groupBy("folder").agg(F.max("n").alias("most"), F.min("n").alias("least")).where("most = least").select("folder", "most")
+    rows = rows.where("p[0] not in ('', '#bins', 'bins')").join(own, "file", "left").join(shared, "folder", "left").withColumn("n", F.coalesce("own", "most"))
     count = F.size("p") - 1
     surplus = (count == F.col("n") + 1) & (F.element_at("p", -1) == F.try_element_at("p", F.lit(-2)))
     fault = F.raise_error(F.concat(F.lit("limits: wrong number of budgets for "), F.col("p")[0])).cast("int")
@@ -124,4 +128,4 @@ def write_limits(table: DataFrame, path: str) -> None:
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
     """acc, entry of flat protein text: entries end with a line "//"; the first accession of the AC line names them."""
     entries = spark.read.option("lineSep", "\n//\n").text(path).where("trim(value) <> ''")
-    return entries.select(F.nullif(F.regexp_extract("value", r"(?m)^AC\s+([A-Za-z0-9]+)", 1), F.lit("")).alias("acc"), F.col("value").alias("entry"))
+    return entries.select(F.nullif(F.regexp_extract("value", r"(?m)^AC\s+([^;\s]+)", 1), F.lit("")).alias("acc"), F.col("value").alias("entry"))

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pepweave.operators import render
 from pepweave.operators.graph import Graphs
+from pepweave.operators.shared import temporary
 from pepweave.operators.traverse import traverse
 from pepweave.sources import inputs
 
@@ -22,8 +23,9 @@ def answer_queries(spark: SparkSession, graphs: Graphs, source: str, sink: str,
         found = inputs.queries(batch).withColumn("query_id", F.monotonically_increasing_id()).withColumn("max_vars", F.lit(max_vars).cast("int"))
         if found.isEmpty():
             return
-        paths = traverse(graphs, found, max_missed).paths
-        answers = render.headers(render.peptides(paths, graphs.graphs)).join(found.select("query_id", F.col("lower").alias("from"), F.col("upper").alias("to")), "query_id")
-        answers.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        with temporary(spark):
+            paths = traverse(graphs, found, max_missed).paths
+            answers = render.headers(render.peptides(paths, graphs.graphs)).join(found.select("query_id", F.col("lower").alias("from"), F.col("upper").alias("to")), "query_id")
+            answers.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     return spark.readStream.format("text").load(source).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pepweave.operators import batches, budgets, compare
-from pepweave.operators.ranges import overlap_join
+from pepweave.operators.ranges import interval_join, overlap_join
 from pepweave.plans import catalog, runs
 
 
@@ -92,3 +92,43 @@ def test_overlap_join_equals_brute_force(spark):
     for width in (1, 7, 1000):
         got = overlap_join(one, two, ("lo", "hi", "lower", "upper"), width, ["k"])
         assert sorted((r.i, r.j) for r in got.collect()) == want
+
+
+def test_interval_join_of_any_lengths(spark):
+    rng = random.Random(6)
+
+    def some(n):
+        out = []
+        for k in range(n):
+            lo = rng.choice([rng.randint(-(10**6), 10**6), rng.uniform(-50, 50), 0.0])
+            out.append((k, rng.choice("ab"), float(lo), None if rng.random() < 0.05 else float(lo + rng.choice([-1, 0, 0.25, 1, 7, 1000, 10**6]))))
+        return out
+
+    left, right = some(90), some(70)
+    want = sorted((a[0], b[0]) for a in left for b in right if a[1] == b[1] and None not in (a[3], b[3]) and a[2] <= a[3] and b[2] <= b[3] and a[2] <= b[3] and b[2] <= a[3])
+    one, two = spark.createDataFrame(left, "i int, k string, lo double, hi double"), spark.createDataFrame(right, "j int, k string, lower double, upper double")
+    got = interval_join(one, two, ("lo", "hi", "lower", "upper"), ["k"])
+    assert sorted((r.i, r.j) for r in got.collect()) == want
+    assert interval_join(one, two.limit(0), ("lo", "hi", "lower", "upper"), ["k"]).count() == 0
+    big = spark.createDataFrame([(1, 2**62, 2**63 - 1), (2, 5, 5)], "i int, lo long, hi long")
+    assert sorted((r.i, r.j) for r in interval_join(big, big.selectExpr("i as j", "lo as a", "hi as b"), ("lo", "hi", "a", "b")).collect()) == [(1, 1), (2, 2)]
+
+
+def test_an_interval_becomes_few_rows(spark):
+    long = spark.createDataFrame([(k, 0, 10**6) for k in range(50)], "i int, lo long, hi long")
+    short = spark.createDataFrame([(k, 10**7 + k, 10**7 + k) for k in range(50)], "j int, a long, b long")
+    joined = interval_join(long, short, ("lo", "hi", "a", "b"))
+    assert joined.count() == 0 and "1000001" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_differences_by_digests(spark):
+    rows = [(rng_word,) for k in range(3000) for rng_word in [f"s{k % 700}"]] + [(None,)] * 3
+    left = spark.createDataFrame(rows, "seq string")
+    right = spark.createDataFrame(rows[5:-1] + [("new",)] * 4 + [("s9",)], "seq string")
+    got = lambda x: sorted((r.side, r.seq or "", r.n) for r in x.collect())
+    for ranges in (1, 16, compare.RANGES):
+        assert got(compare.digest_diff(left, right, ranges=ranges)) == got(compare.multiset_diff(left, right)) != []
+        assert got(compare.digest_diff(left, left.repartition(7), ranges=ranges)) == []
+    assert got(compare.digest_diff(left, left.limit(0))) == got(compare.multiset_diff(left, left.limit(0)))
+    # equal sides: no key is looked at again
+    assert compare.digest_diff(left, left)._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 0
