@@ -115,11 +115,21 @@ SCHEMA = pa.schema([("tile", pa.int64()), ("lo", pa.list_(pa.int32())), ("hi", p
 
 
 def tile_pairs(tiled: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """a, b: tiles (a <= b) whose counts allow a link."""
+    """a, b: tiles (a <= b) whose counts allow a link.
+
+    Tiles meet where a count of all bits and one of the first byte's bits are in reach, some 600 places over which the
+    join is dealt, and each pair is kept at the least place that it meets at.
+    """
     slim = tiled.select("tile", "lo", "hi")
-    left = slim.select(F.col("tile").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"), F.explode(F.sequence(F.col("lo")[0], F.col("hi")[0])).alias("c"))
-    right = slim.select(F.col("tile").alias("b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"), F.explode(F.sequence(F.col("lo")[0] - radius, F.col("hi")[0] + radius)).alias("c"))
-    met = left.join(right, "c").where((F.col("a") <= F.col("b")) & (F.col("c") == F.greatest(F.col("lo_a")[0], F.col("lo_b")[0] - radius)))
+
+    def spread(side: str, reach: int) -> DataFrame:
+        at = lambda k: F.explode(F.sequence(F.col("lo")[k] - reach, F.col("hi")[k] + reach))
+        own = slim.select(F.col("tile").alias(side), F.col("lo").alias(f"lo_{side}"), F.col("hi").alias(f"hi_{side}"), "lo", "hi", at(0).alias("c"))
+        return own.withColumn("d", at(1)).drop("lo", "hi")
+
+    met = spread("a", 0).join(spread("b", radius), ["c", "d"]).where(F.col("a") <= F.col("b"))
+    least = lambda k: F.greatest(F.col("lo_a")[k], F.col("lo_b")[k] - radius)
+    met = met.where((F.col("c") == least(0)) & (F.col("d") == least(1)))
     gap = " + ".join(f"greatest(0, lo_a[{k}] - hi_b[{k}], lo_b[{k}] - hi_a[{k}])" for k in range(1, 9))
     return met.where(F.expr(gap) <= radius).select("a", "b")
 

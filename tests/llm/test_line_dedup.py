@@ -35,6 +35,16 @@ def test_matches_brute_force(spark, sites):
     assert sorted((str(r.doc_id), r.n_lines, r.n_removed, r.kept) for r in got) == brute(rows, sites)
 
 
+def test_further_columns_with_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(k, "notice\nown" + str(k), f"s{k}") for k in range(12)]
+    df = spark.createDataFrame([(i, t, None, s, None) for i, t, s in rows], SCHEMA)
+    clashing = {c: F.lit("x") for c in ("line", "l1", "l2", "pos", "sites", "kept", "n_lines", "n_removed", "lines", "n", "gone", "source_n", "many")}
+    got = line_dedup.removals(df.withColumns(clashing), 10).collect()
+    assert sorted((str(r.doc_id), r.n_lines, r.n_removed, r.kept) for r in got) == brute(rows, 10)
+
+
 def test_empty(spark):
     assert line_dedup.removals(spark.createDataFrame([], SCHEMA)).count() == 0
 
