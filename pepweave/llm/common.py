@@ -10,9 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pepweave.llm.words import slices
 from pepweave.operators.shared import cut, shared_dir, spread
 
 
+#: Text bytes that a task works on at once.
+PORTION = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables; the path is opened by Spark alone, so any file system it knows works.
 
@@ -51,6 +56,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def portions(batches: Iterator[pa.RecordBatch], column: int, size: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in turn, at most size bytes of a string column at once, or one row that is longer."""
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(column))
+        for i, j in slices(offsets, size):
+            yield batch.slice(i, j - i)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that df does not have yet, one for each name."""
     have = {c.lower() for c in df.columns}
@@ -67,7 +80,7 @@ def keys() -> tuple[Column, Column]:
     return F.xxhash64(F.col("doc_id").cast("long"), "text").alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k2")
 
 
-__all__ = ["cut", "documents", "fresh", "keys", "scratch", "shared_dir", "table", "text_bytes", "total"]
+__all__ = ["cut", "documents", "fresh", "keys", "portions", "scratch", "shared_dir", "table", "text_bytes", "total"]
 
 #: Rows that total() brings to the driver at most.
 TOTAL_ROWS = 8

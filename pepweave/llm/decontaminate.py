@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pepweave.llm import words as W
-from pepweave.llm.common import cut, fresh, keys, text_bytes
+from pepweave.llm.common import cut, fresh, keys, portions, text_bytes
 
 WINDOW, GRAM = 13, 7
 #: Bytes of benchmark text and ids that a worker may hold.
@@ -165,7 +165,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYT
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, bool), set()
-        for batch in batches:
+        for batch in portions(batches, 3):
             n_words, out = scan(index.value, batch.column(3))
             hits = [out.get(r, none) for r in range(len(n_words))]
             edges = [runs_of(mask) for mask, _ in hits]
@@ -218,7 +218,7 @@ def joined(slim: DataFrame, items: DataFrame) -> DataFrame:
     sizes = sorted(r.n for r in bench.select("n").distinct().collect())  # 1 .. WINDOW
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 2):
             _, _, _, first, hashed = hashed_words(batch.column(2))
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for n in sizes:
@@ -263,7 +263,7 @@ def joined(slim: DataFrame, items: DataFrame) -> DataFrame:
     told = hits.select("k1", "k2", "item").distinct().join(names, "item").groupBy("k1", "k2").agg(F.collect_set("item_id").alias("items"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 3):
             first = hashed_words(batch.column(3))[3]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(first), pa.int64())], names=NAMES[:4])
 
@@ -301,7 +301,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
         at = docs.columns.index("text")
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in portions(batches, at):
                 n_words, out = scan(index.value, batch.column(at))
                 bad = [r for r, (mask, _) in out.items() if SHARE * int(mask.sum()) >= n_words[r]]
                 keep = np.ones(len(n_words), bool)

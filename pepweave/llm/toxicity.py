@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pepweave.llm import words as W
-from pepweave.llm.common import cut, text_bytes, total
+from pepweave.llm.common import cut, portions, text_bytes, total
 
 #: Labelled documents that terms are mined from, candidate terms, chosen terms; rows that the classifier is fitted on.
 MINED, CANDIDATES, TERMS, FITTED = 8000, 3000, 48, 20_000
@@ -122,7 +122,7 @@ def mine(docs: DataFrame, train: DataFrame) -> list[str]:
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            has = [[at[t] for t in terms_of(text or "") if t in at] for text in batch.column(0).to_pylist()]
+            has = [[at[t] for t in terms_of(text.as_py() or "") if t in at] for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(has, pa.list_(pa.int32()))], names=["y", "has"])
 
     rows = sample.mapInArrow(members, "y int, has array<int>").collect()  # at most MINED rows of at most CANDIDATES numbers
@@ -181,10 +181,10 @@ def measure(finder: ahocorasick.Automaton | None, n_terms: int, column: pa.Array
         out[i:j, n_terms + 1] = upper / np.maximum(letters, 1)
         out[i:j, n_terms + 2] = symbols / np.maximum(np.diff(at), 1)
     if finder is not None:
-        for r, text in enumerate(column.to_pylist()):
-            if not text:
+        for r, value in enumerate(column):
+            low = (value.as_py() or "").lower()
+            if not low:
                 continue
-            low = text.lower()
             n = len(low)
             for end, (size, which) in finder.iter(low):
                 start, after = end - size, end + 1
@@ -308,7 +308,7 @@ def measured(docs: DataFrame, terms: list[str]) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = hit_finder(terms)
-        for batch in batches:
+        for batch in portions(batches, 1):
             x = measure(finder, len(terms), batch.column(1)).astype("<f4")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "x"])
 
@@ -386,7 +386,7 @@ def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = hit_finder(model.terms)
-        for batch in batches:
+        for batch in portions(batches, at):
             yield batch.filter(pa.array(model.score(batch.column(at), finder) < TOXIC))
 
     return docs.mapInArrow(work, docs.schema)

@@ -9,7 +9,7 @@ from helpers import by_id, docs
 
 from pepweave.llm import catalog, decontaminate
 from pepweave.llm import words as W
-from pepweave.llm.common import text_bytes
+from pepweave.llm.common import portions, text_bytes
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -106,3 +106,12 @@ def test_word_hashes():
     h = W.hashes(raw, s, e)
     assert first.tolist() == [0, 3, 3, 3, 5, 7, 8]
     assert h[1] == h[3] == h[6] and h[4] == h[7] and len(set(h.tolist())) == 5
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 20])
+def test_portions_hold_every_row_in_turn(size):
+    texts = [None, "", "é" * 5, "abc", "", "x" * 40, None, "yy"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
+    got = list(portions(iter([batch.slice(3), batch.slice(0, 3), batch.slice(0, 0)]), 1, size))
+    assert [r for b in got for r in b.column(0).to_pylist()] == [3, 4, 5, 6, 7, 0, 1, 2]
+    assert all(b.num_rows == 1 or sum(len((t or "").encode()) for t in b.column(1).to_pylist()) <= size for b in got)
