@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pepweave.operators import batches, budgets, compare
-from pepweave.operators.ranges import interval_join, overlap_join
+from pepweave.operators.ranges import interval_join, overlap_join, overlap_totals
 from pepweave.plans import catalog, runs
 
 
@@ -132,3 +132,29 @@ def test_differences_by_digests(spark):
     assert got(compare.digest_diff(left, left.limit(0))) == got(compare.multiset_diff(left, left.limit(0)))
     # equal sides: no key is looked at again
     assert compare.digest_diff(left, left)._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 0
+
+
+def test_totals_of_meeting_intervals_without_their_pairs(spark):
+    rng = random.Random(5)
+
+    def some(n, kinds):
+        at = [rng.randrange(40) for _ in range(n)]
+        return [(rng.choice(kinds), a, rng.choice([a, a + 1, a + rng.randrange(30), a - 1])) for a in at] + [(kinds[0], None, 3), (kinds[0], 3, None)]
+
+    left, right = some(150, [0, 1, None]), some(120, ["p", "q"])
+    want = {}
+    for (g, a, b), (h, lo, hi) in ((x, y) for x in left for y in right):
+        if None not in (a, b, lo, hi) and a <= b and lo <= hi and a <= hi and lo <= b:
+            n, shared = want.get((g, h), (0, 0))
+            want[g, h] = n + 1, shared + min(b, hi) - max(a, lo)
+    one, two = spark.createDataFrame(left, "g int, a long, b long"), spark.createDataFrame(right, "h string, lo long, hi long")
+    got = overlap_totals(one, two, ("a", "b", "lo", "hi"), ("g", "h"))
+    assert {(r.g, r.h): (r.n, r.shared) for r in got.collect()} == want
+    assert overlap_totals(one, two.limit(0), ("a", "b", "lo", "hi"), ("g", "h")).count() == 0
+
+
+def test_totals_move_ends_and_no_pairs(spark):
+    # 10**10 pairs meet
+    long = spark.range(100_000).selectExpr("0 as g", "id as a", "1000000 + id as b")
+    got = overlap_totals(long, long.toDF("h", "lo", "hi"), ("a", "b", "lo", "hi"), ("g", "h")).collect()
+    assert [(r.n, r.shared) for r in got] == [(10**10, sum((2 * (100_000 - d) if d else 100_000) * (1_000_000 - d) for d in range(100_000)))]
