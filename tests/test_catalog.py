@@ -44,3 +44,8 @@ def test_nothing_outside_imports_the_optional_part():
 def test_flagship_plan_reads_only_what_it_needs(spark):
     plan = catalog.QUERIES["peptide_mass_range"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan and "Python" not in plan
+
+
+def test_set_differences_digest_the_documents_once(spark):
+    plan = catalog.QUERIES["set_diff_equal_negative"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "documents" not in plan and plan.count("compared-") == 4
