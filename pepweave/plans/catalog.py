@@ -494,7 +494,7 @@ SELECT 'D' || doc_id AS acc, source, pos, pos AS until, aa AS original, repl AS
 def feature_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proteins and variants of the documents written as flat text entries and read back from their features and sequences."""
     path = fresh_path(spark, "entries")
-    entries.write_entries(*standins.site_variants(spark, sf_dir), path)
+    entries.write_entries(*standins.site_variants(spark, sf_dir), path, "gzip")
     found = entries.read_entries(spark, path)
     whole = entries.proteins(found).select("acc", F.lit("sequence").alias("source"), F.lit(1).alias("pos"), F.length("protein").alias("until"), F.col("protein").alias("original"), F.lit(None).cast("string").alias("replacement"))
     return entries.variants(found).select("acc", "source", "pos", "until", "original", "replacement").unionByName(whole)

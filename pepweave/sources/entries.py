@@ -100,22 +100,27 @@ def _folded(code: str, text: Column, width: int = 58) -> Column:
 
 def render(found: DataFrame, changes: DataFrame) -> DataFrame:
     """value: an entry without its last line for each protein (acc, protein) with its variants (acc, pos, until, original, replacement, source)."""
-    at = F.when(F.col("pos") == F.col("until"), F.col("pos").cast("string")).otherwise(F.concat_ws("..", F.col("pos").cast("string"), F.col("until").cast("string")))
-    note = F.when(F.col("replacement") == "", F.lit("Missing")).otherwise(F.concat("original", F.lit(" -> "), "replacement"))
-    line = F.concat(F.lit(f"{_KEY}{'VARIANT':<16}"), at, F.lit("\n"), _folded(_BODY, F.concat(F.lit('/note="'), note, F.lit('"'))), F.lit(f'\n{_BODY}/source="'), F.col("source"), F.lit('"'))
-    told = changes.groupBy("acc").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "until", "replacement", "source", line.alias("line")))), lambda x: x["line"]).alias("lines"))
+
+    def lines(x: Column) -> Column:
+        at = F.when(x["pos"] == x["until"], x["pos"].cast("string")).otherwise(F.concat_ws("..", x["pos"].cast("string"), x["until"].cast("string")))
+        note = F.when(x["replacement"] == "", F.lit("Missing")).otherwise(F.concat(x["original"], F.lit(" -> "), x["replacement"]))
+        return F.concat(F.lit(f"{_KEY}{'VARIANT':<16}"), at, F.lit("\n"), _folded(_BODY, F.concat(F.lit('/note="'), note, F.lit('"'))), F.lit(f'\n{_BODY}/source="'), x["source"], F.lit('"'))
+
+    # variants move as they are, and become text beside their protein; those with an unknown part have no line
+    known = changes.dropna(subset=["source"]).where(F.col("pos").isNotNull() & F.col("until").isNotNull() & F.col("replacement").isNotNull() & ((F.col("replacement") == "") | F.col("original").isNotNull()))
+    told = known.groupBy("acc").agg(F.sort_array(F.collect_list(F.struct("pos", "until", "replacement", "source", "original"))).alias("lines"))
     n = F.length("protein").cast("string")
     spaced = F.regexp_replace("protein", rf"(.{{{_BLOCK}}})", "$1 ")
     width = _LINE + _LINE // _BLOCK
     rows = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.length(spaced) - 1) / width), F.lit(0)).cast("int")), lambda k: F.concat(F.lit("     "), F.rtrim(F.substring(spaced, k * width + 1, F.lit(width)))))
     head = F.concat(F.lit("ID   "), "acc", F.lit("   "), n, F.lit(" AA.\nAC   "), "acc", F.lit(";"))
     tail = F.concat(F.lit("SQ   SEQUENCE   "), n, F.lit(" AA;\n"), F.array_join(rows, "\n"))
-    return found.join(told, "acc", "left").select(F.concat_ws("\n", head, F.array_join("lines", "\n"), tail).alias("value"))
+    return found.join(told, "acc", "left").select(F.concat_ws("\n", head, F.array_join(F.transform("lines", lines), "\n"), tail).alias("value"))
 
 
-def write_entries(found: DataFrame, changes: DataFrame, path: str) -> None:
-    """Entries as text files, each ended by a line "//"."""
-    render(found, changes).select(F.concat("value", F.lit("\n//")).alias("value")).write.text(path)
+def write_entries(found: DataFrame, changes: DataFrame, path: str, compression: str | None = None) -> None:
+    """Entries as text files, each ended by a line "//". Compressed files (gzip) are read by one task each."""
+    render(found, changes).select(F.concat("value", F.lit("\n//")).alias("value")).write.text(path, compression=compression)
 
 
 def of_sources(entries: DataFrame, sources: list[str]) -> DataFrame:

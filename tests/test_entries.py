@@ -106,3 +106,14 @@ def test_long_entries_in_split_files(spark, tmp_path):
         assert back.count() == 300 and back.select(F.sum(F.length("sequence"))).first()[0] == sum(10 * k for k in range(300))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_compressed_entries_and_variants_without_a_line(spark, tmp_path):
+    found = spark.createDataFrame([("A1", "ACDEF"), ("A2", "KR")], "acc string, protein string")
+    rows = [("A1", 4, 5, "EF", "", "ebi"), ("A1", 2, 2, "C", "T", "uniprot"), ("A1", 2, 2, "C", None, "ebi"), ("A1", 3, 3, None, "T", "ebi"), ("A1", 1, 1, "A", "G", None)]
+    changes = spark.createDataFrame(rows, "acc string, pos int, until int, original string, replacement string, source string")
+    entries.write_entries(found, changes, str(tmp_path / "z"), "gzip")
+    assert list((tmp_path / "z").glob("*.gz")) and not list((tmp_path / "z").glob("*.txt"))
+    got = entries.read_entries(spark, str(tmp_path / "z"))
+    assert sorted(tuple(r)[1:] for r in entries.variants(got).collect()) == sorted(rows[:2])
+    assert {(r.acc, r.protein) for r in entries.proteins(got).collect()} == {("A1", "ACDEF"), ("A2", "KR")}
