@@ -24,7 +24,7 @@ def answer_queries(spark: SparkSession, graphs: Graphs, source: str, sink: str,
         if found.isEmpty():
             return
         with temporary(spark):
-            paths = traverse(graphs, found, max_missed).paths
+            paths = traverse(graphs, found, max_missed, carry=render.NEEDED).paths
             answers = render.headers(render.peptides(paths, graphs.graphs)).join(found.select("query_id", F.col("lower").alias("from"), F.col("upper").alias("to")), "query_id")
             answers.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
