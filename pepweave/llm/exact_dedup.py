@@ -15,7 +15,7 @@ Defined results: a null text counts as empty, so null, empty and all-blank texts
 sorts after every other id; texts of any length are compared whole; an empty table gives an empty result. In ``mark``
 rows that repeat a doc_id with an equal text count each in group_size and share ``kept``. ``dedup`` keeps exactly one row
 of each group, whatever the ids: rows are told apart by id, length and text, and of rows that are equal in these the
-hash of all columns chooses. Further columns, whatever their names, are passed by in ``dedup``.
+hash of all columns chooses. It shuffles the rows whose hash repeats, and no others. Further columns, whatever their names, are passed by in ``dedup``.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from pepweave.llm.common import cut, fresh
 
 #: The characters [\\x20\\x09-\\x0D], which normalisation deletes.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Bits of a part of a bitmap, as Spark's bitmap functions have it, and of the largest bitmap (16 MB).
+BUCKET, MOST_BITS = 1 << 15, 1 << 27
 
 
 def normalised(text: Column) -> Column:
@@ -64,25 +66,40 @@ def mark(docs: DataFrame) -> DataFrame:
     )
 
 
+def _bit(h: Column, bits: int) -> Column:
+    """A number below bits (a power of two, at most 2**28) from a hash's first digits; bitmap functions count from 1."""
+    return F.conv(F.substring(F.hex(h), 1, 8), 16, 10).cast("long") % bits + 1
+
+
+def _repeated(docs: DataFrame) -> tuple[DataFrame, int]:
+    """A bitmap of the hashes that more than one row has (bucket, bitmap), and its number of bits.
+
+    Some 64 bits a hash, so of rows that are alone about one in 64 finds its bit set; beyond MOST_BITS it is more of them,
+    and what is broadcast stays as large as it is.
+    """
+    h = F.unhex(F.md5(normalised(F.col("text")))).alias("h")
+    found = cut(docs.select(h).groupBy("h").count().where("count > 1").select("h"), "repeated")
+    bits = min(MOST_BITS, max(BUCKET, 1 << (64 * found.count()).bit_length()))
+    at = _bit(F.col("h"), bits)
+    return cut(found.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap")), "bitmap"), bits
+
+
 def dedup(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns: one of each group."""
-    i, n, h, s = names = fresh(docs, "own_id", "own_cp", "own_h", "own_sha")
-    norm = normalised(F.col("text"))
-    identity = [F.col("doc_id").cast("long").alias(i), F.length(F.coalesce("text", F.lit(""))).cast("long").alias(n), F.unhex(F.md5(norm)).alias(h), F.unhex(F.sha2(norm, 256)).alias(s)]
-    # rows that are to go carry no text here: only what tells them apart meets the documents again
-    rows = fingerprints(docs).select("doc_id", "n_cp", "h128", "sha", "size")
-    grouped = rows.join(groups(docs), ["h128", "sha", "size"])
-    stays = F.col("keep_id").eqNullSafe(F.col("doc_id")) & (F.col("n_cp") == F.col("keep_cp"))
-    told = grouped.groupBy(F.col("doc_id").alias(i), F.col("n_cp").alias(n), F.col("h128").alias(h), F.col("sha").alias(s)).agg(F.bool_or(stays).alias("stays"), F.count("*").alias("rows"))
-    leave = cut(told.where(~F.col("stays") | (F.col("rows") > 1)), "gone")
-    mine, theirs = docs.select(F.struct("*").alias(f"{i}_row"), *identity).alias("mine"), leave.alias("theirs")
-    same = F.lit(True)
-    for c in names:
-        same = same & F.col(f"mine.{c}").eqNullSafe(F.col(f"theirs.{c}"))
-    out = mine.join(theirs, same, "left_anti").select(f"{i}_row.*")
-    tied = leave.where("stays")
-    if tied.isEmpty():
-        return out
-    whole = F.col(f"{i}_row")
-    chosen = mine.join(tied.alias("theirs"), same, "left_semi").groupBy(*names).agg(F.min_by(whole, F.xxhash64(whole)).alias(f"{i}_row"))
-    return out.unionByName(chosen.select(f"{i}_row.*"))
+    """The rows of docs that stay, with all their columns: one of each group.
+
+    Rows whose hash no other row has stay where they lie. The others, found by a bitmap of bounded size, meet under hash
+    and text, and the best of a group leaves each task as one row: only their texts are shuffled.
+    """
+    row, h, norm, bucket, bitmap = fresh(docs, "own_row", "own_h", "own_norm", "own_bucket", "own_bitmap")
+    repeated, bits = _repeated(docs)
+    rows = docs.select(F.struct("*").alias(row), normalised(F.col("text")).alias(norm)).withColumn(h, F.unhex(F.md5(norm)))
+    at = _bit(F.col(h), bits)
+    rows = rows.withColumn(bucket, F.bitmap_bucket_number(at)).join(F.broadcast(repeated.select(F.col("bucket").alias(bucket), F.col("bitmap").alias(bitmap))), bucket, "left")
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    met = F.coalesce(F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    whole, own = F.col(row), F.col(f"{row}.doc_id").cast("long")
+    # the longest as written, then the smallest id, null ids last; of rows that are equal in these the hash of all columns chooses
+    order = F.struct((-F.length(F.coalesce(F.col(f"{row}.text"), F.lit("")))).alias("n"), own.isNull().alias("none"), own.alias("id"), F.xxhash64(whole).alias("x"))
+    best = rows.where(met).groupBy(h, norm).agg(F.min_by(whole, order).alias(row))
+    return rows.where(~met).select(f"{row}.*").unionByName(best.select(f"{row}.*"))

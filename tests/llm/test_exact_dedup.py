@@ -51,3 +51,16 @@ def test_dedup_keeps_one_row_of_each_group(spark):
     for i, t in rows:
         best.setdefault(re.sub("[\x20\x09-\x0d]", "", t or ""), []).append((-len(t or ""), i is None, i))
     assert sorted(i for i, _ in kept(rows)) == sorted(str(min(g)[2]) for g in best.values())
+
+
+def test_dedup_shuffles_only_texts_that_may_repeat(spark, monkeypatch):
+    rows = [(k, f"text {k} " * 5) for k in range(2000)] + [(5000 + k, f"text  {k} " * 5) for k in range(40)] + [(None, "text 7 " * 5)]
+    out = exact_dedup.dedup(docs(spark, rows))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Anti" not in plan and plan.count("Aggregate") == 1
+    left = sorted(str(r.doc_id) for r in out.collect())
+    assert left == sorted([str(k) for k in range(40, 2000)] + [str(5000 + k) for k in range(40)])
+    # a bitmap that is too small sends more rows to be compared, with equal results
+    monkeypatch.setattr(exact_dedup, "BUCKET", 1)
+    monkeypatch.setattr(exact_dedup, "MOST_BITS", 2)
+    assert sorted(str(r.doc_id) for r in exact_dedup.dedup(docs(spark, rows)).collect()) == left
