@@ -16,9 +16,9 @@ FEATURE = "struct<key:string,isoform:string,begin:int,end:int,original:string,re
 _KEY, _BODY, _BLOCK, _LINE = "FT   ", "FT                   ", 10, 60
 
 
-def _lines(entry: Column, code: str) -> Column:
+def _lines(code: str) -> Column:
     """The lines of one code."""
-    return F.filter(F.split(entry, "\r?\n"), lambda x: x.startswith(code))
+    return F.filter("lines", lambda x: x.startswith(code))
 
 
 def _qualifier(text: Column, name: str) -> Column:
@@ -27,20 +27,22 @@ def _qualifier(text: Column, name: str) -> Column:
     return F.when(text.contains(f'/{name}="'), found)
 
 
-def _feature(text: Column) -> Column:
-    """One feature from its lines."""
-    flat = F.regexp_replace(text, r"\r?\nFT +", " ")
-    place = r"^FT   \S+ +(?:([A-Za-z0-9]+-[0-9]+):)?([0-9]+)(?:\.\.([0-9]+))?(?: |$)"
-    part = lambda k: F.nullif(F.regexp_extract(flat, place, k), F.lit(""))
-    note, own_id = _qualifier(flat, "note"), _qualifier(flat, "id")
+def _features(texts: Column) -> Column:
+    """Features from their lines. Each step binds what the next ones read several times, as lambdas share nothing."""
     change = r"^([A-Z][A-Z ]*) -> ([A-Z](?:[A-Z]| (?=[A-Z]{2}))*)"
-    side = lambda k: F.nullif(F.replace(F.regexp_extract(note, change, k), F.lit(" "), F.lit("")), F.lit(""))
-    begin = part(2).try_cast("int")
-    return F.struct(
-        F.regexp_extract(flat, r"^FT   (\S+)", 1).alias("key"), part(1).alias("isoform"), begin.alias("begin"), F.coalesce(part(3).try_cast("int"), begin).alias("end"), side(1).alias("original"),
-        F.when(note.startswith("Missing"), F.lit("")).otherwise(side(2)).alias("replacement"), own_id.alias("id"),
-        F.coalesce(_qualifier(flat, "source"), F.when(own_id.startswith("VAR_"), F.lit("uniprot")), F.lit("unknown")).alias("source"),
-    )
+    place = r"^FT   (\S+) +(?:([A-Za-z0-9]+-[0-9]+):)?([0-9]+)(?:\.\.([0-9]+))?(?: |$).*"
+    told = F.transform(texts, lambda t: F.regexp_replace(t, r"\r?\nFT +", " "))
+    told = F.transform(told, lambda t: F.struct(t.alias("t"), _qualifier(t, "note").alias("note"), _qualifier(t, "id").alias("id"), _qualifier(t, "source").alias("source"),
+        # a location that isn't known leaves the text without a part
+        F.split(F.when(t.rlike(place), F.regexp_replace(t, "(?s)" + place, "$2\n$3\n$4")), "\n").alias("at"),
+        F.regexp_extract(t, r"^FT   (\S+)", 1).alias("key")))
+    part = lambda x, k: F.nullif(F.get(x["at"], k), F.lit(""))
+    side = lambda x, k: F.nullif(F.replace(F.regexp_extract(x["note"], change, k), F.lit(" "), F.lit("")), F.lit(""))
+    return F.transform(told, lambda x: F.struct(
+        x["key"].alias("key"), part(x, 0).alias("isoform"), part(x, 1).try_cast("int").alias("begin"), F.coalesce(part(x, 2).try_cast("int"), part(x, 1).try_cast("int")).alias("end"), side(x, 1).alias("original"),
+        F.when(x["note"].startswith("Missing"), F.lit("")).otherwise(side(x, 2)).alias("replacement"), x["id"].alias("id"),
+        F.coalesce(x["source"], F.when(x["id"].startswith("VAR_"), F.lit("uniprot")), F.lit("unknown")).alias("source"),
+    ))
 
 
 def parse(raw: DataFrame) -> DataFrame:
@@ -50,14 +52,17 @@ def parse(raw: DataFrame) -> DataFrame:
     isoform's parts are the features that make it, none for the sequence as it is shown.
     """
     entry = F.col("value")
-    accessions = F.filter(F.transform(F.split(F.array_join(F.transform(_lines(entry, "AC   "), lambda x: F.substring(x, 6, 1 << 30)), " "), ";"), lambda y: F.trim(y)), lambda x: x != "")
+    # a plain line feed is split without a pattern
+    raw = raw.select("value", F.split(F.when(entry.contains("\r"), F.replace(entry, F.lit("\r\n"), F.lit("\n"))).otherwise(entry), "\n").alias("lines"))
+    named = F.regexp_extract_all(F.concat(F.lit("\n"), entry), F.lit(r"\nAC   ([^\n]*)"), F.lit(1))
+    accessions = F.filter(F.transform(F.split(F.regexp_replace(F.array_join(named, " "), r"\r(?= |$)", ""), ";"), lambda y: F.trim(y)), lambda x: x != "")
     blocks = F.when(F.concat(F.lit("\n"), entry).contains("\nSQ   "), F.regexp_replace(F.substring_index(F.concat(F.lit("\n"), entry), "\nSQ   ", -1), r"^[^\n]*\n?", ""))
-    features = F.filter(F.split(F.array_join(_lines(entry, "FT   "), "\n"), r"\r?\n(?=FT   \S)"), lambda x: x != "")
-    comments = F.regexp_replace(F.array_join(F.transform(_lines(entry, "CC   "), lambda x: F.trim(F.substring(x, 6, 1 << 30))), " "), r" +", " ")
+    features = F.filter(F.split(F.array_join(_lines("FT   "), "\n"), r"\r?\n(?=FT   \S)"), lambda x: x != "")
+    comments = F.regexp_replace(F.array_join(F.transform(_lines("CC   "), lambda x: F.trim(F.substring(x, 6, 1 << 30))), " "), r" +", " ")
     isoform = r"IsoId=([^;,]+)[^;]*; Sequence=([^;]+);"
     zipped = F.arrays_zip(F.regexp_extract_all(comments, F.lit(isoform), F.lit(1)).alias("id"), F.regexp_extract_all(comments, F.lit(isoform), F.lit(2)).alias("made"))
     return raw.select(
-        F.try_element_at(accessions, F.lit(1)).alias("acc"), accessions.alias("accessions"), F.upper(F.regexp_replace(F.coalesce(blocks, F.lit("")), "[^A-Za-z]", "")).alias("sequence"), F.transform(features, _feature).alias("features"),
+        F.try_element_at(accessions, F.lit(1)).alias("acc"), accessions.alias("accessions"), F.upper(F.regexp_replace(F.coalesce(blocks, F.lit("")), "[^A-Za-z]", "")).alias("sequence"), _features(features).alias("features"),
         F.transform(zipped, lambda x: F.struct(F.trim(x["id"]).alias("id"), F.filter(F.transform(F.split(x["made"], ","), lambda y: F.trim(y)), lambda y: y.startswith("VSP_")).alias("parts"))).alias("isoforms"),
     )
 
@@ -77,9 +82,12 @@ def variants(entries: DataFrame, key: str = "VARIANT") -> DataFrame:
 
     Features that say nothing of what they replace, or name other residues than stand there, are left out.
     """
-    each = entries.where("acc is not null").select("acc", "sequence", F.explode("features").alias("f")).where((F.col("f.key") == key) & F.col("f.isoform").isNull() & F.col("f.replacement").isNotNull())
-    there = F.expr("substring(sequence, f.begin, f.end - f.begin + 1)")
-    each = each.where((F.col("f.begin") >= 1) & (F.col("f.end") >= F.col("f.begin")) & (F.col("f.end") <= F.length("sequence")) & (F.col("f.original").isNull() | (F.col("f.original") == there)))
+    # a sequence has ASCII letters alone, so a place in its bytes is found without a look at all before it
+    # conditions stand inside the array: as filters before it they would parse the features once more
+    told = F.filter("features", lambda f: (f["key"] == key) & f["isoform"].isNull() & f["replacement"].isNotNull())
+    each = entries.select("acc", F.col("sequence").cast("binary").alias("residues"), F.explode(F.when(F.col("acc").isNotNull(), told)).alias("f"))
+    there = F.expr("cast(substring(residues, f.begin, f.end - f.begin + 1) as string)")
+    each = each.where((F.col("f.begin") >= 1) & (F.col("f.end") >= F.col("f.begin")) & (F.col("f.end") <= F.length("residues")) & (F.col("f.original").isNull() | (F.col("f.original") == there)))
     return each.select(F.xxhash64("acc").alias("graph_id"), "acc", F.col("f.begin").alias("pos"), F.col("f.end").alias("until"), there.alias("original"), "f.replacement", "f.source")
 
 
@@ -95,7 +103,7 @@ def isoform_sequences(entries: DataFrame) -> DataFrame:
 def _folded(code: str, text: Column, width: int = 58) -> Column:
     """A text on lines of a width, each behind the code."""
     lines = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.length(text) - 1) / width), F.lit(0)).cast("int")), lambda k: F.concat(F.lit(code), F.substring(text, k * width + 1, F.lit(width))))
-    return F.array_join(lines, "\n")
+    return F.when(F.length(text) <= width, F.concat(F.lit(code), text)).otherwise(F.array_join(lines, "\n"))
 
 
 def render(found: DataFrame, changes: DataFrame) -> DataFrame:
@@ -111,10 +119,10 @@ def render(found: DataFrame, changes: DataFrame) -> DataFrame:
     told = known.groupBy("acc").agg(F.sort_array(F.collect_list(F.struct("pos", "until", "replacement", "source", "original"))).alias("lines"))
     n = F.length("protein").cast("string")
     spaced = F.regexp_replace("protein", rf"(.{{{_BLOCK}}})", "$1 ")
-    width = _LINE + _LINE // _BLOCK
-    rows = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.length(spaced) - 1) / width), F.lit(0)).cast("int")), lambda k: F.concat(F.lit("     "), F.rtrim(F.substring(spaced, k * width + 1, F.lit(width)))))
+    # one pass for all lines: each but the last is full, and ends in the space that the line feed takes
+    rows = F.concat(F.lit("     "), F.rtrim(F.regexp_replace(spaced, rf"(?s)(.{{{_LINE + _LINE // _BLOCK - 1}}}) (?=.)", "$1\n     ")))
     head = F.concat(F.lit("ID   "), "acc", F.lit("   "), n, F.lit(" AA.\nAC   "), "acc", F.lit(";"))
-    tail = F.concat(F.lit("SQ   SEQUENCE   "), n, F.lit(" AA;\n"), F.array_join(rows, "\n"))
+    tail = F.concat(F.lit("SQ   SEQUENCE   "), n, F.lit(" AA;\n"), rows)
     return found.join(told, "acc", "left").select(F.concat_ws("\n", head, F.array_join(F.transform("lines", lines), "\n"), tail).alias("value"))
 
 
